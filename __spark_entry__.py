@@ -29,9 +29,24 @@ IDENTITY_AS_OF = dt.date(2024, 2, 15)
 LOADED_UNTIL = dt.date(2024, 1, 30)
 
 
+def _scratch(spark: SparkSession, label: str) -> str:
+    return f"{work_dir(spark)}/clickpath/{label}-{uuid.uuid4().hex}"
+
+
+_raw_logs: dict[tuple[str, str], str] = {}
+
+
 def _raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw log of a folder, derived once from its events table and kept as an export is: by day."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    return sample_events(spark.read.parquet(f"{sf_dir}/events.parquet"))
+    place = (work_dir(spark), sf_dir)
+    if place not in _raw_logs:
+        path = _scratch(spark, "raw")
+        events = spark.read.parquet(f"{sf_dir}/events.parquet")
+        # the table is one small file; spread it before the nested records are built
+        sample_events(events.repartition(F.to_date("ts"))).write.partitionBy("event_date").parquet(path)
+        _raw_logs[place] = path
+    return cp.read_events(spark, _raw_logs[place])
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -47,7 +62,7 @@ def _unnested(events: DataFrame) -> DataFrame:
     return events.select(
         *[name for name in events.columns if name not in ("ecommerce", "items")],
         "ecommerce.*",
-        F.size("items").alias("items"),
+        F.size("items").cast("bigint").alias("items"),
     )
 
 
@@ -121,7 +136,7 @@ def sessions_event_grain(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sessions_long_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every path with more than five sessions takes the way of the very long ones."""
-    return _sessions(_events(spark, sf_dir), split_above=5)
+    return _sessions(_events(spark, sf_dir), split_above=5, block_rows=1000)
 
 
 def unified_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -152,14 +167,23 @@ def attribution_linear_by_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cp.linear_by_source(attribution_linear(spark, sf_dir))
 
 
+def attribution_first_click_direct(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cp.first_click_from_pre(pre_sessions(spark, sf_dir))
+
+
+def attribution_last_non_direct_direct(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cp.last_non_direct_from_pre(pre_sessions(spark, sf_dir))
+
+
 def report_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = _events(spark, sf_dir)
-    return cp.transactions(events, cp.last_non_direct(_sessions(events)), cp.unified_id(events))
+    attribution = cp.last_non_direct_from_pre(cp.pre_sessions(events))
+    return cp.transactions(events, attribution, cp.unified_id(events))
 
 
 def report_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = _events(spark, sf_dir)
-    return cp.products(events, cp.last_non_direct(_sessions(events)))
+    return cp.products(events, cp.last_non_direct_from_pre(cp.pre_sessions(events)))
 
 
 def report_transactions_session_scope(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -177,10 +201,6 @@ def report_transactions_linear_split(spark: SparkSession, sf_dir: str) -> DataFr
     return cp.transactions_split(events, cp.linear(_sessions(events)), cp.unified_id(events))
 
 
-def _scratch(spark: SparkSession, label: str) -> str:
-    return f"{work_dir(spark)}/clickpath/{label}-{uuid.uuid4().hex}"
-
-
 def raw_day_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The log as one folder per day, read back through the wildcard."""
     root = _scratch(spark, "shards")
@@ -216,7 +236,7 @@ def raw_flat_collected(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def full_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All tables written and read back; the last but one is shown."""
+    """All nine tables written, each from the stored ones before it."""
     warehouse = cp.Warehouse(spark, _scratch(spark, "full"))
     return cp.full_refresh(_raw(spark, sf_dir), warehouse).read("transactions")
 
@@ -255,6 +275,8 @@ _QUERIES = [
     unified_id_lookback,
     attribution_first_click,
     attribution_last_non_direct,
+    attribution_first_click_direct,
+    attribution_last_non_direct_direct,
     attribution_linear,
     attribution_linear_event_grain,
     attribution_linear_by_source,

@@ -262,6 +262,8 @@ ORACLE: dict[str, str] = {
     ),
     "attribution_first_click": chain("select * from touched", ROLLED, CARRIED, FIRST),
     "attribution_last_non_direct": chain("select * from touched", ROLLED, CARRIED, LAST),
+    "attribution_first_click_direct": chain("select * from touched", ROLLED, CARRIED, FIRST),
+    "attribution_last_non_direct_direct": chain("select * from touched", ROLLED, CARRIED, LAST),
     "attribution_linear": chain("select * from touched", ROLLED, CARRIED, LINEAR),
     "attribution_linear_event_grain": chain("select * from touched", ROLLED_BY_EVENT, CARRIED, LINEAR),
     "attribution_linear_by_source": chain("select * from shares", ROLLED, CARRIED, SHARES),

@@ -1,6 +1,13 @@
 """The models: DataFrame in, DataFrame out."""
 
-from clickpath.operators.attribution import first_click, last_non_direct, linear, linear_by_source
+from clickpath.operators.attribution import (
+    first_click,
+    first_click_from_pre,
+    last_non_direct,
+    last_non_direct_from_pre,
+    linear,
+    linear_by_source,
+)
 from clickpath.operators.events import (
     event_params_lookup,
     pre_events,
@@ -22,7 +29,9 @@ from clickpath.operators.sessions import pre_sessions, recent_sessions, sessions
 __all__ = [
     "event_params_lookup",
     "first_click",
+    "first_click_from_pre",
     "last_non_direct",
+    "last_non_direct_from_pre",
     "linear",
     "linear_by_source",
     "pre_events",

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickpath.functions import earliest, latest
-from clickpath.operators.sessions import PATH_ORDER
+from clickpath.functions import earliest, latest, nulls_last_key
+from clickpath.operators.sessions import PATH_ORDER, non_direct, or_direct
 from clickpath.operators.skew import lookup_join
 from clickpath.schema import columns
 
@@ -31,6 +31,29 @@ def last_non_direct(sessions: DataFrame) -> DataFrame:
     return _single_touch(sessions, latest(F.struct(*_SESSION), *PATH_ORDER))
 
 
+def first_click_from_pre(pre: DataFrame) -> DataFrame:
+    """``first_click`` without a session table: nothing is carried into the first session."""
+    own = [value.alias(name) for name, value in non_direct().items()]
+    return _single_touch(pre, earliest(F.struct("session_key", *own), *PATH_ORDER)).withColumns(or_direct())
+
+
+def last_non_direct_from_pre(pre: DataFrame) -> DataFrame:
+    """``last_non_direct`` without a session table, as one grouping with no window.
+
+    What reaches the last session of a path is the last non-direct value anywhere on it.
+    """
+    on_path = nulls_last_key(*PATH_ORDER)
+    return (
+        pre.groupBy("user_pseudo_id")
+        .agg(
+            latest(F.col("session_key"), *PATH_ORDER).alias("session_key"),
+            *[F.max_by(value, F.when(value.isNotNull(), on_path)).alias(name) for name, value in non_direct().items()],
+        )
+        .withColumns({**or_direct(), "attribution_weight": F.lit(1.0)})
+        .select(*columns("attribution_last_non_direct"))
+    )
+
+
 def linear(sessions: DataFrame) -> DataFrame:
     """Weight 1/n to each of the n sessions of a cookie; NULL where no session has a key.
 

@@ -18,14 +18,6 @@ def unified_id(events: DataFrame, as_of: dt.date | None = None, lookback_days: i
     """
     if as_of is not None:
         events = events.where(F.col("event_date") >= F.lit(as_of - dt.timedelta(lookback_days)))
-    # hash aggregate to one row per cookie and login first, as in the session roll-up
-    seen = (
-        events.where(F.col("user_id").isNotNull())
-        .groupBy("user_pseudo_id", "user_id")
-        .agg(F.min("event_timestamp").alias("first_seen"))
-    )
-    return (
-        seen.groupBy("user_pseudo_id")
-        .agg(earliest(F.col("user_id"), "first_seen", "user_id").alias("resolved_user_id"))
-        .select(*columns("unified_id"))
-    )
+    first_login = earliest(F.col("user_id"), "event_timestamp", "user_id").alias("resolved_user_id")
+    logged_in = events.where(F.col("user_id").isNotNull())
+    return logged_in.groupBy("user_pseudo_id").agg(first_login).select(*columns("unified_id"))

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickpath.operators.events import pre_events_recent
-from clickpath.operators.sessions import recent_sessions, same_session
+from clickpath.operators.sessions import join_sessions, recent_sessions
 from clickpath.operators.skew import without
 from clickpath.storage import stored
 
@@ -45,8 +45,7 @@ def pre_events_incremental(
 
 def upsert_sessions(existing: DataFrame, rebuilt: DataFrame) -> DataFrame:
     """``existing`` with every session in ``rebuilt`` replaced or added, null-safe on its owner."""
-    kept = existing.join(rebuilt, same_session(existing, rebuilt), "left_anti")
-    return kept.unionByName(rebuilt)
+    return join_sessions(existing, rebuilt, "left_anti").unionByName(rebuilt)
 
 
 def pre_sessions_incremental(

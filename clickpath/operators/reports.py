@@ -56,7 +56,7 @@ def _own_session(rows: DataFrame, sessions: DataFrame) -> DataFrame:
     Cookie and session id together name the session: the joined key alone can belong to
     two cookies and would count an order twice.
     """
-    # fixed-width text, so that two pairs never read the same
+    # digits end at the slash, so two pairs never read the same
     pair = F.concat(F.col("ga_session_id").cast("string"), F.lit("/"), F.col("user_pseudo_id"))
     found = sessions.select(pair.alias("_owner"), *_ATTRIBUTION, F.lit(1.0).alias("attribution_weight"))
     keyed = rows.withColumn("_owner", pair)

@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -28,29 +31,20 @@ def _in_session(events: DataFrame) -> DataFrame:
     return events.where(F.col("ga_session_id").isNotNull())
 
 
-def _touches(events: DataFrame, *keys: str) -> DataFrame:
-    """First and last time, and last day, of each source and medium seen under ``keys``.
-
-    Fixed-width values in the buffer keep this a hash aggregate, and it shrinks a session
-    of any length to a few rows per task before the shuffle.
-    """
-    return events.groupBy(*keys, _SOURCE, _MEDIUM).agg(
-        F.min(_TIME).alias("_first"), F.max(_TIME).alias("_last"), F.max("event_date").alias("_last_day")
-    )
-
-
-def _edge(pick: Column, name: str, *order: str) -> Column:
-    known = F.col(name).isNotNull()
-    return pick(F.col(name), F.when(known, nulls_last_key(*order)))
+def _edge(pick: Callable[..., Column], name: str, *order: str) -> Column:
+    return pick(F.col(name), F.when(F.col(name).isNotNull(), nulls_last_key(*order)))
 
 
 def _first_and_last() -> list[Column]:
-    """First and last known source and medium, in order of time, source, medium, nulls last."""
+    """First and last known source and medium, in order of time, source, medium, nulls last.
+
+    Aggregates, not windows: a session of any length leaves each task as one row.
+    """
     return [
-        _edge(F.min_by, _SOURCE, "_first", _SOURCE).alias("session_first_source"),
-        _edge(F.min_by, _MEDIUM, "_first", _SOURCE, _MEDIUM).alias("session_first_medium"),
-        _edge(F.max_by, _SOURCE, "_last", _SOURCE).alias("session_last_source"),
-        _edge(F.max_by, _MEDIUM, "_last", _SOURCE, _MEDIUM).alias("session_last_medium"),
+        _edge(F.min_by, _SOURCE, _TIME, _SOURCE).alias("session_first_source"),
+        _edge(F.min_by, _MEDIUM, _TIME, _SOURCE, _MEDIUM).alias("session_first_medium"),
+        _edge(F.max_by, _SOURCE, _TIME, _SOURCE).alias("session_last_source"),
+        _edge(F.max_by, _MEDIUM, _TIME, _SOURCE, _MEDIUM).alias("session_last_medium"),
     ]
 
 
@@ -71,11 +65,11 @@ def pre_sessions(events: DataFrame, grain: str = "session") -> DataFrame:
 def _per_session(events: DataFrame, active_since: dt.date | None = None) -> DataFrame:
     # Grouped by the two parts of the key: the joined text can be the same for two cookies.
     rolled = (
-        _touches(_in_session(events), *SESSION_OWNER)
+        _in_session(events)
         .groupBy(*SESSION_OWNER)
         .agg(
-            F.min("_first").alias("session_start_timestamp"),
-            F.max("_last_day").alias("_last_day"),
+            F.min(_TIME).alias("session_start_timestamp"),
+            F.max("event_date").alias("_last_day"),
             *_first_and_last(),
         )
     )
@@ -94,7 +88,7 @@ def recent_sessions(events: DataFrame, existing: DataFrame, as_of: dt.date, look
     window = as_of - dt.timedelta(lookback_days)
     in_window = F.col("event_date") >= F.lit(window)
     owners = _in_session(events).where(in_window).select(*SESSION_OWNER).distinct()
-    began = existing.join(owners, same_session(existing, owners), "left_semi").agg(F.min("session_start_timestamp"))
+    began = join_sessions(existing, owners, "left_semi").agg(F.min("session_start_timestamp"))
     earliest_start = began.first()[0]
     read_from = window
     if earliest_start is not None:
@@ -104,12 +98,11 @@ def recent_sessions(events: DataFrame, existing: DataFrame, as_of: dt.date, look
     return _per_session(events.where(F.col("event_date") >= F.lit(read_from)), active_since=window)
 
 
-def same_session(left: DataFrame, right: DataFrame) -> Column:
-    """Join condition on the session owner, where two missing cookies are the same."""
-    first, *rest = [left[name].eqNullSafe(right[name]) for name in SESSION_OWNER]
-    for condition in rest:
-        first = first & condition
-    return first
+def join_sessions(left: DataFrame, right: DataFrame, how: str, *values: str) -> DataFrame:
+    """Joins on the session owner, where two missing cookies are the same; keeps ``values`` of ``right``."""
+    right = right.select(*[F.col(name).alias(f"_{name}") for name in SESSION_OWNER], *values)
+    same = reduce(and_, [F.col(name).eqNullSafe(F.col(f"_{name}")) for name in SESSION_OWNER])
+    return left.join(right, same, how).drop(*[f"_{name}" for name in SESSION_OWNER])
 
 
 def _per_event_time(events: DataFrame) -> DataFrame:
@@ -117,35 +110,40 @@ def _per_event_time(events: DataFrame) -> DataFrame:
     moments = events.select(
         "session_key", "user_pseudo_id", "ga_session_id", F.col(_TIME).alias("session_start_timestamp"), _SOURCE, _MEDIUM
     ).distinct()
-    edges = _touches(events, "session_key").groupBy("session_key").agg(*_first_and_last())
+    edges = events.groupBy("session_key").agg(*_first_and_last())
     spread_by = ["ga_session_id", "session_start_timestamp"]
     return lookup_join(moments, edges, "session_key", spread_by, nulls_match=True).select(*columns("pre_sessions"))
 
 
-def sessions(pre: DataFrame, grain: str = "session", split_above: int = SPLIT_ABOVE) -> DataFrame:
+def sessions(
+    pre: DataFrame, grain: str = "session", split_above: int = SPLIT_ABOVE, block_rows: int = SPLIT_ABOVE
+) -> DataFrame:
     """Sessions with the last non-direct source and medium so far, each carried on its own.
 
-    ``pre`` is read twice and should be a stored table.
+    ``pre`` is read twice and should be a stored table. The path of a cookie with more
+    than ``split_above`` rows is walked in blocks of about ``block_rows``.
     """
     rows = pre.drop("session_last_medium")
     if grain == "event":
         rows = rows.distinct()
     elif grain != "session":
         raise ValueError(f"grain must be 'session' or 'event', not {grain!r}")
+    carried = carry_forward(rows, "user_pseudo_id", PATH_ORDER, non_direct(), split_above, block_rows)
+    return carried.withColumns(or_direct()).select(*columns("sessions"))
+
+
+def non_direct() -> dict[str, Column]:
+    """Source and medium of a session where they are known and not direct, else NULL."""
     source, medium = F.col("session_first_source"), F.col("session_first_medium")
-    carried = carry_forward(
-        rows,
-        partition="user_pseudo_id",
-        order=PATH_ORDER,
-        values={
-            "final_session_source": F.when(source != DIRECT_SOURCE, source),
-            "final_session_medium": F.when(medium != DIRECT_MEDIUM, medium),
-        },
-        split_above=split_above,
-    )
-    return carried.withColumns(
-        {
-            "final_session_source": F.coalesce("final_session_source", F.lit(DIRECT_SOURCE)),
-            "final_session_medium": F.coalesce("final_session_medium", F.lit(DIRECT_MEDIUM)),
-        }
-    ).select(*columns("sessions"))
+    return {
+        "final_session_source": F.when(source != DIRECT_SOURCE, source),
+        "final_session_medium": F.when(medium != DIRECT_MEDIUM, medium),
+    }
+
+
+def or_direct() -> dict[str, Column]:
+    """Final source and medium, direct where nothing was carried."""
+    return {
+        "final_session_source": F.coalesce("final_session_source", F.lit(DIRECT_SOURCE)),
+        "final_session_medium": F.coalesce("final_session_medium", F.lit(DIRECT_MEDIUM)),
+    }

@@ -14,7 +14,8 @@ from clickpath.storage import stored
 # Ways a NULL key is spread over tasks when it has a partner row.
 NULL_SPREAD = 64
 
-# Rows of one cookie up to which its path is walked by a single task.
+# Rows of one cookie up to which its path is walked by a single task, and rows of a block
+# that a longer path is cut into.
 SPLIT_ABOVE = 1_000_000
 
 
@@ -68,6 +69,7 @@ def carry_forward(
     order: Sequence[str],
     values: Mapping[str, Column],
     split_above: int = SPLIT_ABOVE,
+    block_rows: int = SPLIT_ABOVE,
 ) -> DataFrame:
     """Adds, per output name, the last non-null of its expression so far on the ordered path.
 
@@ -87,7 +89,7 @@ def carry_forward(
     long_paths = F.broadcast(sizes.select(F.col(partition).alias("_long")))
     is_long = F.col(partition).eqNullSafe(F.col("_long"))
     short = _walk(rows.join(long_paths, is_long, "left_anti"), [partition], order, values)
-    blocks = math.ceil(total / split_above) + 1
+    blocks = math.ceil(total / block_rows) + 1
     split = _walk_blocks(rows.join(long_paths, is_long, "left_semi"), partition, order, values, blocks)
     return _finish(short.unionByName(split), values)
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickpath import operators as ops
-from clickpath.operators.sessions import SESSION_OWNER, same_session
+from clickpath.operators.sessions import join_sessions
 from clickpath.plans.full import full_refresh, refresh_outputs, start_day
 from clickpath.sinks import Warehouse
 from clickpath.sinks.warehouse import SESSION_DAY
@@ -41,14 +41,8 @@ def _load_sessions(warehouse: Warehouse, as_of: dt.date, lookback_days: int) ->
     existing = warehouse.read_stored("pre_sessions")
     events = warehouse.read("pre_events")
     rebuilt = ops.recent_sessions(events, existing.drop(SESSION_DAY), as_of, lookback_days)
-    known = existing.select(*SESSION_OWNER, SESSION_DAY)
-    placed = stored(
-        rebuilt.join(known, same_session(rebuilt, known), "left").select(
-            *[rebuilt[name] for name in rebuilt.columns],
-            F.coalesce(known[SESSION_DAY], start_day()).alias(SESSION_DAY),
-        ),
-        "sessions-placed",
-    )
+    known = join_sessions(rebuilt, existing, "left", SESSION_DAY)
+    placed = stored(known.withColumn(SESSION_DAY, F.coalesce(F.col(SESSION_DAY), start_day())), "sessions-placed")
     # one entry per calendar day
     days = [row[0] for row in placed.select(SESSION_DAY).distinct().collect()]
     if days:

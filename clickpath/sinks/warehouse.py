@@ -34,9 +34,12 @@ class Warehouse:
 
     def exists(self, table: str) -> bool:
         try:
-            return bool(self.spark.read.parquet(self.path(table)).columns)
-        except AnalysisException:
-            return False
+            self.read_stored(table)
+        except AnalysisException as error:
+            if error.getCondition() == "PATH_NOT_FOUND":
+                return False
+            raise
+        return True
 
     def _stored_schema(self, table: str) -> T.StructType:
         schema = TABLES[table]
