@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from clickpath.functions import nulls_last_key, session_key
 from clickpath.operators.skew import SPLIT_ABOVE, carry_forward, lookup_join
 from clickpath.schema import columns
+from clickpath.storage import stored
 
 # What counts as direct, and what a path without any source gets.
 DIRECT_SOURCE = "(direct)"
@@ -125,7 +126,7 @@ def sessions(
     """
     rows = pre.drop("session_last_medium")
     if grain == "event":
-        rows = rows.distinct()
+        rows = stored(rows.distinct(), "sessions-distinct")
     elif grain != "session":
         raise ValueError(f"grain must be 'session' or 'event', not {grain!r}")
     carried = carry_forward(rows, "user_pseudo_id", PATH_ORDER, non_direct(), split_above, block_rows)

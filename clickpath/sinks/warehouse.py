@@ -15,6 +15,11 @@ SESSION_DAY = "session_day"
 # Partition column of the two incremental tables. The other tables are replaced whole.
 PARTITIONED_BY = {"pre_events": "event_date", "pre_sessions": SESSION_DAY}
 
+# Tables whose rows come to the write in pieces too small for files of their own: sessions
+# of every day from every task, and purchases, few in each part of the log. Adaptive
+# execution joins them to even sizes, by the given columns, and splits what is too large.
+REBALANCED_BY: dict[str, list[str]] = {"pre_sessions": [SESSION_DAY], "transactions": [], "products": []}
+
 # Column to order rows by inside the files of a partition. The write sorts by partition
 # column anyway; one more column costs little and lets a filter on it skip row groups.
 CLUSTERED_BY = {"pre_events": "event_name"}
@@ -71,6 +76,8 @@ class Warehouse:
     def _write(self, table: str, rows: DataFrame, overwrite: str) -> DataFrame:
         partition = PARTITIONED_BY.get(table)
         rows = rows.select(*self._stored_schema(table).fieldNames())
+        if table in REBALANCED_BY:
+            rows = rows.hint("rebalance", *REBALANCED_BY[table])
         if table in CLUSTERED_BY:
             rows = rows.sortWithinPartitions(partition, CLUSTERED_BY[table])
         writer = rows.write.mode("overwrite").option("partitionOverwriteMode", overwrite)

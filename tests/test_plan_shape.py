@@ -101,8 +101,9 @@ def test_missing_keys_are_spread_and_a_large_key_is_split(spark):
         for name, value in small.items():
             spark.conf.set(name, value)
         for nulls_match in (False, True):
-            joined = lookup_join(rows, lookup, "key", ["id"], nulls_match)
-            sizes = joined.groupBy(F.spark_partition_id()).count().agg(F.max("count"), F.sum("count"))
+            tagged = lookup_join(rows, lookup, "key", ["id"], nulls_match).withColumn("task", F.spark_partition_id())
+            joined = stored(tagged, "spread")
+            sizes = joined.groupBy("task").count().agg(F.max("count"), F.sum("count"))
             largest, total = sizes.first()
             assert total == 300_000
             assert largest < 60_000
