@@ -8,6 +8,7 @@ import sys
 import uuid
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,13 +41,18 @@ def _raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw log of a folder, derived once from its events table and kept as an export is: by day."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     place = (work_dir(spark), sf_dir)
-    if place not in _raw_logs:
-        path = _scratch(spark, "raw")
-        events = spark.read.parquet(f"{sf_dir}/events.parquet")
-        # the table is one small file; spread it before the nested records are built
-        sample_events(events.repartition(F.to_date("ts"))).write.partitionBy("event_date").parquet(path)
-        _raw_logs[place] = path
-    return cp.read_events(spark, _raw_logs[place])
+    if place in _raw_logs:
+        try:
+            return cp.read_events(spark, _raw_logs[place])
+        except AnalysisException:
+            # the scratch folder was emptied in between
+            del _raw_logs[place]
+    path = _scratch(spark, "raw")
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    # the table is one small file; spread it before the nested records are built
+    sample_events(events.repartition(F.to_date("ts"))).write.partitionBy("event_date").parquet(path)
+    _raw_logs[place] = path
+    return cp.read_events(spark, path)
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:

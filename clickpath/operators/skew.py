@@ -18,6 +18,9 @@ NULL_SPREAD = 64
 # that a longer path is cut into.
 SPLIT_ABOVE = 1_000_000
 
+# Short rows up to which a side whose row count is known is sent to every executor.
+BROADCAST_ROWS = 100_000
+
 
 def _scattered(key: Column, share: Column) -> Column:
     """``key`` as join text, with a share of the NULL rows under each value of ``share``."""
@@ -81,19 +84,23 @@ def carry_forward(
     """
     rows = rows.withColumns({f"_own_{name}": value for name, value in values.items()})
     sizes = rows.groupBy(partition).count().where(F.col("count") > split_above)
-    total = sizes.agg(F.sum("count")).first()[0]
-    if not total:
+    paths, total = sizes.agg(F.count("*"), F.sum("count")).first()
+    if not paths:
         return _finish(_walk(rows, [partition], order, values), values)
 
-    # at most count(rows) / split_above rows, so small beside the table it is joined to
-    long_paths = F.broadcast(sizes.select(F.col(partition).alias("_long")))
-    is_long = F.col(partition).eqNullSafe(F.col("_long"))
-    short = _walk(rows.join(long_paths, is_long, "left_anti"), [partition], order, values)
+    long_paths = _sized(sizes.select(partition, F.lit(True).alias("_long")), paths)
+    marked = lookup_join(rows, long_paths, partition, order, nulls_match=True)
+    short = _walk(marked.where(F.col("_long").isNull()), [partition], order, values)
     blocks = math.ceil(total / block_rows) + 1
-    split = _walk_blocks(rows.join(long_paths, is_long, "left_semi"), partition, order, values, blocks)
+    split = _walk_blocks(marked.where(F.col("_long")), partition, order, values, blocks)
     return _finish(short.unionByName(split), values)
 
 
+def _sized(small: DataFrame, rows: int) -> DataFrame:
+    """Marks ``small`` for broadcast when its counted rows allow it; else the planner decides."""
+    return F.broadcast(small) if rows <= BROADCAST_ROWS else small
+
+
 def _ascending(names: Sequence[str]) -> list[Column]:
     return [F.col(name).asc_nulls_last() for name in names]
 
@@ -134,7 +141,7 @@ def _walk_blocks(
     # one carried row per block.
     inside = _walk(cut, ["_block", partition], order, values)
     opened = inside.join(
-        F.broadcast(carried),
+        _sized(carried, blocks),
         (F.col("_block") == F.col("_at")) & F.col(partition).eqNullSafe(F.col("_path")),
         "left",
     )
@@ -144,4 +151,4 @@ def _walk_blocks(
 
 
 def _finish(rows: DataFrame, values: Mapping[str, Column]) -> DataFrame:
-    return rows.drop(*[f"_own_{name}" for name in values])
+    return rows.drop("_long", *[f"_own_{name}" for name in values])

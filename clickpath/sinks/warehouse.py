@@ -66,6 +66,7 @@ class Warehouse:
     def replace_partitions(self, table: str, rows: DataFrame) -> DataFrame:
         """Replace the partitions that ``rows`` has rows for; the others stay as they are.
 
+        So a day that the raw log has lost altogether keeps its rows until a full load.
         Files are staged and moved into place when the job commits, so ``rows`` may be
         read from the same table.
         """

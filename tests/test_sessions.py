@@ -107,7 +107,7 @@ def test_long_paths_equal_the_plain_window(spark, seed):
     """Half of all rows belong to one path and a third to the missing key."""
     rng = random.Random(seed)
     rows = []
-    for n in range(3000):
+    for n in range(1500):
         owner = rng.choices(["hot", None, f"u{rng.randrange(40)}"], [3, 2, 1])[0]
         # long stretches without a value, so that blocks have to hand one on
         value = rng.choice("abcdef") if rng.random() < (0.001 if owner == "hot" else 0.05) else None
@@ -115,7 +115,7 @@ def test_long_paths_equal_the_plain_window(spark, seed):
     df = spark.createDataFrame(rows, "owner string, at long, id long, value string")
     path = Window.partitionBy("owner").orderBy("at", "id").rowsBetween(Window.unboundedPreceding, 0)
     expected = df.withColumn("carried", F.last("value", ignorenulls=True).over(path))
-    got = carry_forward(df, "owner", ["at", "id"], {"carried": F.col("value")}, split_above=100, block_rows=60)
+    got = carry_forward(df, "owner", ["at", "id"], {"carried": F.col("value")}, split_above=100, block_rows=80)
     assert same_rows(got, expected)
 
 
