@@ -26,7 +26,7 @@ def test_day_shards(spark, tmp_path):
     assert days(cp.read_shards(spark, str(tmp_path))) == ["20240101", "20240102", "20240104"]
     some = cp.read_shards(spark, str(tmp_path), dt.date(2024, 1, 2), dt.date(2024, 1, 5))
     assert days(some) == ["20240102", "20240104"]
-    assert len(some.inputFiles()) == 2
+    assert {name.split("/")[-2] for name in some.inputFiles()} == {"events_20240102", "events_20240104"}
     with pytest.raises(ValueError):
         cp.read_shards(spark, str(tmp_path), dt.date(2024, 1, 2))
 
