@@ -79,6 +79,12 @@ def _per_session(events: DataFrame, active_since: dt.date | None = None) -> Data
     return rolled.withColumn("session_key", session_key(F.col("ga_session_id"))).select(*columns("pre_sessions"))
 
 
+def sessions_in_window(events: DataFrame, as_of: dt.date, lookback_days: int = 3) -> DataFrame:
+    """Owners of the sessions with an event in the reload window."""
+    window = F.col("event_date") >= F.lit(as_of - dt.timedelta(lookback_days))
+    return _in_session(events).where(window).select(*SESSION_OWNER).distinct()
+
+
 def recent_sessions(events: DataFrame, existing: DataFrame, as_of: dt.date, lookback_days: int = 3) -> DataFrame:
     """Sessions with an event in the reload window, each rebuilt from all of its events.
 
@@ -86,12 +92,10 @@ def recent_sessions(events: DataFrame, existing: DataFrame, as_of: dt.date, look
     earliest of these starts are read: none of their events is older. It must be complete
     up to the window.
     """
-    window = as_of - dt.timedelta(lookback_days)
-    in_window = F.col("event_date") >= F.lit(window)
-    owners = _in_session(events).where(in_window).select(*SESSION_OWNER).distinct()
+    owners = sessions_in_window(events, as_of, lookback_days)
     began = join_sessions(existing, owners, "left_semi").agg(F.min("session_start_timestamp"))
     earliest_start = began.first()[0]
-    read_from = window
+    read_from = window = as_of - dt.timedelta(lookback_days)
     if earliest_start is not None:
         # Days are cut in the reporting time zone, at most a day off from UTC.
         start = dt.datetime.fromtimestamp(earliest_start // 1_000_000, dt.timezone.utc).date()

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickpath import operators as ops
-from clickpath.operators.sessions import join_sessions
+from clickpath.operators.sessions import join_sessions, sessions_in_window
 from clickpath.plans.full import full_refresh, refresh_outputs, start_day
 from clickpath.sinks import Warehouse
 from clickpath.sinks.warehouse import SESSION_DAY
@@ -40,9 +40,12 @@ def daily_refresh(
 def _load_sessions(warehouse: Warehouse, as_of: dt.date, lookback_days: int) -> None:
     existing = warehouse.read_stored("pre_sessions")
     events = warehouse.read("pre_events")
-    rebuilt = ops.recent_sessions(events, existing.drop(SESSION_DAY), as_of, lookback_days)
-    known = join_sessions(rebuilt, existing, "left", SESSION_DAY)
-    placed = stored(known.withColumn(SESSION_DAY, F.coalesce(F.col(SESSION_DAY), start_day())), "sessions-placed")
+    # the one pass over the whole session table; what follows needs only the sessions concerned
+    owners = sessions_in_window(events, as_of, lookback_days)
+    known = stored(join_sessions(existing, owners, "left_semi"), "sessions-known")
+    rebuilt = ops.recent_sessions(events, known, as_of, lookback_days)
+    found = join_sessions(rebuilt, known, "left", SESSION_DAY)
+    placed = stored(found.withColumn(SESSION_DAY, F.coalesce(F.col(SESSION_DAY), start_day())), "sessions-placed")
     # one entry per calendar day
     days = [row[0] for row in placed.select(SESSION_DAY).distinct().collect()]
     if days:
