@@ -15,6 +15,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 
 from clickpath.plans import daily_refresh, full_refresh
+from clickpath.plans.daily import is_loaded, today
 from clickpath.session import build_session
 from clickpath.sinks import Warehouse
 from clickpath.sources import read_events, read_shards, read_table
@@ -41,16 +42,22 @@ def _arguments(given: list[str] | None) -> argparse.Namespace:
     return arguments
 
 
-def _raw(spark: SparkSession, arguments: argparse.Namespace) -> DataFrame:
+def _raw(spark: SparkSession, arguments: argparse.Namespace, warehouse: Warehouse) -> DataFrame:
     readers = {"partitions": read_events, "shards": read_shards, "table": read_table}
-    return readers[arguments.layout](spark, arguments.raw, collected=arguments.collected)
+    days = {}
+    if arguments.layout == "shards" and arguments.load == "daily" and is_loaded(warehouse):
+        # the date is inside the files, so the days to open are chosen by folder
+        as_of = arguments.as_of or today()
+        days["first"] = as_of - dt.timedelta(arguments.lookback_days)
+        days["last"] = max(as_of, today()) + dt.timedelta(1)
+    return readers[arguments.layout](spark, arguments.raw, collected=arguments.collected, **days)
 
 
 def main(given: list[str] | None = None) -> Warehouse:
     arguments = _arguments(given)
     spark = build_session()
     warehouse = Warehouse(spark, arguments.root, arguments.database, arguments.register)
-    raw = _raw(spark, arguments)
+    raw = _raw(spark, arguments, warehouse)
     options = {"event_id": arguments.event_id, "on_duplicate": arguments.on_duplicate, "dates": arguments.dates}
     if arguments.load == "full":
         return full_refresh(raw, warehouse, arguments.grain, **options)

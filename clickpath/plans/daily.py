@@ -15,6 +15,15 @@ from clickpath.sinks.warehouse import SESSION_DAY
 from clickpath.storage import stored
 
 
+def today() -> dt.date:
+    return dt.datetime.now(dt.timezone.utc).date()
+
+
+def is_loaded(warehouse: Warehouse) -> bool:
+    """Whether there are tables for a daily load to start from."""
+    return warehouse.exists("pre_events") and warehouse.exists("pre_sessions")
+
+
 def daily_refresh(
     raw: DataFrame,
     warehouse: Warehouse,
@@ -27,8 +36,8 @@ def daily_refresh(
     Only session grain can be loaded this way: at event grain a session has many rows and
     no key to replace them by.
     """
-    as_of = as_of or dt.datetime.now(dt.timezone.utc).date()
-    if not (warehouse.exists("pre_events") and warehouse.exists("pre_sessions")):
+    as_of = as_of or today()
+    if not is_loaded(warehouse):
         return full_refresh(raw, warehouse, **event_options)
     warehouse.replace_partitions(
         "pre_events", ops.pre_events_recent(raw, as_of, lookback_days, **event_options)
