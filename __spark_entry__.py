@@ -19,6 +19,15 @@ from checks.oracle import ORACLE  # noqa: E402
 from clickpath.sources import sample_events  # noqa: E402
 from clickpath.storage import stored, work_dir  # noqa: E402
 
+# The training-data package and its pipeline can be left out of an installation.
+try:
+    import corpus_pipeline
+    from clickpath.llm import queries as llm_queries
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "clickpath.llm"):
+        raise
+    corpus_pipeline = llm_queries = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 
 # The given events end on 2024-01-30. From this day the reload window starts inside a
@@ -304,9 +313,20 @@ def entry(spark: SparkSession) -> DataFrame:
     return report_transactions(spark, SMOKE_DIR)
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+def own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    """The queries over the events, without those of the training-data package."""
     return {query.__name__: query for query in _QUERIES}
 
 
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    found = own_queries()
+    if llm_queries:
+        found |= llm_queries.QUERIES | {"pipeline": corpus_pipeline.run}
+    return found
+
+
 def oracle_sql() -> dict[str, str]:
-    return dict(ORACLE)
+    found = dict(ORACLE)
+    if llm_queries:
+        found |= llm_queries.SQL | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
+    return found
