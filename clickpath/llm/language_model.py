@@ -7,7 +7,8 @@ their own, all others share the class of their last three bytes. The model gives
 * ``p(class | context)`` is a softmax over the sum of weights of the context's features: a bias, the
   class of the word before, the class of the word before that (a skip feature), and both together,
   hashed into ``HASHED`` rows. Contexts are pairs of classes, so their number does not depend on the corpus.
-* ``p(token | class)`` is the softmax of ``log(count + 1)`` over the class' tokens and one unknown.
+* ``p(token | class)`` is the softmax of ``log(count - d)`` over the class' tokens and of ``log(d * types)`` for
+  the one unknown token of the class. The discount d comes from the numbers of tokens seen once and twice.
 
 Counting covers all training documents: token counts go through buckets of hashes (``chunks``), class
 trigrams through folded sums. Training takes steps along the gradient; the rows of contexts are spread
@@ -50,8 +51,9 @@ CONTEXTS = CLASSES + 1
 # rows of packed counts that one task adds up
 FOLD = 64
 
-COUNTED = "chunk int, bucket int, payload binary, tokens bigint, types bigint, sums array<bigint>, kinds array<bigint>, " \
-          "top array<struct<hash: bigint, n: bigint, suffix: int>>"
+# of each suffix class: tokens, types, types seen once, types seen twice
+SUMS = 4
+COUNTED = "chunk int, bucket int, payload binary, sums array<bigint>, top array<struct<hash: bigint, n: bigint, suffix: int>>"
 
 
 def training_rows(doc_id: Column) -> Column:
@@ -117,20 +119,19 @@ def _totals(table: pa.Table) -> pa.Table:
     found, at, back = np.unique(keys, return_index=True, return_inverse=True)
     total = np.bincount(back, weights=counts).astype(np.int64)
     kind = suffix[at]
-    known = total > 0
-    sums = np.bincount(kind, weights=total, minlength=SUFFIXES).astype(np.int64)
-    kinds = np.bincount(kind[known], minlength=SUFFIXES)
+    sums = np.concatenate(
+        [np.bincount(kind, weights=w, minlength=SUFFIXES) for w in (total, total > 0, total == 1, total == 2)]
+    ).astype(np.int64)
     top = np.lexsort((found, -total))[:TOP]
     bucket = table.column("bucket")[0].as_py()
     answer = total[back]
     cuts = np.concatenate([[0], np.cumsum(n)])
     rows = [(c, bucket, answer[a:b].astype("<u8").tobytes()) for c, a, b in zip(chunk, cuts[:-1], cuts[1:])]
-    rows = [r + (0, 0, None, None, None) for r in rows]
+    rows = [r + (None, None) for r in rows]
     best = [{"hash": int(found[i].astype(np.int64)), "n": int(total[i]), "suffix": int(kind[i])} for i in top if total[i]]
-    rows.append((None, bucket, None, int(total.sum()), int(known.sum()), sums.tolist(), kinds.tolist(), best))
+    rows.append((None, bucket, None, sums.tolist(), best))
     schema = pa.schema(
-        [("chunk", pa.int32()), ("bucket", pa.int32()), ("payload", pa.binary()), ("tokens", pa.int64()), ("types", pa.int64()),
-         ("sums", pa.list_(pa.int64())), ("kinds", pa.list_(pa.int64())),
+        [("chunk", pa.int32()), ("bucket", pa.int32()), ("payload", pa.binary()), ("sums", pa.list_(pa.int64())),
          ("top", pa.list_(pa.struct([("hash", pa.int64()), ("n", pa.int64()), ("suffix", pa.int32())])))]
     )
     return pa.table([pa.array(column, f.type) for column, f in zip(zip(*rows), schema)], schema=schema)
@@ -145,6 +146,7 @@ class Vocabulary:
     # of each suffix class, without the tokens that are classes of their own
     sums: np.ndarray
     kinds: np.ndarray
+    discount: np.ndarray
     top: np.ndarray
     top_class: np.ndarray
 
@@ -160,25 +162,27 @@ class Vocabulary:
         """log10 p(token | class)."""
         shared = classes >= TOP
         kind = np.where(shared, classes - TOP, 0)
-        return np.where(shared, np.log10((counts + 1) / (self.sums[kind] + self.kinds[kind] + 1)), 0.0)
+        weight = np.where(counts > 0, counts - self.discount[kind], self.discount[kind] * self.kinds[kind])
+        # all of a class without training tokens is unknown
+        empty = self.sums[kind] == 0
+        return np.where(shared & ~empty, np.log10(np.where(empty | ~shared, 1, weight) / np.maximum(self.sums[kind], 1)), 0.0)
 
 
 def _vocabulary(counted: DataFrame) -> Vocabulary:
     sums = counted.where("chunk is null")
-    row = sums.agg(
-        F.sum("tokens").alias("tokens"), F.sum("types").alias("types"),
-        *[F.sum(F.get("sums", F.lit(i))).alias(f"s{i}") for i in range(SUFFIXES)],
-        *[F.sum(F.get("kinds", F.lit(i))).alias(f"k{i}") for i in range(SUFFIXES)],
-    ).first()
+    row = sums.agg(*[F.sum(F.get("sums", F.lit(i))).alias(f"s{i}") for i in range(SUMS * SUFFIXES)]).first()
     top = sums.select(F.explode("top").alias("t")).select("t.*").orderBy(F.col("n").desc(), "hash").limit(TOP).collect()
-    by_suffix = np.array([row[f"s{i}"] or 0 for i in range(SUFFIXES)], dtype=np.int64)
-    kinds = np.array([row[f"k{i}"] or 0 for i in range(SUFFIXES)], dtype=np.int64)
+    total = np.array([x or 0 for x in row], dtype=np.int64).reshape(SUMS, SUFFIXES)
+    tokens, types = int(total[0].sum()), int(total[1].sum())
     for t in top:
-        by_suffix[t["suffix"]] -= t["n"]
-        kinds[t["suffix"]] -= 1
+        total[0, t["suffix"]] -= t["n"]
+        total[1, t["suffix"]] -= 1
+        if t["n"] <= 2:
+            total[1 + t["n"], t["suffix"]] -= 1
+    discount = (total[2] + 1) / (total[2] + 2 * total[3] + 2)
     hashes = np.array([t["hash"] for t in top], dtype=np.int64).view(np.uint64)
     order = np.argsort(hashes)
-    return Vocabulary(row["tokens"] or 0, row["types"] or 0, by_suffix, kinds, hashes[order], order.astype(np.int64))
+    return Vocabulary(tokens, types, total[0], total[1], discount, hashes[order], order.astype(np.int64))
 
 
 def _contexts(classes: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -279,6 +283,15 @@ class Weights:
         one = np.full(CONTEXTS, 1 + before)
         return np.stack([np.zeros(CONTEXTS, int), one, 1 + CONTEXTS + two, 1 + 2 * CONTEXTS + pair.astype(int)])
 
+    def add(self, total: np.ndarray, before: int, counts: np.ndarray) -> None:
+        """Add a row of ``counts`` per class two before to each of its features' rows in ``total``."""
+        every = counts.sum(axis=0)
+        total[0] += every
+        total[1 + before] += every
+        total[1 + CONTEXTS : 1 + 2 * CONTEXTS] += counts
+        for row, mine in zip(self.features(before)[3], counts):
+            total[row] += mine
+
     def log_probabilities(self, before: int) -> np.ndarray:
         """Natural logs, a row per class two before."""
         logits = self.rows[self.features(before)].sum(axis=0)
@@ -295,9 +308,8 @@ def _gradient(weights: np.ndarray):
             for before, raw in zip(batch.column("before").to_pylist(), batch.column("payload").to_pylist()):
                 counts = _unpacked(raw).reshape(CONTEXTS, CLASSES)
                 wanted = counts.sum(axis=1, keepdims=True) * np.exp(model.log_probabilities(before))
-                for rows in model.features(before):
-                    np.add.at(seen, rows, counts)
-                    np.add.at(expected, rows, wanted)
+                for total, mine in ((seen, counts), (expected, wanted)):
+                    model.add(total, before, mine)
         raw = seen.astype("<f4").tobytes() + expected.astype("<f4").tobytes()
         yield pa.record_batch([pa.array([raw], pa.binary())], names=["payload"])
 

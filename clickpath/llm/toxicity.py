@@ -17,7 +17,7 @@ ones (0 without any); rows with the same doc_id each keep their score; other col
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -176,24 +176,28 @@ def fit(sample: Sample, steps: int = STEPS, seed: int = 1) -> Model:
     return kept
 
 
-def _score(model: Model):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            scores = []
-            for words in W.word_groups(W.as_binary(batch.column("text")), lower=True):
-                kinds, index = _kinds(words)
-                buckets, size = _bags(words, kinds)
-                total = np.concatenate([[0.0], np.cumsum(model.buckets[buckets])])
-                ends = np.cumsum(size)
-                each = ((total[ends] - total[ends - size]) / np.maximum(size, 1))[index]
-                run = np.concatenate([[0.0], np.cumsum(each)])
-                mean = (run[words.first[1:]] - run[words.first[:-1]]) / (words.counts() + NEUTRAL)
-                scores.append(1 / (1 + np.exp(-np.clip(mean + model.bias, -40, 40))))
-            scores = np.concatenate(scores) if scores else np.zeros(0)
-            names = [c for c in batch.schema.names if c != "text"]
-            yield pa.record_batch([*[batch.column(c) for c in names], pa.array(scores, pa.float64())], names=[*names, "score"])
+def _scores(model: Model, texts: pa.Array) -> np.ndarray:
+    scores = []
+    for words in W.word_groups(W.as_binary(texts), lower=True):
+        kinds, index = _kinds(words)
+        buckets, size = _bags(words, kinds)
+        total = np.concatenate([[0.0], np.cumsum(model.buckets[buckets])])
+        ends = np.cumsum(size)
+        each = ((total[ends] - total[ends - size]) / np.maximum(size, 1))[index]
+        run = np.concatenate([[0.0], np.cumsum(each)])
+        mean = (run[words.first[1:]] - run[words.first[:-1]]) / (words.counts() + NEUTRAL)
+        scores.append(1 / (1 + np.exp(-np.clip(mean + model.bias, -40, 40))))
+    return np.concatenate(scores) if scores else np.zeros(0)
 
-    return run
+
+def scorer(model: Model) -> Callable[[Column], Column]:
+    """A function of a text column: the probability that a text is toxic."""
+
+    @F.arrow_udf("double")
+    def toxic(texts: pa.Array) -> pa.Array:
+        return pa.array(_scores(model, texts), pa.float64())
+
+    return toxic
 
 
 def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, seed: int = 1) -> Model:
@@ -216,8 +220,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, seed: int =
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id and score of every row."""
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    return rows.mapInArrow(_score(model), "doc_id bigint, score double")
+    return docs.select("doc_id", scorer(model)(F.col("text")).alias("score"))
 
 
 def learn_from_labels(docs: DataFrame, labels: DataFrame) -> Model:
