@@ -43,8 +43,8 @@ def _seeded(seed: int, *parts: Column) -> Column:
 def source_targets(sizes: DataFrame, weights: Sequence[int], share: float, most: int) -> DataFrame:
     """Rows (source, source_size, documents) with weight and target; one task handles one row per source."""
     order = Window.orderBy(F.col("source").asc_nulls_last())
-    below = Window.orderBy("ratio", F.col("source").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
-    above = Window.orderBy("ratio", F.col("source").asc_nulls_last()).rowsBetween(0, Window.unboundedFollowing)
+    by_ratio = Window.orderBy("ratio", F.col("source").asc_nulls_last())
+    below, above = by_ratio.rowsBetween(Window.unboundedPreceding, -1), by_ratio.rowsBetween(0, Window.unboundedFollowing)
     every = Window.partitionBy(F.lit(1))
     turn = (F.row_number().over(order) - 1) % len(weights) + 1
     ranked = (
@@ -54,14 +54,16 @@ def source_targets(sizes: DataFrame, weights: Sequence[int], share: float, most:
         .withColumn("budget", F.lit(share) * F.sum("source_size").over(every))
     )
     level = (F.col("budget") - F.coalesce(F.sum("most_words").over(below), F.lit(0))) / F.sum("weight").over(above)
-    leveled = ranked.withColumn("level", level)
-    free = F.min(F.when(F.col("ratio") > F.col("level"), F.col("level"))).over(every)
-    return leveled.withColumn("free_level", free).select(
+    leveled = ranked.withColumn("level", level).withColumn("place", F.row_number().over(by_ratio))
+    # the first source that its level does not fill: those before it are clamped, it and those after share this level
+    first_free = F.min(F.when(F.col("ratio") > F.col("level"), F.struct("place", "level"))).over(every)
+    free = F.col("place") >= F.col("first_free.place")
+    return leveled.withColumn("first_free", first_free).select(
         "source",
         "source_size",
         "documents",
         "weight",
-        F.when(F.col("ratio") > F.col("level"), F.col("weight") * F.col("free_level"))
+        F.when(free, F.col("weight") * F.col("first_free.level"))
         .otherwise(F.col("most_words").cast("double"))
         .alias("target"),
     )
@@ -125,13 +127,14 @@ leveled as (
   select *, (budget - coalesce(sum(most_words) over (order by ratio, source nulls last
                         rows between unbounded preceding and 1 preceding), 0)::bigint)
             / sum(weight) over (order by ratio, source nulls last
-                        rows between current row and unbounded following) as level
+                        rows between current row and unbounded following) as level,
+         row_number() over (order by ratio, source nulls last) as place
   from ranked),
+free as (select min(place) as first_free, arg_min(level, place) as free_level from leveled where ratio > level),
 plan as (
   select source, source_size, documents,
-         case when ratio > level then weight * min(case when ratio > level then level end) over ()
-              else most_words::double end as target
-  from leveled),
+         case when place >= first_free then weight * free_level else most_words::double end as target
+  from leveled, free),
 drawn as (
   select d.doc_id, d.size, p.source_size, p.target, d.source,
          ('0x' || substr(md5('7:' || coalesce(d.doc_id::varchar, '')), 1, 8))::bigint as draw, p.documents
