@@ -11,7 +11,7 @@ Parity: every batch that goes through the rebuilt model goes through the sentenc
 Where they differ the library's ids are taken, and ``n_differing`` counts the segments (or texts) concerned.
 
 Cases: null and empty texts have no ids and decode to the empty text; ids that are no part of valid UTF-8
-decode to U+FFFD; rows with the same doc_id keep their own results; an empty table gives an empty one.
+decode to U+FFFD; a marker that a text has itself decodes to a space; rows with the same doc_id keep their own results; an empty table gives an empty one.
 Other columns of the input are not read.
 """
 

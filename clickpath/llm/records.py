@@ -23,6 +23,7 @@ import struct
 import uuid
 import zlib
 from collections.abc import Iterator
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
@@ -40,7 +41,7 @@ END_ID = 1
 # a file is closed after so many bytes
 FILE_BYTES = 256 << 20
 # read at once from a file
-READ_BYTES = 8 << 20
+READ_BYTES = 2 << 20
 
 # fixed values of the file format
 _MASK = 0xA282EAD8
@@ -113,33 +114,92 @@ def _rows(rows: list[tuple]) -> pa.RecordBatch:
     return pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
 
 
-def _tokenizer_pieces(path: str):
-    from tokenizers import Tokenizer
+# words that show whether a tokenizer works on words alone, and whether case and marks can be taken off before
+_PROBES = ["ab", "straße", "été", "слово", "日本", "naïveté", "x", "aabbaabb"]
 
-    tokenizer = Tokenizer.from_file(path)
 
-    def encode(pieces: list[str]) -> list[list[int]]:
-        return [e.ids for e in tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+class WordTokenizer:
+    """Ids of words from the tokenizers library, each distinct word once per worker.
 
-    return PieceCache(encode), tokenizer.get_vocab_size()
+    White space never joins the words beside it in tokenizers that cut at words first, so words are
+    encoded alone. Words of letters that the normaliser leaves as they are need the model only: many of
+    them are encoded as one text that is cut at spaces. ``_PROBES`` decide whether that gives the same.
+    """
+
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer, pre_tokenizers
+
+        self.whole = Tokenizer.from_file(path)
+        self.size = self.whole.get_vocab_size()
+        self.model = Tokenizer(self.whole.model)
+        self.model.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
+        )
+        alone = [self._ids(w) for w in _PROBES]
+        self.by_words = self._ids(" ".join(_PROBES)) == sum(alone, []) == self._ids("\n\t".join(_PROBES))
+        self.by_model = self.by_words and self._joined(_PROBES) == alone
+        # case and marks do not matter for the words they are taken from
+        self.plain = self.by_words and all(
+            self._ids(w.upper() + ".,") == self._ids(w) + self._ids(".,") for w in _PROBES if w.isascii()
+        )
+        self.cache = PieceCache(self._encode)
+
+    def _ids(self, text: str) -> list[int]:
+        return self.whole.encode(text, add_special_tokens=False).ids
+
+    def _joined(self, words: list[str], many: int = 512) -> list[list[int]]:
+        texts = [" ".join(words[i : i + many]) for i in range(0, len(words), many)]
+        out = []
+        for i, e in enumerate(self.model.encode_batch(texts, add_special_tokens=False)):
+            ids = e.ids
+            cuts = np.searchsorted(e.word_ids, np.arange(min(many, len(words) - i * many) + 1)).tolist()
+            out += [ids[a:b] for a, b in zip(cuts[:-1], cuts[1:])]
+        return out
+
+    def _encode(self, words: list[str]) -> list[list[int]]:
+        simple = [self.by_model and w.isalpha() and w == w.lower() and is_normalized("NFC", w) for w in words]
+        easy = iter(self._joined([w for w, s in zip(words, simple) if s]))
+        hard = iter(self.whole.encode_batch_fast([w for w, s in zip(words, simple) if not s], add_special_tokens=False))
+        return [next(easy) if s else next(hard).ids for s in simple]
+
+    def groups(self, column: pa.Array, most: int = 1 << 20) -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
+        """Rows of each group of texts, their ids, and where each text's ids start."""
+        if self.by_words:
+            for words in W.word_groups(column, lower=self.plain, marks=self.plain, most=most):
+                ids, lengths = self.cache.ids(words)
+                yield words.rows, ids, per_text(lengths, words)
+            return
+        for rows, _, _ in W.groups(column):
+            texts = [t.decode() for t in column[rows.start : rows.stop].to_pylist()]
+            found = [e.ids for e in self.whole.encode_batch_fast(texts, add_special_tokens=False)]
+            lengths = [len(x) for x in found]
+            yield rows, np.array([i for x in found for i in x], dtype=np.int32), np.concatenate([[0], np.cumsum(lengths)])
+
+
+_tokenizers: dict[str, WordTokenizer] = {}
+
+
+def word_tokenizer(path: str) -> WordTokenizer:
+    """One per worker and file, with what it remembers."""
+    if path not in _tokenizers:
+        _tokenizers[path] = WordTokenizer(path)
+    return _tokenizers[path]
 
 
 def _write(tokenizer: str, root: str, end_id: int, file_bytes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, folder = pafs.FileSystem.from_uri(root)
-        cache, size = _tokenizer_pieces(tokenizer)
-        kind = np.dtype("<u2" if max(size, end_id + 1) <= 1 << 16 else "<u4")
+        made = word_tokenizer(tokenizer)
+        kind = np.dtype("<u2" if max(made.size, end_id + 1) <= 1 << 16 else "<u4")
         part, number, file, done = TaskContext.get().partitionId(), 0, None, []
+        end = np.array([end_id], dtype=kind)
         for batch in batches:
             doc_ids = batch.column("doc_id").to_pylist()
-            # white space never joins the words beside it in these tokenizers, so words can be encoded alone
-            for words in W.word_groups(W.as_binary(batch.column("text"))):
-                ids, lengths = cache.ids(words)
-                ids, at = ids.astype(kind), per_text(lengths, words)
-                end = np.array([end_id], dtype=kind)
+            for rows, ids, at in made.groups(W.as_binary(batch.column("text"))):
+                ids = ids.astype(kind)
                 records = [
                     frame(payload_of(doc_id, np.concatenate([ids[a:b], end])))
-                    for doc_id, a, b in zip(doc_ids[words.rows], at[:-1], at[1:])
+                    for doc_id, a, b in zip(doc_ids[rows], at[:-1], at[1:])
                 ]
                 file = file or _File(fs, folder, part, number)
                 file.add(records, len(ids) + len(records))
@@ -188,10 +248,7 @@ def _read(root: str, read_bytes: int):
                             [
                                 pa.array([d for d, _ in docs], pa.int64()),
                                 pa.array(start + np.cumsum(n) - n),
-                                pa.ListArray.from_arrays(
-                                    pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32)),
-                                    pa.array(np.concatenate([ids.astype(np.int32) for _, ids in docs])),
-                                ),
+                                pa.array([ids.astype("<u4").tobytes() for _, ids in docs], pa.binary()),
                             ],
                             names=["doc_id", "start", "ids"],
                         )
@@ -202,10 +259,13 @@ def _read(root: str, read_bytes: int):
 
 
 def read_token_records(spark: SparkSession, manifest: DataFrame, root: str, read_bytes: int = READ_BYTES) -> DataFrame:
-    """doc_id, start (ids before it in all files) and ids of every record; a damaged record raises."""
+    """doc_id, start (ids before it in all files) and ids of every record, as little-endian 32-bit numbers.
+
+    A damaged record raises.
+    """
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     files = manifest.select("path", "start", "bytes").repartition(tasks, "path")
-    return files.mapInArrow(_read(root, read_bytes), "doc_id bigint, start bigint, ids array<int>")
+    return files.mapInArrow(_read(root, read_bytes), "doc_id bigint, start bigint, ids binary")
 
 
 def read_one(root: str, path: str, number: int) -> tuple[int | None, np.ndarray]:
@@ -225,17 +285,6 @@ def new_record_folder(spark: SparkSession) -> str:
     return root
 
 
-def _checksums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        ids = batch.column("ids")
-        flat, at = ids.values.to_numpy().astype("<u4"), ids.offsets.to_numpy()
-        crc = [zlib.crc32(flat[a:b]) for a, b in zip(at[:-1], at[1:])]
-        yield pa.record_batch(
-            [batch.column("doc_id"), batch.column("start"), pa.array(np.diff(at).astype(np.int64)), pa.array(crc, pa.int64())],
-            names=["doc_id", "start", "n_tokens", "ids_crc32"],
-        )
-
-
 def op7_token_records(spark, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -243,4 +292,5 @@ def op7_token_records(spark, sf_dir: str) -> DataFrame:
     root = new_record_folder(spark)
     manifest = write_token_records(docs, root, public_tokenizers.path("word_bpe_49k.json"))
     back = read_token_records(spark, manifest, root)
-    return back.mapInArrow(_checksums, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
+    n_tokens = (F.octet_length("ids") / 4).cast("bigint")
+    return back.select("doc_id", "start", n_tokens.alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))

@@ -19,6 +19,10 @@ GROUP_BYTES = 1 << 19
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
+_MARK = np.zeros(256, dtype=bool)
+_MARK[[ord("."), ord(",")]] = True
+_ALNUM = np.zeros(256, dtype=bool)
+_ALNUM[[*range(ord("0"), ord("9") + 1), *range(ord("A"), ord("Z") + 1), *range(ord("a"), ord("z") + 1)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
 
@@ -107,7 +111,8 @@ def groups(column: pa.Array, most: int = GROUP_BYTES) -> Iterator[tuple[slice, n
         lo = hi
 
 
-def word_groups(column: pa.Array, lower: bool = False, most: int = GROUP_BYTES) -> Iterator[Words]:
+def word_groups(column: pa.Array, lower: bool = False, most: int = GROUP_BYTES, marks: bool = False) -> Iterator[Words]:
+    """Words of groups of texts; with ``marks`` a stop or comma behind a letter or digit (A-Z, 0-9) begins a word."""
     for rows, data, offsets in groups(column, most):
         if lower:
             data = _LOWER[data]
@@ -118,6 +123,10 @@ def word_groups(column: pa.Array, lower: bool = False, most: int = GROUP_BYTES)
         after = np.concatenate([space, [True]])
         after[offsets[1:]] = True
         word = ~space
+        if marks:
+            cut = np.flatnonzero(_MARK[data[1:]] & _ALNUM[data[:-1]])
+            before[cut + 1] = True
+            after[cut + 1] = True
         begin = np.flatnonzero(word & before[:-1])
         end = np.flatnonzero(word & after[1:]) + 1
         yield Words(rows, data, begin, end, np.searchsorted(begin, offsets))
