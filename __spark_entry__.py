@@ -250,21 +250,89 @@ def raw_flat_collected(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def raw_day_shards_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same log row by row."""
+    root = _scratch(spark, "shards")
+    _raw(spark, sf_dir).withColumn("day", F.col("event_date")).write.partitionBy("day").parquet(root)
+    return cp.read_shards(spark, root, prefix="day=").select(
+        "event_date", "event_timestamp", "event_name", "user_pseudo_id", "user_id",
+        "event_bundle_sequence_id", "event_server_timestamp_offset",
+        F.size("event_params").cast("bigint").alias("params"), F.size("items").cast("bigint").alias("items"),
+        "ecommerce.transaction_id",
+    )
+
+
+def pre_events_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nested items, one row each."""
+    return _events(spark, sf_dir).select(
+        "event_timestamp", "event_name", "user_pseudo_id", F.posexplode("items").alias("pos", "item")
+    ).select("event_timestamp", "event_name", "user_pseudo_id", F.col("pos").cast("bigint").alias("pos"), "item.*")
+
+
+def pre_events_fingerprint_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All columns; of the id what comes before the hash, which differs between engines."""
+    events = _unnested(cp.pre_events(_raw(spark, sf_dir), event_id="fingerprint"))
+    start = F.concat("user_pseudo_id", F.col("event_timestamp").cast("string"), "event_name")
+    hashed = F.when(F.col("event_id").startswith(start), F.substring(F.col("event_id"), F.lit(1), F.length(start)))
+    return events.withColumn("id_start", hashed).drop("event_id")
+
+
+def pre_events_incremental_lenient(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every eleventh event has no readable date."""
+    bad = F.when(F.col("event_bundle_sequence_id") % 11 == 0, F.concat(F.lit("d"), "event_date"))
+    raw = _raw(spark, sf_dir)
+    undated = raw.withColumn("event_date", F.coalesce(bad, F.col("event_date")))
+    before = _before(raw).withColumn("event_date", F.coalesce(bad, F.col("event_date")))
+    existing = stored(cp.pre_events(before, dates="lenient"), "events-before")
+    return _unnested(cp.pre_events_incremental(undated, existing, AS_OF, dates="lenient"))
+
+
+def _removed(raw: DataFrame) -> DataFrame:
+    """The log after every fifth event of the reload window has gone."""
+    return raw.where((F.col("event_bundle_sequence_id") % 5 != 0) | (F.col("event_date") < "20240128"))
+
+
+def pre_sessions_incremental_after_removal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = _raw(spark, sf_dir)
+    before = cp.pre_events(_before(raw))
+    existing = stored(cp.pre_sessions(before), "sessions-before")
+    return cp.pre_sessions_incremental(cp.pre_events(_removed(raw)), existing, AS_OF, before=before)
+
+
+def report_products_linear_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = _events(spark, sf_dir)
+    return cp.products_split(events, cp.linear(_sessions(events)))
+
+
 def full_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All nine tables written, each from the stored ones before it."""
     warehouse = cp.Warehouse(spark, _scratch(spark, "full"))
     return cp.full_refresh(_raw(spark, sf_dir), warehouse).read("transactions")
 
 
+def full_refresh_session_scope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    warehouse = cp.Warehouse(spark, _scratch(spark, "full"))
+    return cp.full_refresh(_raw(spark, sf_dir), warehouse, scope="session").read("transactions")
+
+
+_loaded: dict[tuple[str, str], cp.Warehouse] = {}
+
+
+def _loaded_before(spark: SparkSession, sf_dir: str) -> cp.Warehouse:
+    """Tables of the days before the last ones: one warehouse per folder, prepared once."""
+    place = (work_dir(spark), sf_dir)
+    if place not in _loaded or _loaded[place].spark is not spark or _loaded[place].state() is None:
+        warehouse = cp.Warehouse(spark, _scratch(spark, "daily"))
+        _loaded[place] = cp.full_refresh(_before(_raw(spark, sf_dir)), warehouse)
+    return _loaded[place]
+
+
 def _loaded_daily(spark: SparkSession, sf_dir: str) -> cp.Warehouse:
-    raw = _raw(spark, sf_dir)
-    warehouse = cp.Warehouse(spark, _scratch(spark, "daily"))
-    cp.full_refresh(_before(raw), warehouse)
-    return cp.daily_refresh(raw, warehouse, AS_OF)
+    """One daily load on top; where it was done before it is done again."""
+    return cp.daily_refresh(_raw(spark, sf_dir), _loaded_before(spark, sf_dir), AS_OF)
 
 
 def daily_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Tables of the days before, then one daily load on top."""
     return _loaded_daily(spark, sf_dir).read("transactions")
 
 
@@ -272,6 +340,36 @@ def daily_refresh_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _loaded_daily(spark, sf_dir).read("sessions")
 
 
+def _after_daily(name: str, table: str) -> Callable[[SparkSession, str], DataFrame]:
+    """A table as the daily load leaves it."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        warehouse = _loaded_before(spark, sf_dir)
+        if warehouse.state()["newest_day"] < LOADED_UNTIL.isoformat():
+            warehouse = _loaded_daily(spark, sf_dir)
+        rows = warehouse.read(table)
+        return _unnested(rows) if table == "pre_events" else rows
+
+    query.__name__ = name
+    return query
+
+
+def _changed_daily(spark: SparkSession, sf_dir: str, until: str, raw: DataFrame) -> DataFrame:
+    warehouse = cp.Warehouse(spark, _scratch(spark, "daily"))
+    cp.full_refresh(_raw(spark, sf_dir).where(F.col("event_date") < until), warehouse)
+    return cp.daily_refresh(raw, warehouse, AS_OF).read("sessions")
+
+
+def daily_refresh_after_removal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events of the window are gone since the last load, some sessions with them."""
+    return _changed_daily(spark, sf_dir, "20240201", _removed(_raw(spark, sf_dir)))
+
+
+def daily_refresh_after_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last load is older than the window."""
+    return _changed_daily(spark, sf_dir, "20240120", _raw(spark, sf_dir))
+
+
 _QUERIES = [
     event_params_lookup,
     traffic_cascade,
@@ -305,6 +403,22 @@ _QUERIES = [
     full_refresh,
     daily_refresh,
     daily_refresh_sessions,
+    _after_daily("daily_refresh_pre_events", "pre_events"),
+    _after_daily("daily_refresh_pre_sessions", "pre_sessions"),
+    _after_daily("daily_refresh_unified_id", "unified_id"),
+    _after_daily("daily_refresh_first_click", "attribution_first_click"),
+    _after_daily("daily_refresh_last_non_direct", "attribution_last_non_direct"),
+    _after_daily("daily_refresh_linear", "attribution_linear"),
+    _after_daily("daily_refresh_products", "products"),
+    daily_refresh_after_removal,
+    daily_refresh_after_gap,
+    pre_sessions_incremental_after_removal,
+    pre_events_incremental_lenient,
+    pre_events_items,
+    pre_events_fingerprint_rows,
+    raw_day_shards_rows,
+    full_refresh_session_scope,
+    report_products_linear_split,
 ]
 
 

@@ -215,8 +215,16 @@ _FLAT_COLUMNS = """event_id, event_date, event_timestamp, event_name, user_pseud
     transaction_id, purchase_revenue, tax, shipping, len(items) as items"""
 
 
-def chain(select: str, *steps: str) -> str:
-    return "with" + ",".join([RAW, LOOKED_UP, FLAT, *steps]) + "\n" + select.strip()
+def chain(select: str, *steps: str, flat: str = FLAT) -> str:
+    return "with" + ",".join([RAW, LOOKED_UP, flat, *steps]) + "\n" + select.strip()
+
+
+_DATE = "cast(strptime(event_date, '%Y%m%d') as date)"
+# every eleventh event without a readable date
+UNDATED = FLAT.replace(_DATE, f"case when bundle % 11 <> 0 then {_DATE} end")
+# every fifth event of the last days gone
+REMOVED = FLAT.replace("from looked_up", "from looked_up where bundle % 5 <> 0 or event_date < '20240128'")
+_ITEM_COLUMNS = "i.item_id, i.item_name, i.item_category, i.price, i.quantity, i.item_revenue"
 
 
 _WHOLE_TRANSACTIONS = chain(
@@ -298,4 +306,41 @@ ORACLE: dict[str, str] = {
     "full_refresh": _WHOLE_TRANSACTIONS,
     "daily_refresh": _WHOLE_TRANSACTIONS,
     "daily_refresh_sessions": chain("select * from carried", ROLLED, CARRIED),
+    "daily_refresh_pre_events": chain(f"select {_FLAT_COLUMNS} from flat"),
+    "daily_refresh_pre_sessions": chain("select * from rolled", ROLLED),
+    "daily_refresh_unified_id": chain("select * from identity", identity()),
+    "daily_refresh_first_click": chain("select * from touched", ROLLED, CARRIED, FIRST),
+    "daily_refresh_last_non_direct": chain("select * from touched", ROLLED, CARRIED, LAST),
+    "daily_refresh_linear": chain("select * from touched", ROLLED, CARRIED, LINEAR),
+    "daily_refresh_products": chain(
+        _PRODUCT.format(attribution="touched", on="a.session_key = s.session_key", weight="a.attribution_weight"),
+        ROLLED, CARRIED, LAST, ORDERS, ITEMS,
+    ),
+    "daily_refresh_after_removal": chain("select * from carried", ROLLED, CARRIED, flat=REMOVED),
+    "daily_refresh_after_gap": chain("select * from carried", ROLLED, CARRIED),
+    "pre_sessions_incremental_after_removal": chain("select * from rolled", ROLLED, flat=REMOVED),
+    "pre_events_incremental_lenient": chain(f"select {_FLAT_COLUMNS} from flat", flat=UNDATED),
+    "pre_events_items": chain(
+        f"""select event_timestamp, event_name, user_pseudo_id, pos, {_ITEM_COLUMNS}
+        from (select *, unnest(range(len(items))) as pos, unnest(items) as i from flat)"""
+    ),
+    "pre_events_fingerprint_rows": chain(
+        f"""select * exclude (event_id), user_pseudo_id || event_timestamp || event_name as id_start
+        from (select {_FLAT_COLUMNS} from flat)"""
+    ),
+    "raw_day_shards_rows": chain(
+        """select event_date, event_timestamp, event_name, user_pseudo_id, user_id,
+            bundle as event_bundle_sequence_id, server_offset as event_server_timestamp_offset,
+            len(params) as params, len(items) as items, transaction_id from raw"""
+    ),
+    "full_refresh_session_scope": chain(
+        _TRANSACTION.format(attribution="carried", on="a.session_key = p.session_key", weight=_FOUND),
+        ROLLED, CARRIED, identity(), ORDERS,
+    ),
+    "report_products_linear_split": chain(
+        _PRODUCT.format(
+            attribution="shares", on="a.user_pseudo_id = s.user_pseudo_id", weight="a.attribution_weight"
+        ),
+        ROLLED, CARRIED, SHARES, ORDERS, ITEMS,
+    ),
 }

@@ -15,7 +15,8 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 
 from clickpath.plans import daily_refresh, full_refresh
-from clickpath.plans.daily import is_loaded, today
+from clickpath.plans.daily import first_day, today
+from clickpath.plans.full import MODELS, SCOPES
 from clickpath.session import build_session
 from clickpath.sinks import Warehouse
 from clickpath.sources import read_events, read_shards, read_table
@@ -34,6 +35,10 @@ def _arguments(given: list[str] | None) -> argparse.Namespace:
     parser.add_argument("--on-duplicate", choices=["first", "error"], default="first")
     parser.add_argument("--dates", choices=["strict", "lenient"], default="strict")
     parser.add_argument("--grain", choices=["session", "event"], default="session", help="full load only")
+    parser.add_argument("--scope", choices=SCOPES, default="cookie", help="what the reports attribute by")
+    parser.add_argument("--model", choices=MODELS, default="last_non_direct", help="attribution looked up at cookie scope")
+    parser.add_argument("--identity-as-of", type=dt.date.fromisoformat, help="only logins of the 30 days before")
+    parser.add_argument("--work-dir", help="shared folder for intermediate tables; below the tables by default")
     parser.add_argument("--as-of", type=dt.date.fromisoformat, help="daily load only; today, UTC, by default")
     parser.add_argument("--lookback-days", type=int, default=3, help="daily load only")
     arguments = parser.parse_args(given)
@@ -45,20 +50,24 @@ def _arguments(given: list[str] | None) -> argparse.Namespace:
 def _raw(spark: SparkSession, arguments: argparse.Namespace, warehouse: Warehouse) -> DataFrame:
     readers = {"partitions": read_events, "shards": read_shards, "table": read_table}
     days = {}
-    if arguments.layout == "shards" and arguments.load == "daily" and is_loaded(warehouse):
-        # the date is inside the files, so the days to open are chosen by folder
+    if arguments.layout == "shards" and arguments.load == "daily" and arguments.dates == "strict":
+        # the date is inside the files, so the days to open are chosen by folder; events without
+        # a readable date can be in any
         as_of = arguments.as_of or today()
-        days["first"] = as_of - dt.timedelta(arguments.lookback_days)
-        days["last"] = max(as_of, today()) + dt.timedelta(1)
+        since = first_day(warehouse, as_of, arguments.lookback_days)
+        if since and since != dt.date.min:
+            days["first"] = since
+            days["last"] = max(as_of, today()) + dt.timedelta(1)
     return readers[arguments.layout](spark, arguments.raw, collected=arguments.collected, **days)
 
 
 def main(given: list[str] | None = None) -> Warehouse:
     arguments = _arguments(given)
     spark = build_session()
-    warehouse = Warehouse(spark, arguments.root, arguments.database, arguments.register)
+    warehouse = Warehouse(spark, arguments.root, arguments.database, arguments.register, arguments.work_dir)
     raw = _raw(spark, arguments, warehouse)
     options = {"event_id": arguments.event_id, "on_duplicate": arguments.on_duplicate, "dates": arguments.dates}
+    options |= {"scope": arguments.scope, "model": arguments.model, "identity_as_of": arguments.identity_as_of}
     if arguments.load == "full":
         return full_refresh(raw, warehouse, arguments.grain, **options)
     return daily_refresh(raw, warehouse, arguments.as_of, arguments.lookback_days, **options)

@@ -13,6 +13,7 @@ from clickpath.operators.events import (
     pre_events,
     pre_events_day,
     pre_events_recent,
+    pre_events_since,
     traffic_cascade,
 )
 from clickpath.operators.identity import unified_id
@@ -20,6 +21,7 @@ from clickpath.operators.incremental import pre_events_incremental, pre_sessions
 from clickpath.operators.reports import (
     products,
     products_session_scope,
+    products_split,
     transactions,
     transactions_session_scope,
     transactions_split,
@@ -38,10 +40,12 @@ __all__ = [
     "pre_events_day",
     "pre_events_incremental",
     "pre_events_recent",
+    "pre_events_since",
     "pre_sessions",
     "pre_sessions_incremental",
     "products",
     "products_session_scope",
+    "products_split",
     "recent_sessions",
     "sessions",
     "traffic_cascade",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickpath.functions import earliest, latest, nulls_last_key
@@ -78,8 +78,9 @@ def linear_by_source(linear: DataFrame) -> DataFrame:
         .groupBy("user_pseudo_id", "final_session_source", "final_session_medium")
         .agg(F.count("session_key").alias("_of_source"))
     )
-    totals = by_source.groupBy("user_pseudo_id").agg(F.sum("_of_source").alias("_sessions"))
-    share = F.try_divide(F.col("_of_source").cast("double"), F.col("_sessions"))
-    return lookup_join(by_source, totals, "user_pseudo_id", ["final_session_source"]).select(
+    # at most one row per source of a cookie
+    total = F.sum("_of_source").over(Window.partitionBy("user_pseudo_id"))
+    share = F.try_divide(F.col("_of_source").cast("double"), total)
+    return by_source.select(
         "user_pseudo_id", "final_session_source", "final_session_medium", share.alias("attribution_weight")
     )

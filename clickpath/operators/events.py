@@ -71,17 +71,31 @@ def pre_events(
     ).select(*columns("pre_events"))
 
 
-def since(raw: DataFrame, as_of: dt.date, days: int) -> DataFrame:
-    """Raw events of the last ``days`` days before ``as_of`` and later.
+def since(raw: DataFrame, first_day: dt.date, dates: str = "strict") -> DataFrame:
+    """Raw events of ``first_day`` and later, and with lenient dates all events without a readable one.
 
-    Compared as text, the form the raw partitions carry, so whole days are skipped.
+    Strict dates are compared as text, the form the raw partitions carry, so whole days are
+    skipped. Undated events belong to no day, so every load reads them again.
     """
-    return raw.where(F.col("event_date") >= (as_of - dt.timedelta(days)).strftime(RAW_DATE))
+    if dates == "lenient":
+        day = F.try_to_date("event_date", "yyyyMMdd")
+        return raw.where(F.coalesce(day >= F.lit(first_day), F.lit(True)))
+    return raw.where(F.col("event_date") >= first_day.strftime(RAW_DATE))
+
+
+def pre_events_since(raw: DataFrame, first_day: dt.date, **options: str) -> DataFrame:
+    """Flat events of ``first_day`` and later, and the undated ones."""
+    return pre_events(since(raw, first_day, options.get("dates", "strict")), **options)
 
 
 def pre_events_recent(raw: DataFrame, as_of: dt.date, lookback_days: int = 3, **options: str) -> DataFrame:
-    """Flat events of the reload window."""
-    return pre_events(since(raw, as_of, lookback_days), **options)
+    """Flat events of the reload window, and the undated ones."""
+    return pre_events_since(raw, as_of - dt.timedelta(lookback_days), **options)
+
+
+def reloaded(first_day: dt.date) -> Column:
+    """Whether a load from ``first_day`` on reads a flat event again; never NULL."""
+    return F.coalesce(F.col("event_date") >= F.lit(first_day), F.lit(True))
 
 
 def pre_events_day(raw: DataFrame, as_of: dt.date, days_back: int = 7, **options: str) -> DataFrame:

@@ -11,8 +11,8 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickpath.operators.events import pre_events_recent
-from clickpath.operators.sessions import join_sessions, recent_sessions
+from clickpath.operators.events import pre_events_since, reloaded
+from clickpath.operators.sessions import join_sessions, owners_since, rebuilt_sessions
 from clickpath.operators.skew import without
 from clickpath.storage import stored
 
@@ -30,10 +30,12 @@ def pre_events_incremental(
     ``match="date"`` replaces the days of the window. ``match="event_id"`` replaces events
     by id and keeps the other rows of these days; an event without an id matches nothing
     and is added once more on every load. An id contains the event time, so older days
-    cannot hold a match and pass through untouched.
+    cannot hold a match and pass through untouched. Undated events are all read again and
+    replaced in the same way.
     """
-    recent = pre_events_recent(raw, as_of, lookback_days, **options)
-    window = F.col("event_date") >= F.lit(as_of - dt.timedelta(lookback_days))
+    first_day = as_of - dt.timedelta(lookback_days)
+    recent = pre_events_since(raw, first_day, **options)
+    window = reloaded(first_day)
     older = existing.where(~window)
     if match == "date":
         return older.unionByName(recent)
@@ -49,9 +51,18 @@ def upsert_sessions(existing: DataFrame, rebuilt: DataFrame) -> DataFrame:
 
 
 def pre_sessions_incremental(
-    events: DataFrame, existing: DataFrame, as_of: dt.date, lookback_days: int = 3
+    events: DataFrame, existing: DataFrame, as_of: dt.date, lookback_days: int = 3, before: DataFrame | None = None
 ) -> DataFrame:
-    """``existing`` with the sessions of the reload window rebuilt from all their events."""
-    return upsert_sessions(
-        existing, stored(recent_sessions(events, existing, as_of, lookback_days), "sessions-rebuilt")
-    )
+    """``existing`` with the sessions of the reload window rebuilt from all their events.
+
+    ``before`` is the event table that ``existing`` was built from. It tells which sessions
+    have lost events since, so that they are rebuilt too, or go with their last event.
+    Without it no event of the window may have been removed.
+    """
+    first_day = as_of - dt.timedelta(lookback_days)
+    owners = owners_since(events, first_day)
+    if before is not None:
+        owners = owners.union(owners_since(before, first_day)).distinct()
+    owners = stored(owners, "session-owners")
+    rebuilt = stored(rebuilt_sessions(events, existing, owners, first_day), "sessions-rebuilt")
+    return join_sessions(existing, owners, "left_anti").unionByName(rebuilt)

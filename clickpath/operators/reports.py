@@ -106,3 +106,9 @@ def products(events: DataFrame, attribution: DataFrame) -> DataFrame:
 def products_session_scope(events: DataFrame, sessions: DataFrame) -> DataFrame:
     """One row per purchased item, with the last non-direct source as of its own session."""
     return _own_session(_items(events), sessions).select(*columns("products"))
+
+
+def products_split(events: DataFrame, linear: DataFrame) -> DataFrame:
+    """Purchased items with the sources of their cookie and the linear weight of each: one row per item and source."""
+    shares = linear_by_source(linear).withColumnsRenamed(_ATTRIBUTION)
+    return lookup_join(_items(events), shares, "user_pseudo_id", _SPREAD).select(*columns("products"))

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickpath.functions import nulls_last_key, session_key
+from clickpath.operators.events import reloaded
 from clickpath.operators.skew import SPLIT_ABOVE, carry_forward, lookup_join
 from clickpath.schema import columns
 from clickpath.storage import stored
@@ -63,44 +64,54 @@ def pre_sessions(events: DataFrame, grain: str = "session") -> DataFrame:
     raise ValueError(f"grain must be 'session' or 'event', not {grain!r}")
 
 
-def _per_session(events: DataFrame, active_since: dt.date | None = None) -> DataFrame:
+def _per_session(events: DataFrame) -> DataFrame:
     # Grouped by the two parts of the key: the joined text can be the same for two cookies.
     rolled = (
         _in_session(events)
         .groupBy(*SESSION_OWNER)
-        .agg(
-            F.min(_TIME).alias("session_start_timestamp"),
-            F.max("event_date").alias("_last_day"),
-            *_first_and_last(),
-        )
+        .agg(F.min(_TIME).alias("session_start_timestamp"), *_first_and_last())
     )
-    if active_since is not None:
-        rolled = rolled.where(F.col("_last_day") >= F.lit(active_since))
     return rolled.withColumn("session_key", session_key(F.col("ga_session_id"))).select(*columns("pre_sessions"))
 
 
-def sessions_in_window(events: DataFrame, as_of: dt.date, lookback_days: int = 3) -> DataFrame:
-    """Owners of the sessions with an event in the reload window."""
-    window = F.col("event_date") >= F.lit(as_of - dt.timedelta(lookback_days))
-    return _in_session(events).where(window).select(*SESSION_OWNER).distinct()
+def owners_since(events: DataFrame, first_day: dt.date) -> DataFrame:
+    """Owners of the sessions with an event of ``first_day`` or later, or without a date."""
+    return _in_session(events).where(reloaded(first_day)).select(*SESSION_OWNER).distinct()
+
+
+def rebuilt_sessions(events: DataFrame, existing: DataFrame, owners: DataFrame, first_day: dt.date) -> DataFrame:
+    """The sessions of ``owners``, each from all of its events.
+
+    ``owners`` are those of all events since ``first_day``, and may be more. ``existing``
+    tells which of them began before that day, and when: of the older days only the
+    events of these sessions are grouped, and no day before the earliest start is read.
+    It must be complete up to ``first_day``.
+    """
+    known = join_sessions(existing, owners, "left_semi")
+    # Days are cut in the reporting time zone, at most a day off from UTC.
+    midnight = dt.datetime.combine(first_day + dt.timedelta(1), dt.time(), dt.timezone.utc)
+    before = F.coalesce(F.col("session_start_timestamp") < F.lit(int(midnight.timestamp()) * 1_000_000), F.lit(True))
+    early = known.where(before)
+    earliest_start, any_early, undated = early.agg(
+        F.min("session_start_timestamp"), F.count("*"), F.count_if(F.col("session_start_timestamp").isNull())
+    ).first()
+    recent = events.where(reloaded(first_day))
+    if not any_early:
+        return _per_session(recent)
+    start = dt.date.min
+    if not undated:
+        start = dt.datetime.fromtimestamp(earliest_start // 1_000_000, dt.timezone.utc).date() - dt.timedelta(1)
+    older = events.where((F.col("event_date") >= F.lit(start)) & (F.col("event_date") < F.lit(first_day)))
+    return _per_session(recent.unionByName(join_sessions(_in_session(older), early, "left_semi")))
 
 
 def recent_sessions(events: DataFrame, existing: DataFrame, as_of: dt.date, lookback_days: int = 3) -> DataFrame:
     """Sessions with an event in the reload window, each rebuilt from all of its events.
 
-    ``existing`` tells when the sessions of the window began, so only days from the
-    earliest of these starts are read: none of their events is older. It must be complete
-    up to the window.
+    ``existing`` must be complete up to the window.
     """
-    owners = sessions_in_window(events, as_of, lookback_days)
-    began = join_sessions(existing, owners, "left_semi").agg(F.min("session_start_timestamp"))
-    earliest_start = began.first()[0]
-    read_from = window = as_of - dt.timedelta(lookback_days)
-    if earliest_start is not None:
-        # Days are cut in the reporting time zone, at most a day off from UTC.
-        start = dt.datetime.fromtimestamp(earliest_start // 1_000_000, dt.timezone.utc).date()
-        read_from = min(window, start - dt.timedelta(1))
-    return _per_session(events.where(F.col("event_date") >= F.lit(read_from)), active_since=window)
+    first_day = as_of - dt.timedelta(lookback_days)
+    return rebuilt_sessions(events, existing, stored(owners_since(events, first_day), "session-owners"), first_day)
 
 
 def join_sessions(left: DataFrame, right: DataFrame, how: str, *values: str) -> DataFrame:
@@ -126,7 +137,9 @@ def sessions(
     """Sessions with the last non-direct source and medium so far, each carried on its own.
 
     ``pre`` is read twice and should be a stored table. The path of a cookie with more
-    than ``split_above`` rows is walked in blocks of about ``block_rows``.
+    than ``split_above`` rows is walked in blocks of about ``block_rows``. At event grain,
+    rows that differ in the last medium alone are one row here: the output has no such column,
+    and in tables of ``pre_sessions`` it depends on the session key.
     """
     rows = pre.drop("session_last_medium")
     if grain == "event":

@@ -8,20 +8,28 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickpath import operators as ops
-from clickpath.operators.sessions import join_sessions, sessions_in_window
-from clickpath.plans.full import full_refresh, refresh_outputs, start_day
+from clickpath.operators.events import reloaded
+from clickpath.operators.sessions import join_sessions, owners_since, rebuilt_sessions
+from clickpath.plans.full import as_state, check_reports, full_refresh, load_options, newest_day, refresh_outputs, start_day
 from clickpath.sinks import Warehouse
 from clickpath.sinks.warehouse import SESSION_DAY
-from clickpath.storage import stored
+from clickpath.storage import stored, working_under
 
 
 def today() -> dt.date:
     return dt.datetime.now(dt.timezone.utc).date()
 
 
-def is_loaded(warehouse: Warehouse) -> bool:
-    """Whether there are tables for a daily load to start from."""
-    return warehouse.exists("pre_events") and warehouse.exists("pre_sessions")
+def first_day(warehouse: Warehouse, as_of: dt.date, lookback_days: int) -> dt.date | None:
+    """The day that a daily load reads from; None if it has to build everything.
+
+    After a gap the window reaches back to the newest day there is, which may be incomplete.
+    """
+    state = warehouse.state()
+    if state is None:
+        return None
+    window = as_of - dt.timedelta(lookback_days)
+    return min(window, dt.date.fromisoformat(state["newest_day"])) if state["newest_day"] else dt.date.min
 
 
 def daily_refresh(
@@ -29,34 +37,64 @@ def daily_refresh(
     warehouse: Warehouse,
     as_of: dt.date | None = None,
     lookback_days: int = 3,
+    scope: str = "cookie",
+    model: str = "last_non_direct",
+    identity_as_of: dt.date | None = None,
     **event_options: str,
 ) -> Warehouse:
-    """Load the reload window of ``as_of`` (today, UTC); a warehouse without tables is built whole.
+    """Load the reload window of ``as_of`` (today, UTC); without a finished load everything is built.
 
-    Only session grain can be loaded this way: at event grain a session has many rows and
-    no key to replace them by.
+    The tables are then those of a full load of the same log. Only session grain can be
+    loaded this way: at event grain a session has many rows and no key to replace them by.
+    A table that was loaded with other options is refused.
     """
+    check_reports(scope, model)
     as_of = as_of or today()
-    if not is_loaded(warehouse):
-        return full_refresh(raw, warehouse, **event_options)
-    warehouse.replace_partitions(
-        "pre_events", ops.pre_events_recent(raw, as_of, lookback_days, **event_options)
-    )
-    _load_sessions(warehouse, as_of, lookback_days)
-    return refresh_outputs(warehouse)
-
-
-def _load_sessions(warehouse: Warehouse, as_of: dt.date, lookback_days: int) -> None:
-    existing = warehouse.read_stored("pre_sessions")
-    events = warehouse.read("pre_events")
-    # the one pass over the whole session table; what follows needs only the sessions concerned
-    owners = sessions_in_window(events, as_of, lookback_days)
-    known = stored(join_sessions(existing, owners, "left_semi"), "sessions-known")
-    rebuilt = ops.recent_sessions(events, known, as_of, lookback_days)
+    since = first_day(warehouse, as_of, lookback_days)
+    if since is None:
+        return full_refresh(
+            raw, warehouse, scope=scope, model=model, identity_as_of=identity_as_of, **event_options
+        )
+    state = warehouse.state()
+    options = load_options("session", event_options)
+    other = {name: state[name] for name in options if state[name] != options[name]}
+    if other:
+        raise ValueError(f"the tables were loaded with {other}; a daily load must use the same or follow a full one")
+    with working_under(warehouse.spark, warehouse.work_dir):
+        newest = _load_window(raw, warehouse, since, event_options)
+        refresh_outputs(warehouse, "session", scope, model, identity_as_of)
+        known = [day for day in (newest, state["newest_day"] and dt.date.fromisoformat(state["newest_day"])) if day]
+        warehouse.commit_load(as_state(options, max(known, default=None)))
+    return warehouse
+
+
+def _days(rows: DataFrame, column: str) -> set[dt.date | None]:
+    """One entry per calendar day."""
+    return {row[0] for row in rows.select(column).distinct().collect()}
+
+
+def _load_window(raw: DataFrame, warehouse: Warehouse, since: dt.date, event_options: dict[str, str]) -> dt.date | None:
+    """Replace the events since a day and the sessions they belong, or belonged, to.
+
+    Everything is computed into intermediate tables before the first table changes.
+    """
+    events, sessions = warehouse.read("pre_events"), warehouse.read_stored("pre_sessions")
+    recent = stored(ops.pre_events_since(raw, since, **event_options), "events-recent")
+    replaced = events.where(reloaded(since))
+    # a session may have lost its events of the window, so its old owners count as well
+    owners = stored(owners_since(replaced, since).union(owners_since(recent, since)).distinct(), "session-owners")
+    known = stored(join_sessions(sessions, owners, "left_semi"), "sessions-known")
+    whole = events.where(~reloaded(since)).unionByName(recent)
+    rebuilt = rebuilt_sessions(whole, known, owners, since)
     found = join_sessions(rebuilt, known, "left", SESSION_DAY)
     placed = stored(found.withColumn(SESSION_DAY, F.coalesce(F.col(SESSION_DAY), start_day())), "sessions-placed")
-    # one entry per calendar day
-    days = [row[0] for row in placed.select(SESSION_DAY).distinct().collect()]
-    if days:
-        concerned = existing.where(F.col(SESSION_DAY).isin(days))
-        warehouse.replace_partitions("pre_sessions", ops.upsert_sessions(concerned, placed))
+    days = _days(known, SESSION_DAY) | _days(placed, SESSION_DAY)
+    in_days = F.col(SESSION_DAY).isin([day for day in days if day])
+    concerned = sessions.where((in_days | F.col(SESSION_DAY).isNull()) if None in days else in_days)
+    upserted = stored(join_sessions(concerned, owners, "left_anti").unionByName(placed), "sessions-upserted")
+    lost_events = _days(replaced, "event_date") - _days(recent, "event_date")
+    lost_sessions = days - _days(upserted, SESSION_DAY)
+    warehouse.begin_load()
+    warehouse.replace_partitions("pre_events", recent, lost_events)
+    warehouse.replace_partitions("pre_sessions", upserted, lost_sessions)
+    return newest_day(recent)

@@ -2,32 +2,93 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickpath import operators as ops
 from clickpath.sinks import Warehouse
 from clickpath.sinks.warehouse import SESSION_DAY
+from clickpath.storage import working_under
+
+# What the reports attribute by: the session that the attribution table keeps of a cookie, the session
+# that a purchase was made in, or all sources of the cookie by linear weight.
+SCOPES = ("cookie", "session", "linear")
+# Which session of a cookie the reports of cookie scope look up.
+MODELS = ("last_non_direct", "first_click")
+
+EVENT_OPTIONS = {"event_id": "bundle", "on_duplicate": "first", "dates": "strict"}
+
+
+def load_options(grain: str, event_options: dict[str, str]) -> dict[str, str]:
+    """What the two incremental tables depend on, defaults filled in."""
+    return {"grain": grain, **EVENT_OPTIONS, **event_options}
+
+
+def newest_day(events: DataFrame) -> dt.date | None:
+    return events.agg(F.max("event_date")).first()[0]
 
 
-def full_refresh(raw: DataFrame, warehouse: Warehouse, grain: str = "session", **event_options: str) -> Warehouse:
+def as_state(options: dict[str, str], newest: dt.date | None) -> dict:
+    return {**options, "newest_day": newest and newest.isoformat()}
+
+
+def full_refresh(
+    raw: DataFrame,
+    warehouse: Warehouse,
+    grain: str = "session",
+    scope: str = "cookie",
+    model: str = "last_non_direct",
+    identity_as_of: dt.date | None = None,
+    **event_options: str,
+) -> Warehouse:
     """Build every table anew. Each one is written and read back, so none is computed twice."""
-    warehouse.replace("pre_events", ops.pre_events(raw, **event_options))
-    pre = ops.pre_sessions(warehouse.read("pre_events"), grain)
-    warehouse.replace("pre_sessions", pre.withColumn(SESSION_DAY, start_day()))
-    return refresh_outputs(warehouse, grain)
+    check_reports(scope, model)
+    with working_under(warehouse.spark, warehouse.work_dir):
+        warehouse.begin_load()
+        events = warehouse.replace("pre_events", ops.pre_events(raw, **event_options))
+        pre = ops.pre_sessions(events, grain)
+        warehouse.replace("pre_sessions", pre.withColumn(SESSION_DAY, start_day()))
+        refresh_outputs(warehouse, grain, scope, model, identity_as_of)
+        warehouse.commit_load(as_state(load_options(grain, event_options), newest_day(events)))
+    return warehouse
+
+
+def check_reports(scope: str, model: str) -> None:
+    if scope not in SCOPES:
+        raise ValueError(f"scope must be one of {SCOPES}, not {scope!r}")
+    if model not in MODELS:
+        raise ValueError(f"model must be one of {MODELS}, not {model!r}")
+
 
+def refresh_outputs(
+    warehouse: Warehouse,
+    grain: str = "session",
+    scope: str = "cookie",
+    model: str = "last_non_direct",
+    identity_as_of: dt.date | None = None,
+) -> Warehouse:
+    """Build the seven tables that are always replaced whole.
 
-def refresh_outputs(warehouse: Warehouse, grain: str = "session") -> Warehouse:
-    """Build the seven tables that are always replaced whole."""
+    ``identity_as_of`` limits the identity table to the 30 days before it.
+    """
     events = warehouse.read("pre_events")
     sessions = warehouse.replace("sessions", ops.sessions(warehouse.read("pre_sessions"), grain))
-    ids = warehouse.replace("unified_id", ops.unified_id(events))
-    warehouse.replace("attribution_first_click", ops.first_click(sessions))
-    attribution = warehouse.replace("attribution_last_non_direct", ops.last_non_direct(sessions))
-    warehouse.replace("attribution_linear", ops.linear(sessions))
-    warehouse.replace("transactions", ops.transactions(events, attribution, ids))
-    warehouse.replace("products", ops.products(events, attribution))
+    ids = warehouse.replace("unified_id", ops.unified_id(events, as_of=identity_as_of))
+    touched = {
+        "first_click": warehouse.replace("attribution_first_click", ops.first_click(sessions)),
+        "last_non_direct": warehouse.replace("attribution_last_non_direct", ops.last_non_direct(sessions)),
+    }
+    linear = warehouse.replace("attribution_linear", ops.linear(sessions))
+    if scope == "session":
+        reports = ops.transactions_session_scope(events, sessions, ids), ops.products_session_scope(events, sessions)
+    elif scope == "linear":
+        reports = ops.transactions_split(events, linear, ids), ops.products_split(events, linear)
+    else:
+        reports = ops.transactions(events, touched[model], ids), ops.products(events, touched[model])
+    for name, rows in zip(("transactions", "products"), reports):
+        warehouse.replace(name, rows)
     return warehouse
 
 

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import json
+from collections.abc import Iterable
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from clickpath.schema import DESCRIPTIONS, TABLES, columns
+from clickpath.storage import remove_folder
 
 # Day a session was first stored under. It never changes afterwards, so a session that is
 # rebuilt goes back into the partition it came from.
@@ -28,8 +33,11 @@ CLUSTERED_BY = {"pre_events": "event_name"}
 class Warehouse:
     """Parquet tables under ``<root>/<database>``, on request also listed in the catalog."""
 
-    def __init__(self, spark: SparkSession, root: str, database: str = "clickpath", register: bool = False):
+    def __init__(
+        self, spark: SparkSession, root: str, database: str = "clickpath", register: bool = False, work: str | None = None
+    ):
         self.spark = spark
+        self.work = work
         self.database = database
         self.root = f"{root.rstrip('/')}/{database}"
         self.register = register
@@ -63,17 +71,48 @@ class Warehouse:
         """Write ``rows`` as the whole table and return it as read back."""
         return self._write(table, rows, "static")
 
-    def replace_partitions(self, table: str, rows: DataFrame) -> DataFrame:
-        """Replace the partitions that ``rows`` has rows for; the others stay as they are.
+    def replace_partitions(self, table: str, rows: DataFrame, emptied: Iterable[dt.date | None] = ()) -> DataFrame:
+        """Replace the partitions that ``rows`` has rows for, and drop those of ``emptied``; the others stay.
 
-        So a day that the raw log has lost altogether keeps its rows until a full load.
         Files are staged and moved into place when the job commits, so ``rows`` may be
-        read from the same table.
+        read from the same table. ``emptied`` must have no rows in ``rows``.
         """
         if table not in PARTITIONED_BY:
             raise ValueError(f"{table} is not partitioned")
+        for day in emptied:
+            value = "__HIVE_DEFAULT_PARTITION__" if day is None else day.isoformat()
+            remove_folder(self.spark, f"{self.path(table)}/{PARTITIONED_BY[table]}={value}")
         return self._write(table, rows, "dynamic")
 
+    @property
+    def work_dir(self) -> str:
+        """Where a load keeps its intermediate tables if the session names no place."""
+        return self.work or f"{self.root}/_work"
+
+    def _state_path(self) -> str:
+        return f"{self.root}/load_state"
+
+    def state(self) -> dict | None:
+        """What the last load that ran to its end has recorded; None if there is no such load.
+
+        A load that was broken off leaves no state, as its tables may not fit together.
+        """
+        try:
+            lines = self.spark.read.schema("value string").text(self._state_path()).collect()
+        except AnalysisException as error:
+            if error.getCondition() == "PATH_NOT_FOUND":
+                return None
+            raise
+        return json.loads(lines[0]["value"]) if lines else None
+
+    def begin_load(self) -> None:
+        """From here on the tables change."""
+        remove_folder(self.spark, self._state_path())
+
+    def commit_load(self, state: dict) -> None:
+        row = self.spark.createDataFrame([(json.dumps(state, sort_keys=True),)], "value string")
+        row.coalesce(1).write.mode("overwrite").text(self._state_path())
+
     def _write(self, table: str, rows: DataFrame, overwrite: str) -> DataFrame:
         partition = PARTITIONED_BY.get(table)
         rows = rows.select(*self._stored_schema(table).fieldNames())
@@ -99,5 +138,5 @@ class Warehouse:
             f"COMMENT '{DESCRIPTIONS[table]}' LOCATION '{self.path(table)}'"
         )
         if partition:
-            self.spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+            self.spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")
         self.spark.sql(f"REFRESH TABLE {name}")

@@ -1,23 +1,29 @@
-"""Intermediate tables in the folder that all executors share."""
+"""Intermediate tables in a folder that all executors share."""
 
 from __future__ import annotations
 
 import atexit
+import re
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Session setting that names the folder of the load that is going on.
+_RUN = "clickpath.run.dir"
+
 _local_dir: str | None = None
 
 
 def work_dir(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir`` of the session; a temporary folder only in local mode."""
+    """``spark.checkpoint.dir`` of the session; a temporary folder in local mode, where there is one machine."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master", "")):
         raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
     global _local_dir
     if _local_dir is None:
@@ -26,12 +32,48 @@ def work_dir(spark: SparkSession) -> str:
     return _local_dir
 
 
+def _file_system(spark: SparkSession, path: str):
+    """Hadoop's file system of a path, which every scheme that Spark reads has, and the path."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    fs, at = _file_system(spark, path)
+    if not fs.mkdirs(at):
+        raise RuntimeError(f"cannot make the folder {path}")
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    fs, at = _file_system(spark, path)
+    fs.delete(at, True)
+
+
+@contextmanager
+def working_under(spark: SparkSession, default: str) -> Iterator[str]:
+    """One folder for all intermediate tables of a load: made before anything else, removed at the end.
+
+    It lies in ``spark.checkpoint.dir`` where that is set and under ``default`` otherwise.
+    """
+    base = (spark.conf.get("spark.checkpoint.dir", None) or default).rstrip("/")
+    run = f"{base}/clickpath/run-{uuid.uuid4().hex}"
+    make_folder(spark, run)
+    outer = spark.conf.get(_RUN, None)
+    spark.conf.set(_RUN, run)
+    try:
+        yield run
+    finally:
+        spark.conf.set(_RUN, outer) if outer else spark.conf.unset(_RUN)
+        remove_folder(spark, run)
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to a fresh folder and return the written table.
 
     Every later use reads the same rows, whatever executors are lost in between.
     """
     spark = df.sparkSession
-    path = f"{work_dir(spark)}/clickpath/{label}-{uuid.uuid4().hex}"
+    folder = spark.conf.get(_RUN, None) or f"{work_dir(spark)}/clickpath"
+    path = f"{folder}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -1,0 +1,212 @@
+"""The daily load against a full one of the same log, and what it refuses."""
+
+from __future__ import annotations
+
+import datetime as dt
+import random
+from pathlib import Path
+
+import pytest
+from pyspark.sql import functions as F
+
+import clickpath as cp
+from clickpath.operators.sessions import owners_since, rebuilt_sessions
+from clickpath.schema import TABLES
+from clickpath.storage import working_under
+from tests.rows import PURCHASE, item, order, raw_log, same_rows, visit
+
+DAY = 86_400
+AS_OF = dt.date(2024, 1, 11)
+WINDOW = 7 * DAY  # 2024-01-08
+
+
+def random_event(draw: random.Random, first: int, last: int, number: int) -> dict:
+    bought = draw.random() < 0.3
+    event = visit(
+        draw.choice(["u", "v", "w", None]), draw.randint(1, 4), draw.randrange(first, last),
+        draw.choice([None, "(direct)", "a", "b", "c"]), draw.choice([None, "(none)", "m"]),
+        user_id=draw.choice([None, None, "login1", "login2"]), event_name=PURCHASE if bought else "view",
+        ecommerce=order(f"T{number}") if bought else None, items=[item("x"), item("y")] if bought else None,
+    )
+    if draw.random() < 0.1:
+        event["event_params"] = []
+    return event | ({"event_date": draw.choice(["bad", "2", "99999999", None])} if draw.random() < 0.1 else {})
+
+
+def reread(event: dict) -> bool:
+    """Whether a daily load meets the event: it has no readable date or one of the window."""
+    date = event["event_date"]
+    return date in ("bad", "2", "99999999", None) or date >= "20240108"
+
+
+def changed(draw: random.Random, events: list[dict]) -> list[dict]:
+    kept = [e for e in events if not reread(e) or draw.random() < 0.6]
+    kept = [e | {"user_id": "late"} if reread(e) and draw.random() < 0.2 else e for e in kept]
+    return kept + [random_event(draw, WINDOW, 10 * DAY, 100 + i) for i in range(draw.randint(0, 15))]
+
+
+def assert_same_tables(left: cp.Warehouse, right: cp.Warehouse) -> None:
+    for name in TABLES:
+        flat = lambda df: df.select(*[F.col(c).cast("string") for c in df.columns])
+        assert same_rows(flat(left.read(name)), flat(right.read(name))), name
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_daily_equals_full_after_any_change(spark, tmp_path, seed):
+    draw = random.Random(seed)
+    before = [random_event(draw, 0, 10 * DAY, i) for i in range(60)]
+    after = changed(draw, before) if seed else [e for e in before if not reread(e)]
+    daily = cp.full_refresh(raw_log(spark, *before), cp.Warehouse(spark, str(tmp_path / "daily")), dates="lenient")
+    cp.daily_refresh(raw_log(spark, *after), daily, AS_OF, dates="lenient")
+    full = cp.full_refresh(raw_log(spark, *after), cp.Warehouse(spark, str(tmp_path / "full")), dates="lenient")
+    assert_same_tables(daily, full)
+
+
+@pytest.mark.parametrize("match", ["date", "event_id"])
+def test_incremental_keeps_undated_events(spark, match):
+    raw = raw_log(
+        spark, visit("u", 1, 0, "a"), visit("u", 1, 8 * DAY, "b"),
+        visit("u", 2, 9 * DAY, "c") | {"event_date": "bad"}, visit("u", 2, 1) | {"event_date": "2"},
+    )
+    whole = cp.pre_events(raw, dates="lenient")
+    assert same_rows(cp.pre_events_incremental(raw, whole, AS_OF, match=match, dates="lenient"), whole)
+
+
+def test_sessions_without_events_go(spark):
+    before = cp.pre_events(raw_log(spark, visit("u", 1, DAY, "a"), visit("u", 1, 8 * DAY, "b"), visit("u", 2, 9 * DAY, "c")))
+    events = cp.pre_events(raw_log(spark, visit("u", 1, DAY, "a")))
+    loaded = cp.pre_sessions_incremental(events, cp.pre_sessions(before), AS_OF, before=before)
+    assert same_rows(loaded, cp.pre_sessions(events))
+    assert loaded.first()["session_last_source"] == "a"
+
+
+def test_a_gap_is_read_again(spark, tmp_path):
+    first = [visit("u", 1, 0, "a"), visit("u", 1, 2 * DAY, "b")]
+    missed = [visit("u", 1, 4 * DAY, "c"), visit("v", 2, 5 * DAY, "d"), visit("v", 2, 20 * DAY, "e")]
+    daily = cp.full_refresh(raw_log(spark, *first), cp.Warehouse(spark, str(tmp_path / "daily")))
+    raw = raw_log(spark, *first, *missed)
+    cp.daily_refresh(raw, daily, dt.date(2024, 1, 22), lookback_days=2)
+    assert daily.read("pre_events").count() == 5
+    assert_same_tables(daily, cp.full_refresh(raw, cp.Warehouse(spark, str(tmp_path / "full"))))
+    assert daily.state()["newest_day"] == "2024-01-21"
+
+
+def test_a_load_that_broke_off_is_built_whole(spark, tmp_path, monkeypatch):
+    first = [visit("u", 1, 0, "a"), visit("u", 1, 8 * DAY, "b")]
+    daily = cp.full_refresh(raw_log(spark, *first), cp.Warehouse(spark, str(tmp_path / "daily")))
+    replace = cp.Warehouse.replace_partitions
+
+    def breaks(self, table, rows, emptied=()):
+        if table == "pre_sessions":
+            raise RuntimeError("lost")
+        return replace(self, table, rows, emptied)
+
+    monkeypatch.setattr(cp.Warehouse, "replace_partitions", breaks)
+    with pytest.raises(RuntimeError, match="lost"):
+        cp.daily_refresh(raw_log(spark, first[0]), daily, AS_OF)
+    assert daily.state() is None
+    monkeypatch.undo()
+    raw = raw_log(spark, first[0], visit("w", 3, 9 * DAY, "c"))
+    cp.daily_refresh(raw, daily, AS_OF)
+    assert_same_tables(daily, cp.full_refresh(raw, cp.Warehouse(spark, str(tmp_path / "full"))))
+
+
+def test_a_folder_without_a_finished_load_is_not_loaded(spark, tmp_path):
+    for table in ("pre_events", "pre_sessions"):
+        (tmp_path / "clickpath" / table / "_temporary").mkdir(parents=True)
+    warehouse = cp.Warehouse(spark, str(tmp_path))
+    cp.daily_refresh(raw_log(spark, visit("u", 1, 0, "a"), visit("v", 1, 9 * DAY, "b")), warehouse, AS_OF)
+    assert warehouse.read("pre_events").count() == 2
+    assert warehouse.read("pre_sessions").count() == 2
+
+
+@pytest.mark.parametrize(
+    ("first", "then"),
+    [({"grain": "event"}, {}), ({"event_id": "bundle"}, {"event_id": "fingerprint"}), ({"dates": "lenient"}, {})],
+)
+def test_other_options_are_refused(spark, tmp_path, first, then):
+    raw = raw_log(spark, visit("u", 1, 0, "a"), visit("u", 1, 9 * DAY, "b"))
+    warehouse = cp.full_refresh(raw, cp.Warehouse(spark, str(tmp_path)), **first)
+    before = warehouse.read("pre_sessions").collect()
+    with pytest.raises(ValueError, match="loaded with"):
+        cp.daily_refresh(raw, warehouse, AS_OF, **then)
+    assert warehouse.read("pre_sessions").collect() == before
+    assert warehouse.state() is not None
+
+
+def test_work_folder(spark, tmp_path, monkeypatch):
+    raw = raw_log(spark, visit("u", 1, 0, "a"), visit("u", 1, 9 * DAY, "b"))
+    warehouse = cp.full_refresh(raw, cp.Warehouse(spark, str(tmp_path)))
+    base = Path((spark.conf.get("spark.checkpoint.dir", None) or warehouse.work_dir).removeprefix("file:"))
+    runs = set((base / "clickpath").glob("run-*"))
+    cp.daily_refresh(raw, warehouse, AS_OF)
+    assert set((base / "clickpath").glob("run-*")) == runs
+
+    # the folder is made before anything is written
+    def fails(spark, path):
+        raise RuntimeError("no such place")
+
+    monkeypatch.setattr("clickpath.storage.make_folder", fails)
+    files = {p: p.stat().st_mtime_ns for p in Path(warehouse.path("pre_events")).rglob("*")}
+    with pytest.raises(RuntimeError, match="no such place"):
+        cp.daily_refresh(raw, warehouse, AS_OF)
+    assert {p: p.stat().st_mtime_ns for p in Path(warehouse.path("pre_events")).rglob("*")} == files
+    assert warehouse.state() is not None
+
+
+def test_work_folder_is_below_the_tables_by_default(spark, tmp_path):
+    class Unset:
+        def get(self, key, default=None):
+            return None if key == "spark.checkpoint.dir" else spark.conf.get(key, default)
+
+        def set(self, key, value):
+            spark.conf.set(key, value)
+
+        def unset(self, key):
+            spark.conf.unset(key)
+
+    class Session:
+        conf, _jvm, _jsc = Unset(), spark._jvm, spark._jsc
+
+    with working_under(Session, str(tmp_path / "work")) as run:
+        assert run.startswith(str(tmp_path / "work")) and Path(run).is_dir()
+    assert not Path(run).exists()
+    (tmp_path / "a file").write_text("")
+    with pytest.raises(Exception, match="a file"):
+        with working_under(Session, str(tmp_path / "a file")):
+            pass
+
+
+def test_lost_partitions_leave_the_catalog(spark, tmp_path):
+    raw = raw_log(spark, visit("u", 1, 0, "a"), visit("u", 1, 9 * DAY, "b"))
+    warehouse = cp.Warehouse(spark, str(tmp_path), database="fewer", register=True)
+    cp.full_refresh(raw, warehouse)
+    cp.full_refresh(raw.where("event_date = '20240101'"), warehouse)
+    assert spark.sql("show partitions fewer.pre_events").count() == 1
+
+
+def test_one_long_session_does_not_open_all_others(spark):
+    """Older days are cut down to the sessions concerned before they are grouped."""
+    events = cp.pre_events(raw_log(spark, visit("bot", 1, 0, "a"), visit("bot", 1, 9 * DAY, "b"), visit("u", 2, DAY, "c")))
+    since = AS_OF - dt.timedelta(3)
+    rebuilt = rebuilt_sessions(events, cp.pre_sessions(events), owners_since(events, since), since)
+    assert [(r["session_key"], r["session_first_source"]) for r in rebuilt.collect()] == [("bot1", "a")]
+    plan = rebuilt._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Aggregate [user_pseudo_id") < plan.index("Join LeftSemi")
+
+
+@pytest.mark.parametrize("scope", ["cookie", "session", "linear"])
+def test_report_choice(spark, tmp_path, scope):
+    raw = raw_log(
+        spark, visit("u", 1, 0, "a", "m", event_name=PURCHASE, ecommerce=order("T1"), items=[item("x")]), visit("u", 2, DAY, "b", "m")
+    )
+    warehouse = cp.full_refresh(raw, cp.Warehouse(spark, str(tmp_path)), scope=scope)
+    want = {"cookie": [None], "session": ["a"], "linear": ["a", "b"]}[scope]
+    for table in ("transactions", "products"):
+        assert sorted((r["attribution_source"] for r in warehouse.read(table).collect()), key=str) == want
+    first = cp.full_refresh(raw, cp.Warehouse(spark, str(tmp_path / "f")), model="first_click")
+    assert first.read("transactions").first()["attribution_source"] == "a"
+    with pytest.raises(ValueError):
+        cp.full_refresh(raw, warehouse, scope="other")
+    with pytest.raises(ValueError):
+        cp.daily_refresh(raw, warehouse, AS_OF, model="other")
