@@ -12,10 +12,11 @@ takes part once; copies are never paired with each other.
    ``AGREE`` of its values are shared at all (skip).
 3. Posting lists are joined with their smallest class, collisions are counted, and each class is
    compared with the one it collides with most. That makes large groups one component in linear time.
-4. Lists whose members lie in one component are done. Of the others, short ones are paired off
-   across components; long ones are compared with up to ``PIVOTS`` of their members at a time, which then
-   leave the list, until it is short or done. So no pair with a common posting goes untested unless
-   its classes are connected already.
+4. Lists whose members lie in one component are done. In rounds, each class is compared with ``PIVOTS``
+   members of the longest list it has left, which joins the components of large groups. When few pairs
+   are left, or a round joins none, all members outside a list's largest component are compared with
+   the members of other components. So no pair with a common posting goes untested unless its classes
+   are connected already.
 5. Candidates need sizes that allow the threshold and ``AGREE`` equal coordinates; then their full sets are
    compared, read again from the whole texts.
 
@@ -43,9 +44,10 @@ NUM, DEN = 75, 100
 COORDINATES = 32
 AGREE = 10
 
-# longest list that is paired off at once, and members that a longer one is compared with in a round
-SHORT_LIST = 24
-PIVOTS = 8
+# members that a list is compared with in a round
+PIVOTS = 4
+# pairs for each posting up to which all pairs left are compared at once
+PAIRS_PER_POSTING = 1.5
 # ids that may be broadcast: two numbers each
 BROADCAST_ROWS = 2_000_000
 
@@ -200,6 +202,23 @@ def _labelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
     )
 
 
+def _merged(labels: DataFrame, found: DataFrame) -> DataFrame:
+    """``labels`` (node, label) after the links ``found``; a node without a row is a component of its own."""
+
+    def end(side: str) -> DataFrame:
+        return labels.select(F.col("node").alias(f"node_{side}"), F.col("label").alias(f"label_{side}"))
+
+    raised = (
+        found.join(end("a"), F.col("a") == F.col("node_a"), "left").join(end("b"), F.col("b") == F.col("node_b"), "left")
+        .select(F.coalesce("label_a", "a").alias("a"), F.coalesce("label_b", "b").alias("b")).where("a <> b").distinct()
+    )
+    tops = components(stored(raised, "label-links"))
+    over = tops.select(F.col("node").alias("under"), F.col("label").alias("top"))
+    moved = labels.join(over, F.col("label") == F.col("under"), "left").select("node", F.coalesce("top", "label").alias("label"))
+    new = tops.join(labels, "node", "left_anti").select("node", "label")
+    return stored(moved.union(new), "labels")
+
+
 def _first_pairs(postings: DataFrame) -> DataFrame:
     """Each class with the smallest member of a list, of the one it meets in most lists."""
     heads = stored(postings.groupBy("key").agg(F.min("node").alias("head")), "list-heads")
@@ -208,47 +227,74 @@ def _first_pairs(postings: DataFrame) -> DataFrame:
     return best.select(F.col("node").alias("a"), F.bitwise_not("best.not_head").alias("b"))
 
 
-def _all_links(corpus: _Corpus) -> tuple[DataFrame, DataFrame]:
-    """Links that connect all that is connected, and the labels of their components."""
-    rest = corpus.postings()
-    links = corpus.links(_first_pairs(rest))
-    labels = components(links)
+def _open_members(postings: DataFrame, labels: DataFrame) -> tuple[DataFrame, int]:
+    """Members of the lists that hold several components, and the pairs left in them.
+
+    ``main`` is the component with most members of the list; every pair left has a member outside it.
+    """
+    rows = stored(_labelled(postings, labels), "list-members")
+    parts = rows.groupBy("key", "label").agg(F.count("*").alias("n"))
+    lists = stored(
+        parts.groupBy("key")
+        .agg(F.sum("n").alias("members"), F.max(F.struct("n", "label")).alias("main"), F.count("*").alias("parts"))
+        .where("parts > 1").select(F.col("key").alias("open"), "members", F.col("main.n").alias("main_n"), F.col("main.label").alias("main")),
+        "open-lists",
+    )
+    (left,) = lists.agg(F.sum((F.col("members") - F.col("main_n")) * F.col("members"))).first()
+    return rows.join(lists, F.col("key") == F.col("open")).select("key", "node", "label", "members", "main"), left or 0
+
+
+def _pivot_pairs(members: DataFrame) -> DataFrame:
+    """Each member with up to ``PIVOTS`` others of its longest open list."""
+    members = stored(members, "open-members")
+    longest = stored(members.groupBy("node").agg(F.max(F.struct("members", "key")).alias("l")).select(F.col("node").alias("of"), "l.key"), "longest-lists")
+    rows = members.join(longest, (F.col("node") == F.col("of")) & (members["key"] == longest["key"])).select(
+        members["key"].alias("key"), "node", "label"
+    )
+    rows = stored(rows, "pivot-members")
+    pivots = stored(
+        rows.groupBy("key", F.pmod(F.xxhash64("node"), F.lit(PIVOTS)).alias("turn"))
+        .agg(F.min(F.struct("node", "label")).alias("p"))
+        .select(F.col("key").alias("pivot_key"), F.col("p.node").alias("pivot"), F.col("p.label").alias("pivot_label")),
+        "pivots",
+    )
+    met = rows.join(pivots, (F.col("key") == F.col("pivot_key")) & (F.col("label") != F.col("pivot_label")))
+    return met.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
+
+
+def _rest_pairs(members: DataFrame) -> DataFrame:
+    """Every pair of members of different components."""
+    members = stored(members, "open-members")
+    outside = members.where("label <> main").select(
+        F.col("key").alias("outside_key"), F.col("node").alias("outside"), F.col("label").alias("outside_label")
+    )
+    once = (F.col("label") == F.col("main")) | (F.col("outside") < F.col("node"))
+    met = members.join(outside, (F.col("key") == F.col("outside_key")) & (F.col("label") != F.col("outside_label")) & once)
+    return met.select(F.least("node", "outside").alias("a"), F.greatest("node", "outside").alias("b")).distinct()
+
+
+def _components(corpus: _Corpus) -> DataFrame:
+    """(node, label) of all classes that are linked to others."""
+    postings = corpus.postings()
+    enough = postings.count() * PAIRS_PER_POSTING
+    labels = components(corpus.links(_first_pairs(postings)))
+    joined = True
     while True:
-        rows = stored(_labelled(rest, labels), "open-rows")
-        lists = rows.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("members"))
-        lists = stored(lists.where("lo < hi").select(F.col("key").alias("open"), "members"), "open-lists")
-        long_lists = lists.where(F.col("members") > SHORT_LIST).count()
-        rows = stored(rows.join(lists, F.col("key") == F.col("open")).select("key", "node", "label", "members"), "open-members")
-        short = rows.where(F.col("members") <= SHORT_LIST)
-        other = short.select(F.col("key").alias("key_b"), F.col("node").alias("b"), F.col("label").alias("label_b"))
-        pairs = (
-            short.join(other, (F.col("key") == F.col("key_b")) & (F.col("label") != F.col("label_b")) & (F.col("node") < F.col("b")))
-            .select(F.col("node").alias("a"), "b")
-        )
-        if long_lists:
-            long_rows = rows.where(F.col("members") > SHORT_LIST)
-            pivots = stored(
-                long_rows.groupBy("key", F.pmod(F.xxhash64("node"), F.lit(PIVOTS)).alias("turn"))
-                .agg(F.min(F.struct("node", "label")).alias("pivot"))
-                .select(F.col("key").alias("pivot_key"), "pivot.*").withColumnsRenamed({"node": "pivot", "label": "pivot_label"}),
-                "pivots",
-            )
-            met = long_rows.join(pivots, (F.col("key") == F.col("pivot_key")) & (F.col("label") != F.col("pivot_label")))
-            pairs = pairs.union(met.select(F.least("node", "pivot"), F.greatest("node", "pivot")))
-            gone = pivots.select(F.col("pivot_key").alias("key"), F.col("pivot").alias("node"))
-            rest = stored(long_rows.select("key", "node").join(gone, ["key", "node"], "left_anti"), "postings-left")
-        found = corpus.links(pairs.distinct())
-        if not found.isEmpty():
-            links = stored(links.union(found), "links")
-            labels = components(links)
-        if not long_lists:
-            return links, labels
+        members, left = _open_members(postings, labels)
+        if not left:
+            return labels
+        if left <= enough or not joined:
+            return _merged(labels, corpus.links(_rest_pairs(members)))
+        found = corpus.links(_pivot_pairs(members))
+        joined = not found.isEmpty()
+        if joined:
+            labels = _merged(labels, found)
 
 
 def near_duplicates(docs: DataFrame, num: int = NUM, den: int = DEN) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of every row."""
     corpus = _Corpus(docs, num, den)
-    _, labels = _all_links(corpus)
+    labels = _components(corpus)
     found = labels.select(F.col("node").alias("labelled"), "label")
     classes = corpus.classes.select("node", "first_doc").join(found, F.col("node") == F.col("labelled"), "left")
     classes = stored(classes.select("node", "first_doc", F.coalesce("label", "node").alias("label")), "labelled-classes")

@@ -22,8 +22,8 @@ def test_equals_brute_force(request, table):
 
 
 def test_groups_with_links_of_all_strengths(spark, monkeypatch):
-    """Lists are long on purpose, so that members are compared with pivots round after round."""
-    monkeypatch.setattr(near_duplicates, "SHORT_LIST", 2)
+    """No number of pairs is small enough, so members are compared with pivots until that joins nothing."""
+    monkeypatch.setattr(near_duplicates, "PAIRS_PER_POSTING", 0)
     monkeypatch.setattr(near_duplicates, "PIVOTS", 2)
     base = prose(50, 300)
     rows = [(i, edited(base, 20 + 3 * i)) for i in range(30)]
