@@ -10,13 +10,12 @@ takes part once; copies are never paired with each other.
    ``AGREE`` of them share one of the rarest ``COORDINATES - AGREE + 1`` of each. Values of one class alone
    are the rarest, so only ``shared - AGREE + 1`` values of a class are posted, and none when fewer than
    ``AGREE`` of its values are shared at all (skip).
-3. Posting lists are joined with their smallest class, collisions are counted, and each class is
-   compared with the one it collides with most. That makes large groups one component in linear time.
-4. Lists whose members lie in one component are done. In rounds, each class is compared with ``PIVOTS``
-   members of the longest list it has left, which joins the components of large groups. When few pairs
-   are left, or a round joins none, all members outside a list's largest component are compared with
-   the members of other components. So no pair with a common posting goes untested unless its classes
-   are connected already.
+3. Posting lists are joined with their most typical class, collisions are counted, and each class is
+   compared with the one it collides with most. That joins much of a large group in linear time.
+4. Lists whose members lie in one component are done. Of the others, short ones are paired off across
+   components. Long ones that share members form clusters, and these are compared in blocks: every two
+   blocks meet in one task, which returns links only. So no pair with a common posting goes untested
+   unless its classes are connected already.
 5. Candidates need sizes that allow the threshold and ``AGREE`` equal coordinates; then their full sets are
    compared, read again from the whole texts.
 
@@ -44,10 +43,10 @@ NUM, DEN = 75, 100
 COORDINATES = 32
 AGREE = 10
 
-# members that a list is compared with in a round
-PIVOTS = 4
-# pairs for each posting up to which all pairs left are compared at once
-PAIRS_PER_POSTING = 1.5
+# members of a list up to which its pairs become rows
+SHORT_LIST = 32
+# classes of a block of a cluster
+BLOCK = 256
 # ids that may be broadcast: two numbers each
 BROADCAST_ROWS = 2_000_000
 
@@ -153,7 +152,11 @@ class _Corpus:
         )
 
     def postings(self) -> DataFrame:
-        """(key, node): the rarest shared coordinate values of each class, as many as it takes."""
+        """(key, node, weight): the rarest shared coordinate values of each class, as many as it takes.
+
+        The weight is the number of members of all its values: it is largest for the classes that
+        are most typical of a group, such as the text that the others were copied from.
+        """
         # a set of one shingle is like its copies only
         rows = self.classes.where("n > 1").select("node", F.explode("signature").alias("key"))
         shared = stored(rows.groupBy("key").agg(F.count("*").alias("members")).where("members > 1"), "shared-keys")
@@ -164,7 +167,9 @@ class _Corpus:
             .where(F.size("keys") >= AGREE)
         )
         prefix = F.slice("keys", F.lit(1), F.size("keys") - (AGREE - 1))
-        return stored(by_class.select("node", F.explode(prefix).alias("k")).select("node", "k.key"), "postings")
+        weight = F.aggregate("keys", F.lit(0).cast("bigint"), lambda total, k: total + k["members"])
+        posted = by_class.select("node", weight.alias("weight"), F.explode(prefix).alias("k"))
+        return stored(posted.select("k.key", "node", "weight"), "postings")
 
     def links(self, pairs: DataFrame) -> DataFrame:
         """Of the pairs of classes (a, b), those that are linked."""
@@ -177,16 +182,19 @@ class _Corpus:
             .where(fits & (equal >= AGREE)).select("a", "b"),
             "candidates",
         )
-        nodes = likely.select("a").union(likely.select("b")).distinct().withColumnRenamed("a", "node")
+        sets = self.sets(likely.select("a").union(likely.select("b")).distinct().withColumnRenamed("a", "node"))
+        of_a = sets.select(F.col("node").alias("a"), F.col("shingles").alias("of_a"))
+        of_b = sets.select(F.col("node").alias("b"), F.col("shingles").alias("of_b"))
+        return stored(likely.join(of_a, "a").join(of_b, "b").mapInArrow(_compare(self.num, self.den), "a bigint, b bigint"), "links")
+
+    def sets(self, nodes: DataFrame) -> DataFrame:
+        """(node, shingles): the full sets of classes, read from their texts again."""
         wanted = stored(nodes.join(self.classes.select("node", F.col("first_doc").alias("wanted_doc")), "node"), "compared")
         few = wanted.count() <= BROADCAST_ROWS
         texts = self.docs.join(F.broadcast(wanted) if few else wanted, F.col("doc_id") == F.col("wanted_doc"))
         sets = stored(texts.select("node", "text").mapInArrow(_sets, "node bigint, shingles binary"), "sets")
         # rows that agree in doc_id and text give the same set again
-        sets = sets.dropDuplicates(["node"]) if self._repeated_ids() else sets
-        of_a = sets.select(F.col("node").alias("a"), F.col("shingles").alias("of_a"))
-        of_b = sets.select(F.col("node").alias("b"), F.col("shingles").alias("of_b"))
-        return stored(likely.join(of_a, "a").join(of_b, "b").mapInArrow(_compare(self.num, self.den), "a bigint, b bigint"), "links")
+        return sets.dropDuplicates(["node"]) if self._repeated_ids() else sets
 
     def _repeated_ids(self) -> bool:
         if not hasattr(self, "_repeated"):
@@ -220,51 +228,30 @@ def _merged(labels: DataFrame, found: DataFrame) -> DataFrame:
 
 
 def _first_pairs(postings: DataFrame) -> DataFrame:
-    """Each class with the smallest member of a list, of the one it meets in most lists."""
-    heads = stored(postings.groupBy("key").agg(F.min("node").alias("head")), "list-heads")
-    met = postings.join(heads, "key").where("node <> head").groupBy("node", "head").agg(F.count("*").alias("times"))
-    best = met.groupBy("node").agg(F.max(F.struct("times", F.bitwise_not("head").alias("not_head"))).alias("best"))
-    return best.select(F.col("node").alias("a"), F.bitwise_not("best.not_head").alias("b"))
-
+    """Each class with the most typical member of a list, of the one it meets in most lists."""
+    heads = postings.groupBy("key").agg(F.max(F.struct("weight", "node")).alias("h"))
+    heads = stored(heads.select("key", F.col("h.node").alias("head"), F.col("h.weight").alias("head_weight")), "list-heads")
+    met = postings.join(heads, "key").where("node <> head").groupBy("node", "head", "head_weight").agg(F.count("*").alias("times"))
+    best = met.groupBy("node").agg(F.max(F.struct("times", "head_weight", "head")).alias("best"))
+    return best.select(F.col("node").alias("a"), F.col("best.head").alias("b"))
 
-def _open_members(postings: DataFrame, labels: DataFrame) -> tuple[DataFrame, int]:
-    """Members of the lists that hold several components, and the pairs left in them.
 
-    ``main`` is the component with most members of the list; every pair left has a member outside it.
-    """
+def _open_members(postings: DataFrame, labels: DataFrame) -> DataFrame:
+    """(key, node, label, members, main) of the lists that hold several components; ``main`` is the largest."""
     rows = stored(_labelled(postings, labels), "list-members")
     parts = rows.groupBy("key", "label").agg(F.count("*").alias("n"))
     lists = stored(
         parts.groupBy("key")
         .agg(F.sum("n").alias("members"), F.max(F.struct("n", "label")).alias("main"), F.count("*").alias("parts"))
-        .where("parts > 1").select(F.col("key").alias("open"), "members", F.col("main.n").alias("main_n"), F.col("main.label").alias("main")),
+        .where("parts > 1").select(F.col("key").alias("open"), "members", F.col("main.label").alias("main")),
         "open-lists",
     )
-    (left,) = lists.agg(F.sum((F.col("members") - F.col("main_n")) * F.col("members"))).first()
-    return rows.join(lists, F.col("key") == F.col("open")).select("key", "node", "label", "members", "main"), left or 0
-
-
-def _pivot_pairs(members: DataFrame) -> DataFrame:
-    """Each member with up to ``PIVOTS`` others of its longest open list."""
-    members = stored(members, "open-members")
-    longest = stored(members.groupBy("node").agg(F.max(F.struct("members", "key")).alias("l")).select(F.col("node").alias("of"), "l.key"), "longest-lists")
-    rows = members.join(longest, (F.col("node") == F.col("of")) & (members["key"] == longest["key"])).select(
-        members["key"].alias("key"), "node", "label"
-    )
-    rows = stored(rows, "pivot-members")
-    pivots = stored(
-        rows.groupBy("key", F.pmod(F.xxhash64("node"), F.lit(PIVOTS)).alias("turn"))
-        .agg(F.min(F.struct("node", "label")).alias("p"))
-        .select(F.col("key").alias("pivot_key"), F.col("p.node").alias("pivot"), F.col("p.label").alias("pivot_label")),
-        "pivots",
-    )
-    met = rows.join(pivots, (F.col("key") == F.col("pivot_key")) & (F.col("label") != F.col("pivot_label")))
-    return met.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
+    open_rows = rows.join(lists, F.col("key") == F.col("open")).select("key", "node", "label", "members", "main")
+    return stored(open_rows, "open-members")
 
 
-def _rest_pairs(members: DataFrame) -> DataFrame:
-    """Every pair of members of different components."""
-    members = stored(members, "open-members")
+def _pairs_across(members: DataFrame) -> DataFrame:
+    """Every pair of members of a list that lie in different components; for short lists."""
     outside = members.where("label <> main").select(
         F.col("key").alias("outside_key"), F.col("node").alias("outside"), F.col("label").alias("outside_label")
     )
@@ -273,22 +260,140 @@ def _rest_pairs(members: DataFrame) -> DataFrame:
     return met.select(F.least("node", "outside").alias("a"), F.greatest("node", "outside").alias("b")).distinct()
 
 
+_BLOCK = "cluster bigint, block int, blocks int, nodes binary, labels binary, signatures binary, sizes binary, shingles binary"
+
+
+def _pack_block(table: pa.Table) -> pa.Table:
+    """One row of a block's classes, one after the other."""
+    sets = table.column("shingles").to_pylist()
+    signatures = table.column("signature").combine_chunks().flatten().to_numpy()
+    raw = [
+        table.column("node").to_numpy().astype("<i8").tobytes(),
+        table.column("label").to_numpy().astype("<i8").tobytes(),
+        signatures.astype("<i8").tobytes(),
+        np.array([len(s) // 8 for s in sets], dtype="<i8").tobytes(),
+        b"".join(sets),
+    ]
+    return pa.table(
+        [pa.array([table.column("cluster")[0].as_py()], pa.int64())]
+        + [pa.array([table.column(c)[0].as_py()], pa.int32()) for c in ("block", "blocks")]
+        + [pa.array([x], pa.binary()) for x in raw],
+        names=["cluster", "block", "blocks", "nodes", "labels", "signatures", "sizes", "shingles"],
+    )
+
+
+def _common(a: list[np.ndarray], b: list[np.ndarray], columns: int = 1 << 14) -> np.ndarray:
+    """Sizes of the intersections of all sets of two blocks, over slices of the shingles they share."""
+    flat_a, flat_b = np.concatenate(a), np.concatenate(b)
+    shared = np.intersect1d(flat_a, flat_b)
+    out = np.zeros((len(a), len(b)))
+
+    def at(sets: list[np.ndarray], flat: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+        place = np.minimum(np.searchsorted(shared, flat), max(0, len(shared) - 1))
+        hit = shared[place] == flat if len(shared) else np.zeros(len(flat), dtype=bool)
+        order = np.argsort(place[hit], kind="stable")
+        return row[hit][order], place[hit][order]
+
+    (row_a, at_a), (row_b, at_b) = at(a, flat_a), at(b, flat_b)
+    for lo in range(0, len(shared), columns):
+        width = min(columns, len(shared) - lo)
+        parts = []
+        for rows, places, n in ((row_a, at_a, len(a)), (row_b, at_b, len(b))):
+            x, y = np.searchsorted(places, [lo, lo + width])
+            dense = np.zeros((n, width), dtype=np.float32)
+            dense[rows[x:y], places[x:y] - lo] = 1
+            parts.append(dense)
+        out += parts[0] @ parts[1].T
+    return out
+
+
+def _linked_blocks(num: int, den: int):
+    """Links between classes of two blocks that lie in different components, enough to connect what is connected."""
+
+    def opened(batch: pa.RecordBatch, i: int, side: str) -> tuple:
+        raw = [batch.column(f"{c}{side}")[i].as_py() for c in ("nodes", "labels", "signatures", "sizes", "shingles")]
+        nodes, labels, signatures, sizes = (np.frombuffer(r, "<i8") for r in raw[:4])
+        sets = np.split(np.frombuffer(raw[4], "<u8"), np.cumsum(sizes)[:-1])
+        return nodes, labels, signatures.reshape(len(nodes), -1), sizes, sets
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found_a, found_b = [], []
+            for i in range(batch.num_rows):
+                nodes, labels, signatures, sizes, sets = opened(batch, i, "")
+                nodes_b, labels_b, signatures_b, sizes_b, sets_b = opened(batch, i, "_b")
+                agree = np.zeros((len(nodes), len(nodes_b)), dtype=np.int16)
+                for x, y in zip(signatures.T, signatures_b.T):
+                    agree += x[:, None] == y[None, :]
+                likely = (agree >= AGREE) & (labels[:, None] != labels_b[None, :])
+                likely &= den * np.minimum(sizes[:, None], sizes_b[None, :]) >= num * np.maximum(sizes[:, None], sizes_b[None, :])
+                rows, columns = np.flatnonzero(likely.any(axis=1)), np.flatnonzero(likely.any(axis=0))
+                if not len(rows):
+                    continue
+                common = _common([sets[r] for r in rows], [sets_b[c] for c in columns])
+                union = sizes[rows][:, None] + sizes_b[columns][None, :] - common
+                linked = likely[np.ix_(rows, columns)] & (den * common >= num * union)
+                parent: dict[int, int] = {}
+
+                def root(x: int) -> int:
+                    while parent.setdefault(x, x) != x:
+                        x = parent[x]
+                    return x
+
+                for r, c in zip(*np.nonzero(linked)):
+                    x, y = root(int(labels[rows[r]])), root(int(labels_b[columns[c]]))
+                    if x != y:
+                        parent[x] = y
+                        found_a.append(int(nodes[rows[r]]))
+                        found_b.append(int(nodes_b[columns[c]]))
+            yield pa.record_batch([pa.array(found_a, pa.int64()), pa.array(found_b, pa.int64())], names=["a", "b"])
+
+    return run
+
+
+def _links_in_clusters(corpus: _Corpus, members: DataFrame) -> DataFrame:
+    """Links across components among the members of long lists.
+
+    Lists that share members make up a cluster. It is cut into blocks, and every two blocks of a cluster
+    meet in one row, so pairs are compared inside a task and only links come out.
+    """
+    heads = members.groupBy("key").agg(F.min("node").alias("head"))
+    heads = stored(heads.select(F.col("key").alias("head_key"), "head"), "cluster-heads")
+    edges = members.join(heads, (F.col("key") == F.col("head_key")) & (F.col("node") != F.col("head")))
+    cluster = components(stored(edges.select(F.col("node").alias("a"), F.col("head").alias("b")).distinct(), "cluster-edges"))
+    labels = members.groupBy("node").agg(F.min("label").alias("component"))
+    nodes = cluster.withColumnRenamed("label", "cluster").join(labels, "node").withColumnRenamed("component", "label")
+    nodes = stored(nodes, "clustered")
+    sizes = stored(nodes.groupBy("cluster").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")), "clusters")
+    sets = corpus.sets(nodes.select("node"))
+    signed = corpus.classes.select("node", "signature")
+    rows = (
+        nodes.join(sizes.withColumnRenamed("cluster", "of"), F.col("cluster") == F.col("of")).join(sets, "node").join(signed, "node")
+        .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+        .select("cluster", "block", "blocks", "node", "label", "signature", "shingles")
+    )
+    packed = stored(rows.groupBy("cluster", "block").applyInArrow(_pack_block, _BLOCK), "blocks")
+    left = packed.withColumn("other", F.explode(F.expr("sequence(block, blocks - 1)")))
+    right = packed.withColumn("other", F.explode(F.expr("sequence(0, block)")))
+    right = right.select(
+        F.col("cluster").alias("cluster_b"), F.col("other").alias("block_b"), F.col("block").alias("other_b"),
+        *[F.col(c).alias(f"{c}_b") for c in ("nodes", "labels", "signatures", "sizes", "shingles")],
+    )
+    same = (F.col("cluster") == F.col("cluster_b")) & (F.col("block") == F.col("block_b")) & (F.col("other") == F.col("other_b"))
+    return stored(left.join(right, same).mapInArrow(_linked_blocks(corpus.num, corpus.den), "a bigint, b bigint"), "cluster-links")
+
+
 def _components(corpus: _Corpus) -> DataFrame:
     """(node, label) of all classes that are linked to others."""
     postings = corpus.postings()
-    enough = postings.count() * PAIRS_PER_POSTING
     labels = components(corpus.links(_first_pairs(postings)))
-    joined = True
-    while True:
-        members, left = _open_members(postings, labels)
-        if not left:
-            return labels
-        if left <= enough or not joined:
-            return _merged(labels, corpus.links(_rest_pairs(members)))
-        found = corpus.links(_pivot_pairs(members))
-        joined = not found.isEmpty()
-        if joined:
-            labels = _merged(labels, found)
+    members = _open_members(postings, labels)
+    long_ones = members.where(F.col("members") > SHORT_LIST)
+    found = corpus.links(_pairs_across(members.where(F.col("members") <= SHORT_LIST)))
+    if not long_ones.isEmpty():
+        found = found.union(_links_in_clusters(corpus, long_ones))
+    return _merged(labels, found)
 
 
 def near_duplicates(docs: DataFrame, num: int = NUM, den: int = DEN) -> DataFrame:

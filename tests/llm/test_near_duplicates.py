@@ -22,9 +22,9 @@ def test_equals_brute_force(request, table):
 
 
 def test_groups_with_links_of_all_strengths(spark, monkeypatch):
-    """No number of pairs is small enough, so members are compared with pivots until that joins nothing."""
-    monkeypatch.setattr(near_duplicates, "PAIRS_PER_POSTING", 0)
-    monkeypatch.setattr(near_duplicates, "PIVOTS", 2)
+    """All lists count as long, and clusters take many blocks."""
+    monkeypatch.setattr(near_duplicates, "SHORT_LIST", 1)
+    monkeypatch.setattr(near_duplicates, "BLOCK", 4)
     base = prose(50, 300)
     rows = [(i, edited(base, 20 + 3 * i)) for i in range(30)]
     rows += [(100 + i, edited(prose(51, 200), 60 + i)) for i in range(15)] + [(200, base), (201, base), (202, base)]
@@ -41,3 +41,12 @@ def test_a_chain_is_one_component(spark):
     rows = [(i + 1, i) for i in range(40)] + [(100, 101), (101, 100), (102, 101)]
     labels = {r["node"]: r["label"] for r in components(spark.createDataFrame(rows, "a long, b long")).collect()}
     assert labels == {**{i: 0 for i in range(41)}, 100: 100, 101: 100, 102: 100}
+
+
+def test_common_shingles_of_blocks():
+    import numpy as np
+
+    draw = np.random.default_rng(1)
+    a, b = ([np.unique(draw.integers(0, 60, n)).astype(np.uint64) for n in sizes] for sizes in ((5, 40, 90), (1, 30, 70, 80)))
+    want = [[len(np.intersect1d(x, y)) for y in b] for x in a]
+    assert near_duplicates._common(a, b, columns=7).tolist() == want
