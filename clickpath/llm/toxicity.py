@@ -135,10 +135,11 @@ def fit(sample: Sample, steps: int = STEPS, seed: int = 1) -> Model:
     target = np.stack([sample.label == 0, sample.label == 1], axis=1)
     share = (~held)[:, None] / max(1, (~held).sum())
     by_bucket = np.argsort(sample.bucket, kind="stable")
-    rows = np.repeat(np.arange(n), np.diff(sample.starts))[by_bucket]
-    weights = sample.weight[by_bucket]
-    heads = np.flatnonzero(np.diff(sample.bucket[by_bucket], prepend=-1))
-    used = sample.bucket[by_bucket][heads]
+    rows = np.repeat(np.arange(n, dtype=np.int32), np.diff(sample.starts))[by_bucket]
+    weights, buckets = sample.weight[by_bucket], sample.bucket[by_bucket]
+    heads = np.flatnonzero(np.diff(buckets, prepend=-1))
+    used = buckets[heads]
+    del by_bucket, buckets
     # gradients of buckets that many texts share grow with the number of texts, noise with its root
     squares = np.add.reduceat(weights.astype(np.float64) ** 2, heads)
     scale = (1 / np.sqrt(squares + DAMPED * np.mean(sample.weight.astype(np.float64) ** 2))).astype(np.float32)
@@ -200,22 +201,24 @@ def scorer(model: Model) -> Callable[[Column], Column]:
     return toxic
 
 
-def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, seed: int = 1) -> Model:
-    """Fit on at most ``sample`` rows (doc_id, text) that have a label (doc_id, label) of 0 or 1."""
+def learn(docs: DataFrame, labels: DataFrame, most: int = SAMPLE, seed: int = 1) -> Model:
+    """Fit on at most ``most`` rows (doc_id, text) that have a label (doc_id, label) of 0 or 1."""
     # the smallest hashes first, so that the sample does not depend on how the table is dealt
     known = labels.select(F.col("doc_id").alias("labelled"), F.col("label").cast("int").alias("label"))
     known = known.where("labelled is not null and label in (0, 1)").groupBy("labelled").agg(F.max("label").alias("label"))
-    chosen = known.orderBy(F.xxhash64(F.lit(seed), "labelled"), "labelled").limit(sample)
-    # at most ``sample`` rows of two numbers
+    chosen = known.orderBy(F.xxhash64(F.lit(seed), "labelled"), "labelled").limit(most)
+    # at most ``most`` rows of two numbers
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("labelled"))
     vectors = rows.select("doc_id", "text", "label").repartition(8, "doc_id").select("text", "label").mapInArrow(
         _vectors, "vector binary, label int"
     )
-    table = vectors.toArrow()
-    raw = table.column("vector").to_pylist()
     # rows come in any order; the sums of the fit should not
-    order = sorted(range(len(raw)), key=raw.__getitem__)
-    return fit(Sample.of([raw[i] for i in order], table.column("label").to_numpy()[order])) if raw else Model(np.zeros(BUCKETS), -40.0)
+    rows = sorted(zip(*vectors.toArrow().to_pydict().values()))
+    if not rows:
+        return Model(np.zeros(BUCKETS), -40.0)
+    sample = Sample.of([vector for vector, _ in rows], np.array([label for _, label in rows]))
+    del rows
+    return fit(sample)
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:

@@ -37,15 +37,15 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     joined = whole.join(cut, F.col("row.doc_id").eqNullSafe(F.col("cut_id")) & (F.xxhash64("row.text") == F.col("cut_hash")), "left")
     kept = joined.where(F.col("cut_hash").isNull() | (F.col("cut_lines") < F.col("all_lines")))
     text = F.when(F.col("cut_hash").isNull(), F.col("row.text")).otherwise(F.col("cut_text"))
-    replaced = {"text": text, "n_chars": F.char_length(text).cast("int")}
-    return kept.select(*[replaced.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
+    replaced = {"text": text, "n_chars": F.char_length(text)}
+    return kept.select(*[replaced.get(f.name, F.col(f"row.`{f.name}`")).cast(f.dataType).alias(f.name) for f in docs.schema])
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies the document with the smallest doc_id stays."""
     found = near_duplicates.near_duplicates(docs)
-    dropped = stored(found.where(~F.col("kept") & F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("dropped")).distinct(), "near-copies")
-    return docs.join(dropped, F.col("doc_id") == F.col("dropped"), "left_anti")
+    dropped = stored(found.where(~F.col("kept") & F.col("doc_id").isNotNull()).select("doc_id").distinct(), "near-copies")
+    return docs.join(dropped, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

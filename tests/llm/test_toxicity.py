@@ -30,8 +30,9 @@ def test_unseen_misspellings_are_found(spark):
     other = planted(200, ["wretchedd", "bl0ckhead", "nincompooop"], 2)
     scored = toxicity.score(spark.createDataFrame(other, "doc_id long, text string, label int"), model)
     score = {r["doc_id"]: r["score"] for r in scored.collect()}
-    assert np.mean([score[i] >= 0.3 for i, _, y in other if y]) > 0.9
-    assert np.mean([score[i] >= 0.3 for i, _, y in other if not y]) < 0.05
+    toxic, clean = ([score[i] for i, _, y in other if y == label] for label in (1, 0))
+    assert np.mean([a > b for a in toxic for b in clean]) > 0.9
+    assert np.mean(np.array(clean) >= 0.3) < 0.05
 
 
 @pytest.mark.parametrize("table", ["awkward", "clashing", "nothing"])
