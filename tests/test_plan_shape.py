@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import clickpath as cp
-from __spark_entry__ import SMOKE_DIR, _raw, queries
+from __spark_entry__ import SMOKE_DIR, _raw, own_queries
 from clickpath.operators.skew import lookup_join
 from clickpath.storage import stored
 
@@ -70,9 +70,9 @@ def test_path_models_share_the_shuffle_of_the_session_table(raw):
     assert shuffles(cp.last_non_direct(cp.sessions(pre))) == 1
 
 
-@pytest.mark.parametrize("name", queries())
+@pytest.mark.parametrize("name", own_queries())
 def test_no_python_rows_and_no_cross_join(spark, name):
-    text = plan(queries()[name](spark, SMOKE_DIR))
+    text = plan(own_queries()[name](spark, SMOKE_DIR))
     for operator in ("Python", "Pandas", "CartesianProduct", "BroadcastNestedLoopJoin"):
         assert operator not in text
 
