@@ -17,6 +17,7 @@ Other columns of the input are not read.
 
 from __future__ import annotations
 
+import os
 import struct
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -217,7 +218,7 @@ class Codec:
     def _checked(self, texts: list[str], asked: list[str]) -> list[list[int]]:
         """Ids of ``texts`` from the rebuilt model, against the library's for ``asked``."""
         found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        expected = self.library.encode(asked, num_threads=2)
+        expected = self.library.encode(asked, num_threads=THREADS)
         for i, (a, b) in enumerate(zip(found, expected)):
             # a segment that is the space in front alone cannot be asked for
             if a != b and (asked[i] or not self.by_segments):
@@ -256,12 +257,17 @@ class Codec:
         return [t[1:] if t.startswith(" ") else t for t in out] if self.model.space_in_front else out
 
 
+# threads that encode a batch, as many as the cores of a small executor
+THREADS = 2
+
 _codecs: dict[str, Codec] = {}
 
 
 def codec(path: str) -> Codec:
     """One per worker and model, with what it remembers."""
     if path not in _codecs:
+        # more threads than cores cost memory and no less time
+        os.environ.setdefault("RAYON_NUM_THREADS", str(THREADS))
         _codecs[path] = Codec(path)
     return _codecs[path]
 

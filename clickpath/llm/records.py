@@ -19,6 +19,7 @@ gives no files. Other columns are not read.
 
 from __future__ import annotations
 
+import os
 import struct
 import uuid
 import zlib
@@ -182,6 +183,8 @@ _tokenizers: dict[str, WordTokenizer] = {}
 def word_tokenizer(path: str) -> WordTokenizer:
     """One per worker and file, with what it remembers."""
     if path not in _tokenizers:
+        # more threads than cores cost memory and no less time
+        os.environ.setdefault("RAYON_NUM_THREADS", "2")
         _tokenizers[path] = WordTokenizer(path)
     return _tokenizers[path]
 

@@ -30,7 +30,9 @@ from . import words as W
 BUCKETS = 1 << 18
 SIZES = (3, 4, 5)
 DIMENSIONS = 4
-SAMPLE = 3000
+SAMPLE = 2400
+# entries of the sample that are worked on at once
+SLICE = 1 << 19
 STEPS = 50
 STEP = 2.0
 MOMENTUM = 0.5
@@ -92,6 +94,16 @@ def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([pa.array(out, pa.binary()), batch.column("label")], names=["vector", "label"])
 
 
+def _slices(starts: np.ndarray, total: int) -> Iterator[tuple[slice, np.ndarray, int, int]]:
+    """Runs of whole segments with about ``SLICE`` entries: which, where they start in the run, and the run's ends."""
+    ends = np.append(starts[1:], total)
+    i = 0
+    while i < len(starts):
+        j = max(i + 1, int(np.searchsorted(ends, starts[i] + SLICE, side="right")))
+        yield slice(i, j), starts[i:j] - starts[i], int(starts[i]), int(ends[j - 1])
+        i = j
+
+
 @dataclass
 class Sample:
     """Sparse rows: bucket and weight of each entry, where rows start, and their labels."""
@@ -111,9 +123,10 @@ class Sample:
     def means(self, embedding: np.ndarray) -> np.ndarray:
         """The rows' mean embeddings; ``embedding`` has a row per dimension."""
         out = np.zeros((len(self.label), len(embedding)))
-        some = np.diff(self.starts) > 0
-        for d, column in enumerate(embedding):
-            out[some, d] = np.add.reduceat(column[self.bucket] * self.weight, self.starts[:-1][some])
+        some = np.flatnonzero(np.diff(self.starts) > 0)
+        for at, heads, lo, hi in _slices(self.starts[some], len(self.bucket)):
+            for d, column in enumerate(embedding):
+                out[some[at], d] = np.add.reduceat(column[self.bucket[lo:hi]] * self.weight[lo:hi], heads)
         return out
 
 
@@ -166,8 +179,9 @@ def fit(sample: Sample, steps: int = STEPS, seed: int = 1) -> Model:
         off = (p - target) * share
         to_rows = (softmax @ off.T).astype(np.float32)
         gradient = np.zeros_like(embedding)
-        for d in range(DIMENSIONS):
-            gradient[d, used] = scale * np.add.reduceat(to_rows[d][rows] * weights, heads)
+        for at, first, lo, hi in _slices(heads, len(rows)):
+            for d in range(DIMENSIONS):
+                gradient[d, used[at]] = scale[at] * np.add.reduceat(to_rows[d][rows[lo:hi]] * weights[lo:hi], first)
         moved = MOMENTUM * moved - step * gradient / max(np.abs(gradient).max(), 1e-30)
         to_softmax = mean.T @ off
         turned = MOMENTUM * turned - 0.1 * to_softmax / max(np.abs(to_softmax).max(), 1e-30)

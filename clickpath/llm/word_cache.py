@@ -10,7 +10,7 @@ import pyarrow as pa
 from . import words as W
 
 # Pieces a worker remembers before it starts afresh; results do not depend on it.
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 
 
 class PieceCache:
