@@ -3,11 +3,13 @@
 Lines are the parts of a text between newlines. A run of lines is repeated when the same lines follow
 each other at an earlier place: in a document with a smaller doc_id, or further up in the same one.
 ``drop_repeated_lines`` removes every line that lies in a repeated run of at least ``run`` lines, or
-that is itself repeated and has at least ``long_words`` words.
+that is itself repeated and has at least ``long_words`` words. With ``by_words`` a shorter run, of two
+lines up to ``run - 1``, goes as well when its lines have ``long_words`` words together. ``op8_line_dedup``
+keeps to the rule of its SQL, which has no such runs; the pipeline judges by words.
 
 1. Winnowing: of each ``run`` consecutive lines the one with the smallest hash (the last of equals) is
    the fingerprint. Equal runs choose equal fingerprints, so no run of ``run`` lines can escape. Long
-   lines are fingerprints besides.
+   lines, and with ``by_words`` the first lines of shorter runs with enough words, are fingerprints besides.
 2. Positions are joined: a fingerprint that occurs at one place only is dropped.
 3. Matches are extended both ways: each remaining position opens the windows of ``run`` lines around
    it, and these are compared with the first place of the same window. Overlapping windows make up the
@@ -38,7 +40,7 @@ def _lines(text: str) -> Column:
     return F.split(F.col(text), "\n", -1)
 
 
-def _places(docs: DataFrame, run: int, long_words: int) -> DataFrame:
+def _places(docs: DataFrame, run: int, long_words: int, by_words: bool) -> DataFrame:
     """A row per fingerprint: its hash, its document and the windows it lies in."""
     hashed = (
         docs.where(F.col("text").isNotNull())
@@ -48,7 +50,7 @@ def _places(docs: DataFrame, run: int, long_words: int) -> DataFrame:
             "doc_id",
             "text_hash",
             F.transform("lines", lambda x: F.xxhash64(x)).alias("hashes"),
-            F.transform("lines", lambda x: F.regexp_count(x, F.lit(WORD)) >= long_words).alias("long"),
+            F.transform("lines", lambda x: F.regexp_count(x, F.lit(WORD))).alias("words"),
         )
     )
     n = F.size("hashes")
@@ -58,7 +60,7 @@ def _places(docs: DataFrame, run: int, long_words: int) -> DataFrame:
 
     # around position i of a document; a place outside has no line
     i = F.col("line").cast("int")
-    rows = hashed.select("doc_id", "text_hash", "hashes", "long", n.alias("n"), F.posexplode("hashes").alias("line", "hash"))
+    rows = hashed.select("doc_id", "text_hash", "hashes", "words", n.alias("n"), F.posexplode("hashes").alias("line", "hash"))
     starts = [i - back for back in range(run)]
     inside = [(s >= 0) & (s + run <= F.col("n")) for s in starts]
 
@@ -78,30 +80,39 @@ def _places(docs: DataFrame, run: int, long_words: int) -> DataFrame:
         key = F.xxhash64(F.lit(run), *[F.when(ok, at(s + step)) for step in range(run)])
         return F.when(ok, F.struct(s.alias("start"), F.lit(run).alias("length"), key.alias("window")))
 
-    long_one = F.when(
-        F.get(F.col("long"), i),
-        F.struct(i.alias("start"), F.lit(1).alias("length"), F.xxhash64(F.lit(1), F.col("hash")).alias("window")),
-    )
+    def worded(size: int) -> tuple[Column, Column]:
+        """Whether the ``size`` lines from i on have enough words together, and their window."""
+        total = sum((F.get(F.col("words"), i + step) for step in range(1, size)), F.get(F.col("words"), i))
+        ok = (i + size <= F.col("n")) & (total >= long_words)
+        key = F.xxhash64(F.lit(size), *[at(i + step) for step in range(size)])
+        return ok, F.when(ok, F.struct(i.alias("start"), F.lit(size).alias("length"), key.alias("window")))
+
+    by_count = [worded(size) for size in range(1, run if by_words else 2)]
+    is_worded = F.lit(False)
+    for ok, _ in by_count:
+        is_worded = is_worded | F.coalesce(ok, F.lit(False))
     return (
         rows.withColumn("minimum", is_minimum)
-        .where(F.col("minimum") | F.get(F.col("long"), i))
+        .where(F.col("minimum") | is_worded)
         .select(
             "doc_id",
             "text_hash",
             "line",
             "hash",
             F.filter(
-                F.array(long_one, *[F.when(F.col("minimum"), window(s, ok)) for s, ok in zip(starts, inside)]),
+                F.array(*[w for _, w in by_count], *[F.when(F.col("minimum"), window(s, ok)) for s, ok in zip(starts, inside)]),
                 lambda w: w.isNotNull(),
             ).alias("windows"),
         )
     )
 
 
-def repeated_line_windows(docs: DataFrame, run: int = RUN, long_words: int = LONG_WORDS) -> DataFrame:
+def repeated_line_windows(
+    docs: DataFrame, run: int = RUN, long_words: int = LONG_WORDS, by_words: bool = False
+) -> DataFrame:
     """Windows of lines seen before: doc_id, text_hash, start, length, and the first place they occur at."""
     place = F.struct("doc_id", "text_hash", "line")
-    marks = stored(_places(docs, run, long_words), "line-fingerprints")
+    marks = stored(_places(docs, run, long_words, by_words), "line-fingerprints")
     seen = stored(
         marks.groupBy("hash").agg(F.min(place).alias("a"), F.max(place).alias("z")).where("a < z").select("hash"),
         "line-repeated",
@@ -125,10 +136,12 @@ def repeated_line_windows(docs: DataFrame, run: int = RUN, long_words: int = LON
     )
 
 
-def drop_repeated_lines(docs: DataFrame, run: int = RUN, long_words: int = LONG_WORDS) -> DataFrame:
+def drop_repeated_lines(
+    docs: DataFrame, run: int = RUN, long_words: int = LONG_WORDS, by_words: bool = False
+) -> DataFrame:
     """doc_id, text, n_lines, n_removed, kept_text, text_hash of every row of ``docs``."""
     cuts = (
-        repeated_line_windows(docs, run, long_words)
+        repeated_line_windows(docs, run, long_words, by_words)
         .groupBy("doc_id", "text_hash")
         .agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.expr("sequence(start, start + length - 1)"))))).alias("cuts"))
         .withColumnsRenamed({"doc_id": "cut_doc_id", "text_hash": "cut_text_hash"})

@@ -26,9 +26,9 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeated runs of lines are cut from the later texts; a text that is nothing else goes."""
+    """Repeated runs of lines, judged by their words as well, are cut from the later texts; a text that is nothing else goes."""
     cut = (
-        lines.drop_repeated_lines(docs).where(F.col("n_removed") > 0)
+        lines.drop_repeated_lines(docs, by_words=True).where(F.col("n_removed") > 0)
         .select(F.col("doc_id").alias("cut_id"), F.col("text_hash").alias("cut_hash"),
                 F.col("n_removed").alias("cut_lines"), F.col("n_lines").alias("all_lines"), F.col("kept_text").alias("cut_text"))
         .dropDuplicates(["cut_id", "cut_hash"])

@@ -3,6 +3,7 @@ from __future__ import annotations
 import duckdb
 import pytest
 
+import corpus_pipeline
 from checks.compare import difference, duck, expected_of
 from clickpath.llm import lines
 from . import brute
@@ -36,3 +37,43 @@ def test_sql_reads_any_table():
     connection = duckdb.connect()
     connection.execute("create table t as select 1 as doc_id, 'a' as text")
     assert connection.sql(lines.op8_sql("t")).fetchall()[0][:3] == (1, 1, 0)
+
+
+def cut_by_words(docs: list[tuple], run: int = 3, long_words: int = 50) -> dict:
+    """doc_id to kept text, by every window of up to ``run`` lines that is long enough in lines or words."""
+    places, out = {}, {}
+    for doc_id, text in sorted(docs):
+        parts, gone = text.split("\n"), set()
+        for size in range(1, run + 1):
+            for j in range(len(parts) - size + 1):
+                window = tuple(parts[j : j + size])
+                if size == run or sum(len(brute.words(x)) for x in window) >= long_words:
+                    if places.setdefault(window, (doc_id, j)) != (doc_id, j):
+                        gone |= set(range(j, j + size))
+        out[doc_id] = "\n".join(x for j, x in enumerate(parts) if j not in gone)
+    return out
+
+
+def test_runs_are_judged_by_words(spark):
+    two, few = prose(70, 54, 27), prose(71, 40, 20)
+    inner = two.split("\n")
+    rows = [
+        (1, f"a\n{two}\nb"), (2, two), (3, f"x\n{two}\ny"), (4, few), (5, few), (6, f"{inner[0]}\nz\n{inner[1]}"),
+        (7, f"{two}\nend\n{two}"), (8, f"{inner[1]}\n{inner[0]}"),
+    ]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = {r["doc_id"]: r["kept_text"] for r in lines.drop_repeated_lines(df, by_words=True).collect()}
+    assert kept == cut_by_words(rows)
+    assert (kept[2], kept[3], kept[5], kept[7]) == ("", "x\ny", few, "end")
+
+
+def test_given_documents_are_judged_by_words(spark):
+    df = spark.read.parquet(SMOKE.replace("sf0.001", "sf0.01") + "/documents.parquet").where("text is not null")
+    kept = {r["doc_id"]: r["kept_text"] for r in lines.drop_repeated_lines(df, by_words=True).collect()}
+    assert kept == cut_by_words(pairs(df))
+
+
+def test_pipeline_stage_judges_by_words(spark):
+    two = prose(70, 54, 27)
+    df = spark.createDataFrame([(1, f"a\n{two}", 0), (2, two, 0), (3, f"x\n{two}", 0)], "doc_id long, text string, n_chars int")
+    assert dict(pairs(corpus_pipeline.drop_repeated_lines(spark, df, ""))) == {1: f"a\n{two}", 3: "x"}
