@@ -2,18 +2,25 @@
 
 Tokens are lower-cased words and an end per document. The ``TOP`` most frequent ones are classes of
 their own, all others share the class of their last three bytes. The model gives
-``p(token | context) = p(class | context) * p(token | class)``:
+``p(token | context) = p(class | context) * p(token | class, words before)``:
 
 * ``p(class | context)`` is a softmax over the sum of weights of the context's features: a bias, the
   class of the word before, the class of the word before that (a skip feature), and both together,
   hashed into ``HASHED`` rows. Contexts are pairs of classes, so their number does not depend on the corpus.
 * ``p(token | class)`` is the softmax of ``log(count - d)`` over the class' tokens and of ``log(d * types)`` for
   the one unknown token of the class. The discount d comes from the numbers of tokens seen once and twice.
+* ``p(token | class, words before)`` adds what was counted of words: how often the token followed the word before
+  it (``PAIR_PRIOR``), and the word before that (a skip feature, ``SKIP_PRIOR``). It is the softmax over the class of
+  ``log(count of feature and token + prior * p)``, with p the distribution without that feature, starting at
+  ``p(token | class)``; its normalizer is the count of the feature in the class plus the prior.
+
+Word features are hashes of 64 bits. Their counts are a Spark table over all training documents, by bucket of hashes
+as those of tokens, and it grows with the corpus; each chunk gets back those of its own features.
 
 Counting covers all training documents: token counts go through buckets of hashes (``chunks``), class
 trigrams through folded sums. Training takes steps along the gradient; the rows of contexts are spread
 over tasks, each sends the gradient of its rows, and weights of fixed size go back. Scoring looks up, for
-each chunk of documents, the counts of its tokens and the context's log probabilities.
+each chunk of documents, the counts of its tokens and word features and the context's log probabilities.
 
 Cases: null text counts as empty and has one token, the end; rows with the same doc_id are documents of
 their own; without training documents all classes are alike; an empty table gives an empty one. Other
@@ -48,11 +55,20 @@ SMOOTH = 4.0
 END = np.uint64(0x1F83D9ABFB41BD6B)
 # context classes have one more, for places before the first word
 CONTEXTS = CLASSES + 1
+# weight of the distribution without a word feature, in tokens: of the word before, of the one before that
+PAIR_PRIOR = 4.0
+SKIP_PRIOR = 16.0
+# the word before the first one of a document
+START = np.uint64(0x5BE0CD19137E2179)
+_FEATURE_BASE = np.uint64(0x9FB21C651E98DF25)
 # rows of packed counts that one task adds up
 FOLD = 64
 
 # of each suffix class: tokens, types, types seen once, types seen twice
 SUMS = 4
+# chunks to each of the scan tasks: a chunk's word features are held by one task
+FINER = 3
+ANSWERED = "chunk int, bucket int, payload binary"
 COUNTED = "chunk int, bucket int, payload binary, sums array<bigint>, top array<struct<hash: bigint, n: bigint, suffix: int>>"
 
 
@@ -194,6 +210,95 @@ def _contexts(classes: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.n
     return one, two
 
 
+def _word_features(hashes: np.ndarray, classes: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Tokens that share their class, and four keys of each: the skip feature in its class, with the token; the pair likewise."""
+    one = np.concatenate([[START], hashes[:-1]])
+    one[starts] = START
+    two = np.concatenate([[START], one[:-1]])
+    two[starts] = START
+    at = np.flatnonzero(classes >= TOP)
+    token, kind = W.mixed(hashes[at] + _FEATURE_BASE), classes[at].astype(np.uint64)
+    keys = []
+    for step, before in ((np.uint64(2), two), (np.uint64(1), one)):
+        feature = W.mixed(before[at] * _FEATURE_BASE + kind * np.uint64(4) + step)
+        keys += [feature, W.mixed(feature * _FEATURE_BASE + token)]
+    return at, np.stack(keys)
+
+
+def _packed(values: np.ndarray) -> bytes:
+    """Bytes of 64-bit values by place, so that high bytes, which are mostly alike, compress."""
+    return values.astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def _values(raw: bytes, n: int, skipped: int = 0) -> np.ndarray:
+    return np.frombuffer(raw, np.uint8, 8 * n, skipped).reshape(8, n).T.copy().view("<u8").ravel()
+
+
+def _count_features(vocabulary: Vocabulary, buckets: int):
+    """Each chunk's distinct word features by bucket: keys, counts in training documents. Rows come by chunk."""
+
+    def packed(c: int, trained: list[np.ndarray], rest: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        seen, others = np.concatenate(trained), np.concatenate(rest)
+        seen.sort()
+        first = np.flatnonzero(np.concatenate([[True], seen[1:] != seen[:-1]])[: len(seen)])
+        times = np.diff(np.concatenate([first, [len(seen)]])).astype("<u4")
+        seen = seen[first]
+        keys = np.union1d(seen, others)
+        counts = np.zeros(len(keys), dtype="<u4")
+        counts[np.searchsorted(keys, seen)] = times
+        rows = [(c, b, _packed(keys[at]) + counts[at].tobytes()) for b, at in C.bucket_slices(keys, buckets)]
+        if rows:
+            yield C.sent(rows)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # keys as they come, of training documents and of others
+        held: dict[int, tuple[list, list]] = defaultdict(lambda: ([], []))
+        for batch in batches:
+            chunk = batch.column("chunk").to_numpy()
+            training = batch.column("training").to_numpy(zero_copy_only=False)
+            for words in W.word_groups(W.as_binary(batch.column("text")), lower=True):
+                hashes, suffix, starts = _tokens(words)
+                at, keys = _word_features(hashes, vocabulary.classes(hashes, suffix), starts)
+                size = words.counts() + 1
+                owner, trains = np.repeat(chunk[words.rows], size)[at], np.repeat(training[words.rows], size)[at]
+                for c in np.unique(owner):
+                    for kept, which in zip(held[int(c)], (trains, ~trains)):
+                        kept.append(keys[:, (owner == c) & which].ravel())
+            # chunks come one after the other, so those before the last one are whole
+            for c in [c for c in held if c != chunk[-1]]:
+                yield from packed(c, *held.pop(c))
+        for c in list(held):
+            yield from packed(c, *held.pop(c))
+
+    return run
+
+
+def _feature_totals(table: pa.Table) -> pa.Table:
+    """Of one bucket: the corpus count of every word feature each chunk has sent, in its order."""
+    # of a chunk a count has 32 bits; a payload at a time is unpacked, as together they are large
+    keys, counts = [], []
+    for p in table.column("payload"):
+        raw = p.as_py()
+        keys.append(_values(raw, len(raw) // 12))
+        counts.append(np.frombuffer(raw, "<u4", len(raw) // 12, len(raw) // 12 * 8).copy())
+    n = [len(k) for k in keys]
+    keys = np.concatenate(keys)
+    _, back = np.unique(keys, return_inverse=True)
+    del keys
+    answer = np.bincount(back, weights=np.concatenate(counts))[back]
+    del back, counts
+    cuts = np.concatenate([[0], np.cumsum(n)])
+    rows = [_packed(answer[a:b]) for a, b in zip(cuts[:-1], cuts[1:])]
+    return pa.table([table.column("chunk"), table.column("bucket"), pa.array(rows, pa.binary())], names=["chunk", "bucket", "payload"])
+
+
+def with_words(p: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """p(token | class, words before) from p(token | class) and the counts of the four keys of ``_word_features``."""
+    for prior, feature, both in ((SKIP_PRIOR, counts[0], counts[1]), (PAIR_PRIOR, counts[2], counts[3])):
+        p = (both + prior * p) / (feature + prior)
+    return p
+
+
 def _trigrams(vocabulary: Vocabulary):
     """A task's class trigrams in training documents, packed by the class before: cells and counts."""
     cells = CONTEXTS * CLASSES
@@ -336,21 +441,33 @@ def train(counts: DataFrame, rounds: int = ROUNDS, tasks: int = 4) -> Weights:
 
 def _score(vocabulary: Vocabulary, logs: np.ndarray):
     def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
-        order = np.argsort(answers.column("bucket").to_numpy())
-        payload = answers.column("payload").to_pylist()
-        corpus = [np.frombuffer(payload[i], "<u8") for i in order]
-        groups = []
+        order = np.argsort(answers.column("bucket").to_numpy(), kind="stable")
+        payload, featured = answers.column("payload").combine_chunks(), answers.column("featured").to_pylist()
+        corpus = [np.frombuffer(payload[int(i)].as_py(), "<u8") for i in order if not featured[i]]
+        seen = [_values(raw, len(raw) // 8) for raw in (payload[int(i)].as_py() for i in order if featured[i])]
+        groups, asked = [], []
         for words in W.word_groups(C.texts_of(docs), lower=True):
-            groups.append(_tokens(words))
+            hashes, suffix, starts = _tokens(words)
+            groups.append((hashes, suffix, starts))
+            asked.append(_word_features(hashes, vocabulary.classes(hashes, suffix), starts)[1].ravel())
         empty = np.zeros(0)
+        cuts = np.cumsum([0, *map(len, asked)])
+        back = np.unique(np.concatenate(asked), return_inverse=True)[1] if seen else np.zeros(0, int)
+        asked.clear()
+        feature_counts = np.concatenate(seen) if seen else empty
+        seen.clear()
         counts = np.concatenate(corpus).astype(np.float64) if corpus else empty
         known = np.unique(np.concatenate([g[0] for g in groups])) if groups else empty
         n_tokens, n_known, base, score = [], [], [], []
-        for hashes, suffix, starts in groups:
+        for (hashes, suffix, starts), lo, hi in zip(groups, cuts[:-1], cuts[1:]):
             count = counts[np.searchsorted(known, hashes)]
             classes = vocabulary.classes(hashes, suffix)
             one, two = _contexts(classes, starts)
-            each = logs[one, two, classes] + vocabulary.within_class(classes, count)
+            each = logs[one, two, classes]
+            at = np.flatnonzero(classes >= TOP)
+            if len(at):
+                p = 10 ** vocabulary.within_class(classes[at], count[at])
+                each[at] += np.log10(with_words(p, feature_counts[back[lo:hi]].reshape(4, -1)))
             plain = np.log10((count + 1) / (vocabulary.tokens + vocabulary.types + 1))
             n_tokens.append(np.diff(np.concatenate([starts, [len(hashes)]])))
             n_known.append(np.add.reduceat((count > 0).astype(np.int64), starts))
@@ -371,7 +488,7 @@ def _score(vocabulary: Vocabulary, logs: np.ndarray):
 
 def score_documents(docs: DataFrame, training: Column, rounds: int = ROUNDS) -> DataFrame:
     """Learn from the rows where ``training`` holds, score all: log10 probabilities of whole texts."""
-    n = C.chunk_count(docs)
+    n = max(FINER * docs.rdd.getNumPartitions(), C.chunk_count(docs))
     marked = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", training.alias("training"))
     chunked = C.dealt(C.hash_chunks(marked, n), n)
     counted = stored(
@@ -380,8 +497,14 @@ def score_documents(docs: DataFrame, training: Column, rounds: int = ROUNDS) ->
     )
     vocabulary = _vocabulary(counted)
     model = train(stored(_class_counts(marked.select("text", "training"), vocabulary), "class-counts"), rounds)
+    features = stored(
+        chunked.sortWithinPartitions(C.CHUNK).mapInArrow(_count_features(vocabulary, n), C.SENT).repartition(n, "bucket").groupBy("bucket")
+        .applyInArrow(_feature_totals, ANSWERED),
+        "feature-counts",
+    )
     logs = np.stack([model.log_probabilities(c) for c in range(CONTEXTS)]) / np.log(10)
-    answers = counted.where("chunk is not null").select("chunk", "bucket", "payload")
+    answers = counted.where("chunk is not null").select("chunk", "bucket", "payload", F.lit(False).alias("featured"))
+    answers = answers.union(features.withColumn("featured", F.lit(True)))
     texts = chunked.withColumn("held_out", ~F.col("training"))
     return (
         texts.groupBy(C.CHUNK)

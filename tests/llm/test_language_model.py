@@ -71,3 +71,34 @@ def test_gradient_steps_reach_the_counts(spark):
     table = spark.createDataFrame([(7, 0, bytearray(raw))], "before int, part int, payload binary")
     p = np.exp(lm.train(table, rounds=30).log_probabilities(7)[4])
     assert p[[1, 2, 3]] == pytest.approx([0.6, 0.3, 0.1], abs=0.02)
+
+
+def test_word_pairs_and_skips_outside_the_top_change_scores(spark):
+    """Four rare words of one class, the same counts of tokens and classes, other neighbours."""
+    filler = [" ".join(f"w{i}{j}x" for j in range(10)) for i in range(12)] * 5
+    near = lambda a, b, c, d: [f"{a} {b}"] * 3 + [f"{c} {d}"] * 3
+    skip = lambda a, b, c, d: [f"{a} w00x {b}"] * 3 + [f"{c} w00x {d}"] * 3
+
+    def score(texts: list[str], asked: str) -> float:
+        rows = [(i, t, True) for i, t in enumerate(filler + texts)] + [(-1, asked, False)]
+        df = spark.createDataFrame(rows, "doc_id long, text string, t boolean")
+        (row,) = lm.score_documents(df.select("doc_id", "text", "t"), F.col("t"), rounds=2).where("doc_id = -1").collect()
+        return row["score"]
+
+    for made, asked in ((near, "aaqqq bbqqq"), (skip, "aaqqq w00x bbqqq")):
+        assert score(made("aaqqq", "bbqqq", "ccqqq", "ddqqq"), asked) > score(made("aaqqq", "ddqqq", "ccqqq", "bbqqq"), asked) + 0.05
+
+
+def test_word_features_keep_the_sum():
+    counts = np.array([[10.0] * 4, [6, 3, 1, 0], [4.0] * 4, [0, 4, 0, 0]])
+    assert lm.with_words(np.array([0.4, 0.3, 0.2, 0.1]), counts).sum() == pytest.approx(1)
+    assert lm.with_words(np.array([0.4, 0.6]), np.zeros((4, 2))) == pytest.approx([0.4, 0.6])
+
+
+def test_word_features_are_told_apart():
+    hashes = np.arange(1, 9, dtype=np.uint64)
+    classes = np.array([lm.TOP, lm.TOP, 3, lm.TOP, lm.TOP + 1, lm.TOP, lm.TOP, lm.TOP])
+    at, keys = lm._word_features(hashes, classes, np.array([0, 4]))
+    assert at.tolist() == [0, 1, 3, 4, 5, 6, 7] and keys.shape == (4, 7)
+    # tokens 0, 1 and 5 have one class and the start of a document two words before
+    assert len(np.unique(keys)) == keys.size - 2
