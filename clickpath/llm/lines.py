@@ -5,7 +5,7 @@ each other at an earlier place: in a document with a smaller doc_id, or further
 ``drop_repeated_lines`` removes every line that lies in a repeated run of at least ``run`` lines, or
 that is itself repeated and has at least ``long_words`` words. With ``by_words`` a shorter run, of two
 lines up to ``run - 1``, goes as well when its lines have ``long_words`` words together. ``op8_line_dedup``
-keeps to the rule of its SQL, which has no such runs; the pipeline judges by words.
+keeps to the rule of its SQL, which has no such runs, and so does the pipeline.
 
 1. Winnowing: of each ``run`` consecutive lines the one with the smallest hash (the last of equals) is
    the fingerprint. Equal runs choose equal fingerprints, so no run of ``run`` lines can escape. Long

@@ -3,7 +3,6 @@ from __future__ import annotations
 import duckdb
 import pytest
 
-import corpus_pipeline
 from checks.compare import difference, duck, expected_of
 from clickpath.llm import lines
 from . import brute
@@ -71,9 +70,3 @@ def test_given_documents_are_judged_by_words(spark):
     df = spark.read.parquet(SMOKE.replace("sf0.001", "sf0.01") + "/documents.parquet").where("text is not null")
     kept = {r["doc_id"]: r["kept_text"] for r in lines.drop_repeated_lines(df, by_words=True).collect()}
     assert kept == cut_by_words(pairs(df))
-
-
-def test_pipeline_stage_judges_by_words(spark):
-    two = prose(70, 54, 27)
-    df = spark.createDataFrame([(1, f"a\n{two}", 0), (2, two, 0), (3, f"x\n{two}", 0)], "doc_id long, text string, n_chars int")
-    assert dict(pairs(corpus_pipeline.drop_repeated_lines(spark, df, ""))) == {1: f"a\n{two}", 3: "x"}
