@@ -143,6 +143,8 @@ class WordTokenizer:
         self.plain = self.by_words and all(
             self._ids(w.upper() + ".,") == self._ids(w) + self._ids(".,") for w in _PROBES if w.isascii()
         )
+        # added tokens are found in whole texts as they are spelled, so texts that may hold one go to the library
+        self.added = [t.content.encode().lower() for t in self.whole.get_added_tokens_decoder().values()]
         self.cache = PieceCache(self._encode)
 
     def _ids(self, text: str) -> list[int]:
@@ -167,14 +169,21 @@ class WordTokenizer:
         """Rows of each group of texts, their ids, and where each text's ids start."""
         if self.by_words:
             for words in W.word_groups(column, lower=self.plain, marks=self.plain, most=most):
+                raw = words.data.tobytes().lower()
+                if any(token in raw for token in self.added):
+                    yield self._whole_texts(column, words.rows)
+                    continue
                 ids, lengths = self.cache.ids(words)
                 yield words.rows, ids, per_text(lengths, words)
             return
         for rows, _, _ in W.groups(column):
-            texts = [t.decode() for t in column[rows.start : rows.stop].to_pylist()]
-            found = [e.ids for e in self.whole.encode_batch_fast(texts, add_special_tokens=False)]
-            lengths = [len(x) for x in found]
-            yield rows, np.array([i for x in found for i in x], dtype=np.int32), np.concatenate([[0], np.cumsum(lengths)])
+            yield self._whole_texts(column, rows)
+
+    def _whole_texts(self, column: pa.Array, rows: slice) -> tuple[slice, np.ndarray, np.ndarray]:
+        texts = [t.decode() for t in column[rows.start : rows.stop].to_pylist()]
+        found = [e.ids for e in self.whole.encode_batch_fast(texts, add_special_tokens=False)]
+        lengths = [len(x) for x in found]
+        return rows, np.array([i for x in found for i in x], dtype=np.int32), np.concatenate([[0], np.cumsum(lengths)])
 
 
 _tokenizers: dict[str, WordTokenizer] = {}

@@ -1,4 +1,7 @@
-"""Token ids of repeated pieces of text: each distinct piece goes through the tokenizer once per worker."""
+"""Token ids of repeated pieces of text: each distinct piece goes through the tokenizer once per worker.
+
+Pieces are told apart by their bytes.
+"""
 
 from __future__ import annotations
 
@@ -11,6 +14,8 @@ from . import words as W
 
 # Pieces a worker remembers before it starts afresh; results do not depend on it.
 REMEMBERED = 200_000
+# and the bytes of these
+REMEMBERED_BYTES = 32 << 20
 
 
 class PieceCache:
@@ -21,13 +26,14 @@ class PieceCache:
         self._clear()
 
     def _clear(self) -> None:
-        self.slots: dict[int, int] = {}
+        self.slots: dict[bytes, int] = {}
+        self.held = 0
         self.start, self.length = np.zeros(1 << 16, dtype=np.int64), np.zeros(1 << 16, dtype=np.int64)
         self.flat = np.zeros(1 << 18, dtype=np.int32)
         self.used = 0
 
-    def _learn(self, hashes: list[int], pieces: list[str]) -> None:
-        found = self.encode(pieces)
+    def _learn(self, pieces: list[bytes]) -> None:
+        found = self.encode([p.decode() for p in pieces])
         n, size = len(self.slots), [len(x) for x in found]
         while n + len(found) > len(self.start):
             self.start, self.length = np.resize(self.start, 2 * len(self.start)), np.resize(self.length, 2 * len(self.length))
@@ -39,19 +45,18 @@ class PieceCache:
         self.start[n : n + len(found)] = ends - size
         self.flat[self.used : self.used + total] = [i for x in found for i in x]
         self.used += total
-        self.slots.update(zip(hashes, range(n, n + len(found))))
+        self.slots.update(zip(pieces, range(n, n + len(found))))
+        self.held += sum(map(len, pieces))
 
     def ids(self, words: W.Words) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all pieces of a group, one after the other, and how many each piece has."""
-        if len(self.slots) > self.remembered:
+        if len(self.slots) > self.remembered or self.held > REMEMBERED_BYTES:
             self._clear()
-        coded = pa.array(W.word_hashes(words)).dictionary_encode()
-        kinds, index = coded.dictionary.to_numpy().tolist(), coded.indices.to_numpy()
-        first = np.zeros(len(kinds), dtype=np.int64)
-        first[index[::-1]] = np.arange(len(index))[::-1]
-        new = [i for i, h in enumerate(kinds) if h not in self.slots]
+        coded = W.word_bytes(words).dictionary_encode()
+        kinds, index = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+        new = [p for p in kinds if p not in self.slots]
         if new:
-            self._learn([kinds[i] for i in new], [words.text_of(first[i]).decode() for i in new])
+            self._learn(new)
         slot = np.fromiter(map(self.slots.__getitem__, kinds), dtype=np.int64, count=len(kinds))[index]
         length = self.length[slot]
         return self.flat[W.pieces(length, self.start[slot])], length

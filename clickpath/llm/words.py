@@ -1,7 +1,8 @@
 """Words and word windows of Arrow text columns as numpy arrays, without a Python object per word.
 
-A word is a maximal run of bytes outside ``\\x20`` and ``\\x09-\\x0D``. Its hash is a polynomial over
-its bytes, taken from prefix sums; a window's hash is the same over the hashes of its words.
+A word is a maximal run of bytes outside ``\\x20`` and ``\\x09-\\x0D``. Its hash is the sum of one random number
+per place and byte, so that no algebra relates the hashes of different words; a window's hash is a
+polynomial over the hashes of its words, taken from prefix sums.
 """
 
 from __future__ import annotations
@@ -26,6 +27,9 @@ _ALNUM[[*range(ord("0"), ord("9") + 1), *range(ord("A"), ord("Z") + 1), *range(o
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
 
+# places in a word whose numbers are kept in a table; those further on are computed
+_PLACES = 64
+
 # odd multipliers, with their inverses modulo 2**64
 _BYTE_BASE = 0x9E3779B97F4A7C15
 _WORD_BASE = 0xD1342543DE82EF95
@@ -80,8 +84,38 @@ def range_hashes(values: np.ndarray, begin: np.ndarray, end: np.ndarray, base: i
     return mixed((total[end] - total[begin]) * down[begin] + (end - begin).astype(np.uint64) * np.uint64(_OTHER_BASE))
 
 
+def _place_numbers(codes: np.ndarray) -> np.ndarray:
+    return mixed((codes.astype(np.uint64) + np.uint64(1)) * np.uint64(_BYTE_BASE))
+
+
+@lru_cache(maxsize=1)
+def _place_table() -> np.ndarray:
+    return _place_numbers(np.arange(_PLACES << 8))
+
+
 def word_hashes(words: Words) -> np.ndarray:
-    return range_hashes(words.data, words.begin, words.end, _BYTE_BASE)
+    length = words.end - words.begin
+    total = np.concatenate([[0], np.cumsum(length)])
+    place = np.arange(total[-1]) - np.repeat(total[:-1], length)
+    code = (place << 8) + words.data[place + np.repeat(words.begin, length)]
+    table = _place_table()
+    if length.max(initial=0) <= _PLACES:
+        numbers = table[code]
+    else:
+        numbers = table[np.minimum(code, len(table) - 1)]
+        far = code >= len(table)
+        numbers[far] = _place_numbers(code[far])
+    sums = np.zeros(len(numbers) + 1, dtype=np.uint64)
+    np.cumsum(numbers, out=sums[1:])
+    return mixed(sums[total[1:]] - sums[total[:-1]] + length.astype(np.uint64) * np.uint64(_OTHER_BASE))
+
+
+def word_bytes(words: Words) -> pa.LargeBinaryArray:
+    """The words themselves."""
+    length = words.end - words.begin
+    offsets = np.concatenate([[0], np.cumsum(length)])
+    data = words.data[pieces(length, words.begin)]
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(length), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
 
 
 def window_hashes(hashes: np.ndarray, begin: np.ndarray, end: np.ndarray, other: bool = False) -> np.ndarray:

@@ -16,6 +16,10 @@ CLASHING = [
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars int"
 
 
+# two words that polynomial hashes modulo 2**64 cannot tell apart
+TWINS = ["".join("ab"[(bin(i).count("1") + flip) % 2] for i in range(2048)) for flip in (0, 1)]
+
+
 def prose(seed: int, n: int, per_line: int = 12) -> str:
     draw = random.Random(seed)
     w = ["".join(draw.choices("abcdeghilmnorstu", k=draw.randint(2, 7))) for _ in range(n)]
@@ -55,6 +59,11 @@ def awkward_rows() -> list[tuple]:
         (20, "same line\n" * 50, "en", "s1", 1),
         (21, "   lead and   trail   ", "en", "s1", 1),
         (-5, prose(9, 20), "en", "s1", 1),
+        (22, TWINS[0], "en", "s1", 1),
+        (23, TWINS[1], "en", "s1", 1),
+        (24, " ".join([f"v{i}" for i in range(12)] + [TWINS[0]]), "en", "s1", 1),
+        (25, " ".join([f"v{i}" for i in range(12)] + [TWINS[1]]), "en", "s1", 1),
+        (26, "see <|ENDOFTEXT|> here, <|EndOfText|>. <|startoftext|>", "en", "s1", 1),
     ]
     return rows
 
