@@ -70,6 +70,27 @@ def near_groups(docs: list[tuple]) -> collections.Counter:
     return out
 
 
+def jaccard_links(docs: list[tuple], num: int = 80) -> collections.Counter:
+    """(doc_id, shingles, component_id, documents linked to) of each row."""
+    sets = [shingles(text) if doc_id is not None else set() for doc_id, text in docs]
+    links = {i: set() for i in range(len(docs))}
+    for a in range(len(docs)):
+        for b in range(a):
+            if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= num * len(sets[a] | sets[b]):
+                links[a].add(b)
+                links[b].add(a)
+    out = collections.Counter()
+    for i, (doc_id, text) in enumerate(docs):
+        reached, left = {i}, [i]
+        while left:
+            new = links[left.pop()] - reached
+            reached |= new
+            left += new
+        known = doc_id is not None
+        out[doc_id, len(shingles(text)), min(docs[j][0] for j in reached) if known else None, len(links[i]) if known else None] += 1
+    return out
+
+
 def without_repeated_lines(docs: list[tuple], run: int = 3, long_words: int = 50) -> dict:
     """(doc_id, text) to (lines, lines removed, kept text); equal rows are one document."""
     places = {}
