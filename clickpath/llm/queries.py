@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import fingerprints, jaccard_join, language_model, lines, mixing, near_duplicates, pieces, records, substrings, topk, toxicity
+from . import conversations, fingerprints, jaccard_join, language_model, lines, mixing, near_duplicates, pieces, records, substrings, topk, toxicity
 
 _QUERIES = [
     substrings.op1_substring_dedup,
@@ -20,6 +20,7 @@ _QUERIES = [
     toxicity.op9_toxicity,
     near_duplicates.op10_minhash,
     jaccard_join.op11_jaccard_join,
+    conversations.op12_conversation_repair,
 ]
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {query.__name__: query for query in _QUERIES}

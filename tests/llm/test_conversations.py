@@ -1,0 +1,190 @@
+from __future__ import annotations
+
+import hashlib
+import itertools
+import random
+import re
+import zlib
+
+import pytest
+from pyspark.sql import functions as F
+
+from clickpath.llm import conversations as V
+from .conftest import SMOKE
+
+SCHEMA = "conv_id bigint, turn bigint, role string, text string"
+BLANK = "\x20\x09\x0a\x0b\x0c\x0d"
+
+
+def faults(rows: list[tuple]) -> list[tuple]:
+    """(conv_id, turn, role, text) after damage, in order."""
+    out = []
+    for conv_id, turn, role, text in rows:
+        conv, at = (" " if x is None else str(x) for x in (conv_id, turn))
+        kind = zlib.crc32(f"{conv}:{at}".encode()) % 20
+        role, text = role or " ", " " if text is None else text
+        if kind == 1:
+            text = ""
+        elif kind == 2:
+            text = re.sub("[.!?]", "", text)
+        elif kind == 4:
+            role = "user"
+        out += [(conv_id, turn, role, text)] * {0: 0, 3: 2}.get(kind, 1)
+    return sorted(out, key=lambda r: (r[1] is not None, r[1] or 0, r[2].encode(), r[3].encode()))
+
+
+def kinds(rows: list[tuple]) -> list[str]:
+    found, seen = [], set()
+    for _, _, role, text in rows:
+        if not text.strip(BLANK):
+            found.append("blank")
+        elif (role, text) in seen:
+            found.append("duplicate")
+        elif text.rstrip(BLANK)[-1] not in ".!?":
+            found.append("truncated")
+        else:
+            found.append("")
+        seen.add((role, text))
+    return found
+
+
+def by_table(rows: list[tuple[str, str]]) -> tuple[int, str, list]:
+    """Cheapest (cost, audit, roles) of rows (role letter, kind): the least of all prefixes, state by state."""
+    follow = {"": {"s": "s", "u": "u"}, "s": {"u": "u"}, "u": {"a": "a"}, "a": {"u": "u"}}
+
+    def with_insertions(states: dict) -> dict:
+        for _ in range(3):
+            for state, (cost, audit, out) in list(states.items()):
+                for letter in "ua":
+                    if letter in follow[state]:
+                        new = (cost + 2, audit + "I", out + [(letter, None)])
+                        states[letter] = min(states.get(letter, new), new, key=lambda x: x[:2])
+        return states
+
+    states = with_insertions({"": (0, "", [])})
+    for i, (letter, kind) in enumerate(rows):
+        new: dict = {}
+
+        def offer(state: str, cost: int, audit: str, out: list) -> None:
+            if state not in new or (cost, audit) < new[state][:2]:
+                new[state] = (cost, audit, out)
+
+        extra = kind == "truncated"
+        for state, (cost, audit, out) in states.items():
+            offer(state, cost + 3, audit + "D", out)
+            if kind not in ("blank", "duplicate"):
+                if letter in follow[state]:
+                    offer(follow[state][letter], cost + extra, audit + "K", out + [("", i)])
+                for role in "ua":
+                    if role in follow[state]:
+                        offer(role, cost + 2 + extra, audit + "R", out + [(role, i)])
+        states = with_insertions(new)
+    return min((states[s] for s in ("", "a") if s in states), key=lambda x: x[:2])
+
+
+def by_all_edits(rows: list[tuple[str, str]]) -> tuple[int, str]:
+    gaps = [g for n in range(3) for g in itertools.product("ua", repeat=n)]
+    edits = []
+    for letter, kind in rows:
+        extra = kind == "truncated"
+        own = [("D", 3, "")]
+        if kind not in ("blank", "duplicate"):
+            own += [("K", extra, letter), ("R", 2 + extra, "u"), ("R", 2 + extra, "a")]
+        edits.append(own)
+    best = None
+    for chosen in itertools.product(*edits):
+        for between in itertools.product(gaps, repeat=len(rows) + 1):
+            roles, audit, cost = "".join(between[0]), "I" * len(between[0]), 2 * len(between[0])
+            for (letter, price, role), gap in zip(chosen, between[1:]):
+                roles += role + "".join(gap)
+                audit += letter + "I" * len(gap)
+                cost += price + 2 * len(gap)
+            if (best is None or (cost, audit) < best) and re.fullmatch("(s?(ua)+)?", roles):
+                best = (cost, audit)
+    return best
+
+
+def expected(conversations: list[tuple]) -> dict:
+    out = {}
+    for conv_id in {r[0] for r in conversations}:
+        rows = faults([r for r in conversations if r[0] == conv_id])
+        found = kinds(rows)
+        turns = {r[1] for r in rows if r[1] is not None}
+        gaps = max(turns) - min(turns) + 1 - len(turns) if turns else 0
+        letters = [r[2][0] for r in rows]
+        illegal = sum(x + y not in ("su", "ua", "au") for x, y in zip(letters, letters[1:]))
+        cost, audit, repaired = by_table([(r[2][0], k) for r, k in zip(rows, found)])
+        role = {"u": "user", "a": "assistant"}
+        lines = [f"{role[l]}:" if i is None else f"{role.get(l, rows[i][2])}:{rows[i][3]}" for l, i in repaired]
+        digest = hashlib.sha256("\n".join(lines).encode()).hexdigest()
+        out[conv_id] = (gaps, *[found.count(k) for k in ("blank", "duplicate", "truncated")], illegal, cost, audit, digest)
+    return out
+
+
+def query(spark, rows) -> dict:
+    df = V.damaged(rows)
+    repairs = V.find_repairs(df)
+    digests = {r["conv_id"]: r["repaired_sha256"] for r in V.repaired_digests(df, repairs).collect()}
+    empty = hashlib.sha256(b"").hexdigest()
+    return {r["conv_id"]: (*r[1:], digests.get(r["conv_id"], empty)) for r in repairs.collect()}
+
+
+def awkward() -> list[tuple]:
+    draw = random.Random(3)
+    texts = ["Yes.", "Yes.", "No", "", " \t\r\n\x0b\x0c", None, "Well? ", "a.b", "日本語。", "x" * 20_000 + ".", "end!\n", "same."]
+    roles = ["user", "assistant", "user", "assistant", "system", "tool", "", None, "User", "unknown"]
+    rows = []
+    for conv_id in [None, -3, *range(60)]:
+        for turn in range(draw.randint(1, 9)):
+            rows.append((conv_id, draw.choice([turn, turn, turn, turn + 2, None]), draw.choice(roles), draw.choice(texts)))
+    for turn in range(500):
+        rows.append((1000, turn, draw.choice(["user", "assistant", "system"]), f"turn {turn}" + draw.choice([".", ""])))
+    return [(c, t, r, x) for c, t, r, x in rows]
+
+
+def test_equals_brute_force(spark):
+    rows = awkward()
+    df = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    assert query(spark, df) == expected(rows)
+    clashing = df.withColumns({c: F.lit(-1) for c in ("copies", "digest", "blank", "cut", "audit", "body", "cost", "edit")})
+    assert query(spark, clashing) == expected(rows)
+
+
+def test_query(spark):
+    rows = [tuple(r) for r in spark.read.parquet(f"{SMOKE}/conversations.parquet").select("conv_id", "turn", "role", "text").collect()]
+    got = {r["conv_id"]: tuple(r[1:]) for r in V.op12_conversation_repair(spark, SMOKE).collect()}
+    assert got == expected(rows)
+
+
+def test_empty_table(spark):
+    assert query(spark, spark.createDataFrame([], SCHEMA)) == {}
+
+
+def test_repaired_rows(spark):
+    rows = awkward()
+    df = V.damaged(spark.createDataFrame(rows, SCHEMA))
+    repairs = V.find_repairs(df)
+    found = V.repaired_rows(df, repairs).collect()
+    for repair in repairs.collect():
+        own = sorted((r for r in found if r["conv_id"] == repair["conv_id"]), key=lambda r: r["place"])
+        assert [r["place"] for r in own] == list(range(len(own)))
+        assert re.fullmatch("(s?(ua)+)?", "".join(r["role"][0] for r in own))
+        assert "".join(r["edit"] for r in own) == repair["audit"].replace("D", "")
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_search_equals_all_edits(seed):
+    draw = random.Random(seed)
+    for _ in range(12):
+        rows = [(draw.choice("sua u"), draw.choice(["", "", "truncated", "blank", "duplicate"])) for _ in range(draw.randint(0, 3))]
+        facts = [(x if x in "sua" else "", k in ("blank", "duplicate"), k == "truncated") for x, k in rows]
+        assert V.cheapest_repair(facts) == by_all_edits(rows) == by_table(rows)[:2]
+
+
+@pytest.mark.parametrize("roles", ["sua", "ua", "ssssuuuuaaaa", "aus", "s", " u"])
+def test_long_searches(roles):
+    draw = random.Random(7)
+    for n in (50, 400):
+        rows = [(draw.choice(roles), draw.choice(["", "", "truncated", "blank"])) for _ in range(n)]
+        facts = [(x if x in "sua" else "", k in ("blank", "duplicate"), k == "truncated") for x, k in rows]
+        assert V.cheapest_repair(facts) == by_table(rows)[:2]
