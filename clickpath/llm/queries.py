@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import conversations, fingerprints, jaccard_join, language_model, lines, mixing, near_duplicates, pieces, records, substrings, topk, toxicity
+from . import conversations, fingerprints, jaccard_join, language_model, lines, mixing, near_duplicates, pieces, records, substrings, topk, toxicity, vector_codes
 
 _QUERIES = [
     substrings.op1_substring_dedup,
@@ -21,9 +21,11 @@ _QUERIES = [
     near_duplicates.op10_minhash,
     jaccard_join.op11_jaccard_join,
     conversations.op12_conversation_repair,
+    vector_codes.op13_vector_codes,
 ]
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {query.__name__: query for query in _QUERIES}
 
 # The other operators have no SQL form (hashes, models, files, components); their tests use brute force.
-SQL: dict[str, str] = {"op3_topk": topk.OP3_SQL, "op6_mixing": mixing.OP6_SQL, "op8_line_dedup": lines.OP8_SQL, "op11_jaccard_join": jaccard_join.OP11_SQL}
+SQL: dict[str, str] = {"op3_topk": topk.OP3_SQL, "op6_mixing": mixing.OP6_SQL, "op8_line_dedup": lines.OP8_SQL, "op11_jaccard_join": jaccard_join.OP11_SQL,
+                       "op13_vector_codes": vector_codes.OP13_SQL}
