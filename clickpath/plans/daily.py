@@ -1,20 +1,37 @@
-"""The daily load: recent days into the two incremental tables, then the rest anew."""
+"""The daily load: events of the last days, and of every other table what they change.
+
+Old events are not read again. Sessions, identities and paths are put together from partial results per
+day (``operators.partials``); what differs from the tables of the load before decides which sessions, paths,
+attributions and report days are written.
+"""
 
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickpath import operators as ops
+from clickpath.functions import nulls_last_key
+from clickpath.operators import partials
 from clickpath.operators.events import reloaded
-from clickpath.operators.sessions import join_sessions, owners_since, rebuilt_sessions
-from clickpath.plans.full import as_state, check_reports, full_refresh, load_options, newest_day, refresh_outputs, start_day
-from clickpath.sinks import Warehouse
+from clickpath.operators.partials import changed_rows, with_change
+from clickpath.operators.sessions import PATH_ORDER, SESSION_OWNER, join_sessions
+from clickpath.operators.skew import lookup_join
+from clickpath.plans.full import (
+    TOUCH_TABLES, as_state, check_reports, full_refresh, identities, load_options, newest_day, report_options, reports, start_day,
+)
+from clickpath.sinks import Load, Snapshot, Warehouse
 from clickpath.sinks.warehouse import SESSION_DAY
 from clickpath.storage import stored, working_under
 
+Days = set[dt.date | None]
+
+_COOKIE = "user_pseudo_id"
+_SPREAD = ["ga_session_id", "session_start_timestamp"]
+
 
 def today() -> dt.date:
     return dt.datetime.now(dt.timezone.utc).date()
@@ -52,49 +69,182 @@ def daily_refresh(
     as_of = as_of or today()
     since = first_day(warehouse, as_of, lookback_days)
     if since is None:
-        return full_refresh(
-            raw, warehouse, scope=scope, model=model, identity_as_of=identity_as_of, **event_options
-        )
-    state = warehouse.state()
+        return full_refresh(raw, warehouse, scope=scope, model=model, identity_as_of=identity_as_of, **event_options)
+    old = warehouse.snapshot()
     options = load_options("session", event_options)
-    other = {name: state[name] for name in options if state[name] != options[name]}
+    other = {name: old.state[name] for name in options if old.state[name] != options[name]}
     if other:
         raise ValueError(f"the tables were loaded with {other}; a daily load must use the same or follow a full one")
-    with working_under(warehouse.spark, warehouse.work_dir):
-        newest = _load_window(raw, warehouse, since, event_options)
-        refresh_outputs(warehouse, "session", scope, model, identity_as_of)
-        known = [day for day in (newest, state["newest_day"] and dt.date.fromisoformat(state["newest_day"])) if day]
-        warehouse.commit_load(as_state(options, max(known, default=None)))
+    wanted = report_options(scope, model, identity_as_of)
+    with working_under(warehouse.spark, warehouse.work_dir), warehouse.loading() as load:
+        recent = _load_events(raw, load, old, since, event_options)
+        session_changes = _load_paths(load, old, _load_sessions(load, old, since))
+        touched = _load_attribution(load, old, session_changes)
+        new_logins = _load_identities(load, old, since, identity_as_of)
+        if old.state["reports"] == wanted and new_logins is not None:
+            _load_reports(load, old, since, scope, model, session_changes, touched, new_logins)
+        else:
+            for name, rows in reports(load, scope, model).items():
+                load.replace(name, rows)
+        before = old.state["newest_day"]
+        known = [day for day in (newest_day(recent), before and dt.date.fromisoformat(before)) if day]
+        load.state = as_state(options | {"reports": wanted}, max(known, default=None))
     return warehouse
 
 
-def _days(rows: DataFrame, column: str) -> set[dt.date | None]:
+def _days(rows: DataFrame, column: str) -> Days:
     """One entry per calendar day."""
     return {row[0] for row in rows.select(column).distinct().collect()}
 
 
-def _load_window(raw: DataFrame, warehouse: Warehouse, since: dt.date, event_options: dict[str, str]) -> dt.date | None:
-    """Replace the events since a day and the sessions they belong, or belonged, to.
+def _on(column: str, days: Iterable[dt.date | None]) -> Column:
+    """Whether a day is one of ``days``; never NULL."""
+    days = set(days)
+    listed = F.coalesce(F.col(column).isin([day for day in days if day]), F.lit(False)) if days - {None} else F.lit(False)
+    return listed | F.col(column).isNull() if None in days else listed
 
-    Everything is computed into intermediate tables before the first table changes.
-    """
-    events, sessions = warehouse.read("pre_events"), warehouse.read_stored("pre_sessions")
-    recent = stored(ops.pre_events_since(raw, since, **event_options), "events-recent")
-    replaced = events.where(reloaded(since))
-    # a session may have lost its events of the window, so its old owners count as well
-    owners = stored(owners_since(replaced, since).union(owners_since(recent, since)).distinct(), "session-owners")
+
+def _window(snapshot: Snapshot, table: str, since: dt.date) -> Days:
+    return {day for day in snapshot.days(table) if day is None or day >= since}
+
+
+def _load_events(raw: DataFrame, load: Load, old: Snapshot, since: dt.date, event_options: dict[str, str]) -> DataFrame:
+    """Replace the days of the window in the events and in what is kept of each day."""
+    load.replace_days("pre_events", ops.pre_events_since(raw, since, **event_options), _window(old, "pre_events", since))
+    recent = load.read("pre_events").where(reloaded(since))
+    for table in ("session_days", "identity_days", "purchase_days"):
+        load.replace_days(table, getattr(partials, table)(recent), _window(old, table, since))
+    return recent
+
+
+def _changed_in_window(table: str, load: Load, old: Snapshot, since: dt.date) -> DataFrame:
+    return changed_rows(old.read(table).where(reloaded(since)), load.read(table).where(reloaded(since)))
+
+
+def _load_sessions(load: Load, old: Snapshot, since: dt.date) -> DataFrame:
+    """Rebuild the sessions whose events of the window have changed; returns the sessions that differ, before and after."""
+    changed = _changed_in_window("session_days", load, old, since)
+    owners = stored(changed.select(*SESSION_OWNER).distinct(), "session-owners")
+    sessions = old.read_stored("pre_sessions")
     known = stored(join_sessions(sessions, owners, "left_semi"), "sessions-known")
-    whole = events.where(~reloaded(since)).unionByName(recent)
-    rebuilt = rebuilt_sessions(whole, known, owners, since)
+    days = load.read("session_days")
+    recent, older = days.where(reloaded(since)), days.where(_older_days(known, since))
+    rebuilt = partials.merged_sessions(join_sessions(recent.unionByName(older), owners, "left_semi"))
     found = join_sessions(rebuilt, known, "left", SESSION_DAY)
     placed = stored(found.withColumn(SESSION_DAY, F.coalesce(F.col(SESSION_DAY), start_day())), "sessions-placed")
-    days = _days(known, SESSION_DAY) | _days(placed, SESSION_DAY)
-    in_days = F.col(SESSION_DAY).isin([day for day in days if day])
-    concerned = sessions.where((in_days | F.col(SESSION_DAY).isNull()) if None in days else in_days)
-    upserted = stored(join_sessions(concerned, owners, "left_anti").unionByName(placed), "sessions-upserted")
-    lost_events = _days(replaced, "event_date") - _days(recent, "event_date")
-    lost_sessions = days - _days(upserted, SESSION_DAY)
-    warehouse.begin_load()
-    warehouse.replace_partitions("pre_events", recent, lost_events)
-    warehouse.replace_partitions("pre_sessions", upserted, lost_sessions)
-    return newest_day(recent)
+    differing = stored(changed_rows(known, placed), "sessions-differing")
+    concerned = _days(differing, SESSION_DAY)
+    if concerned:
+        kept = join_sessions(sessions.where(_on(SESSION_DAY, concerned)), owners, "left_anti")
+        load.replace_days("pre_sessions", kept.unionByName(placed.where(_on(SESSION_DAY, concerned))), concerned)
+    return differing
+
+
+def _older_days(known: DataFrame, since: dt.date) -> Column:
+    """The days before the window from which the known sessions can have events."""
+    start, undated, count = known.agg(
+        F.min("session_start_timestamp"), F.count_if(F.col("session_start_timestamp").isNull()), F.count("*")
+    ).first()
+    if not count:
+        return F.lit(False)
+    first = dt.date.min
+    if not undated:
+        # days are cut in the reporting time zone, at most a day off from UTC
+        first = dt.datetime.fromtimestamp(start // 1_000_000, dt.timezone.utc).date() - dt.timedelta(1)
+    return (F.col("event_date") >= F.lit(first)) & (F.col("event_date") < F.lit(since))
+
+
+def _load_paths(load: Load, old: Snapshot, differing: DataFrame) -> DataFrame:
+    """Walk the changed paths on from their first change; returns the rows of ``sessions`` that differ, before and after."""
+    none = load.warehouse.spark.createDataFrame([], old.read_stored("sessions").schema)
+    rewritten = _days(differing, SESSION_DAY)
+    if not rewritten:
+        return none
+    changes = stored(partials.changed_from(differing), "paths-changed")
+    pre = load.read_stored("pre_sessions")
+    load.replace_days("path_days", partials.path_days(pre.where(_on(SESSION_DAY, rewritten))), rewritten)
+    holding = old.read("path_days").where(~_on(SESSION_DAY, rewritten))
+    reaching = with_change(holding, changes, [SESSION_DAY]).where(F.col("last_place") >= F.col("from_place"))
+    walked = rewritten | _days(reaching, SESSION_DAY)
+    openings = partials.path_openings(holding, changes)
+    resumed = stored(partials.resumed_paths(pre.where(_on(SESSION_DAY, walked)), openings, changes), "sessions-resumed")
+
+    place = nulls_last_key(*PATH_ORDER)
+
+    def marked(days: Days) -> DataFrame:
+        return with_change(old.read_stored("sessions").where(_on(SESSION_DAY, days)), changes, _SPREAD)
+
+    before = marked(walked).where(place >= F.col("from_place")).drop("from_place")
+    session_changes = stored(changed_rows(before, resumed), "sessions-changed")
+    days = _days(session_changes, SESSION_DAY)
+    if days:
+        kept = marked(days).where(F.col("from_place").isNull() | (place < F.col("from_place"))).drop("from_place")
+        load.replace_days("sessions", kept.unionByName(resumed.where(_on(SESSION_DAY, days))), days)
+    return session_changes
+
+
+def _marked(rows: DataFrame, keys: DataFrame, spread_by: list[str], key: str = _COOKIE) -> DataFrame:
+    """``rows`` with ``_hit`` where ``keys`` has their key."""
+    return lookup_join(rows, keys.withColumn("_hit", F.lit(True)), key, spread_by, nulls_match=True)
+
+
+def _among(rows: DataFrame, keys: DataFrame, spread_by: list[str], key: str = _COOKIE) -> DataFrame:
+    return _marked(rows, keys, spread_by, key).where(F.col("_hit").isNotNull()).drop("_hit")
+
+
+def _without(rows: DataFrame, keys: DataFrame, spread_by: list[str], key: str = _COOKIE) -> DataFrame:
+    return _marked(rows, keys, spread_by, key).where(F.col("_hit").isNull()).drop("_hit")
+
+
+def _load_attribution(load: Load, old: Snapshot, session_changes: DataFrame) -> dict[str, DataFrame]:
+    """Choose anew for cookies with changed sessions; returns the rows of each single-touch table that differ."""
+    touched = stored(session_changes.select(_COOKIE).distinct(), "cookies-touched")
+    if touched.isEmpty():
+        return {}
+    own = stored(_among(load.read("sessions"), touched, _SPREAD), "sessions-touched")
+    differing = {}
+    for model, table in TOUCH_TABLES.items():
+        new = stored(getattr(ops, model)(own), "touches-new")
+        rows = old.read(table)
+        differing[model] = stored(changed_rows(_among(rows, touched, ["session_key"]), new), "touches-differing")
+        load.replace(table, _without(rows, touched, ["session_key"]).unionByName(new))
+    load.replace("attribution_linear", ops.linear(load.read("sessions")))
+    return differing
+
+
+def _load_identities(load: Load, old: Snapshot, since: dt.date, as_of: dt.date | None) -> DataFrame | None:
+    """The first login of cookies whose logins have changed; returns the rows that differ, or None if all were built anew."""
+    days = load.read("identity_days")
+    if as_of is not None or old.state["reports"]["identity_as_of"] is not None:
+        load.replace("unified_id", identities(days, as_of))
+        return None
+    cookies = stored(_changed_in_window("identity_days", load, old, since).select(_COOKIE).distinct(), "cookies-identified")
+    new = stored(partials.merged_identities(_among(days, cookies, ["event_date"])), "identities-new")
+    rows = old.read("unified_id")
+    differing = stored(changed_rows(_among(rows, cookies, ["resolved_user_id"]), new), "identities-differing")
+    if not differing.isEmpty():
+        load.replace("unified_id", _without(rows, cookies, ["resolved_user_id"]).unionByName(new))
+    return differing
+
+
+def _load_reports(
+    load: Load, old: Snapshot, since: dt.date, scope: str, model: str,
+    session_changes: DataFrame, touched: dict[str, DataFrame], new_logins: DataFrame,
+) -> None:
+    """Write the report days on which a purchase, its attribution or its login has changed."""
+    purchases = load.read("purchase_days").where(~reloaded(since))
+    spread = ["ga_session_id", "event_date"]
+    found = [_among(purchases, new_logins.select(_COOKIE).distinct(), spread)]
+    if scope == "cookie" and touched:
+        keys = touched[model].where(F.col("session_key").isNotNull()).select("session_key").distinct()
+        found.append(_among(purchases, keys, spread, "session_key"))
+    elif scope == "session":
+        found.append(join_sessions(purchases, session_changes.select(*SESSION_OWNER).distinct(), "left_semi"))
+    elif scope == "linear":
+        found.append(_among(purchases, session_changes.select(_COOKIE).distinct(), spread))
+    days = _window(old, "purchase_days", since) | _window(load, "purchase_days", since)
+    for rows in found:
+        days |= _days(rows, "event_date")
+    if days:
+        for name, rows in reports(load, scope, model, _on("event_date", days)).items():
+            load.replace_days(name, rows, days)

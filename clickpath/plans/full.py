@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickpath import operators as ops
-from clickpath.sinks import Warehouse
+from clickpath.operators import partials
+from clickpath.sinks import Load, Warehouse
 from clickpath.sinks.warehouse import SESSION_DAY
 from clickpath.storage import working_under
 
@@ -20,17 +21,26 @@ MODELS = ("last_non_direct", "first_click")
 
 EVENT_OPTIONS = {"event_id": "bundle", "on_duplicate": "first", "dates": "strict"}
 
+# The table that each model's report looks up.
+TOUCH_TABLES = {"first_click": "attribution_first_click", "last_non_direct": "attribution_last_non_direct"}
+_TOUCHES = {"attribution_first_click": ops.first_click, "attribution_last_non_direct": ops.last_non_direct}
+
 
 def load_options(grain: str, event_options: dict[str, str]) -> dict[str, str]:
-    """What the two incremental tables depend on, defaults filled in."""
+    """What the incremental tables depend on, defaults filled in."""
     return {"grain": grain, **EVENT_OPTIONS, **event_options}
 
 
+def report_options(scope: str, model: str, identity_as_of: dt.date | None) -> dict[str, str | None]:
+    """What the reports depend on besides."""
+    return {"scope": scope, "model": model, "identity_as_of": identity_as_of and identity_as_of.isoformat()}
+
+
 def newest_day(events: DataFrame) -> dt.date | None:
     return events.agg(F.max("event_date")).first()[0]
 
 
-def as_state(options: dict[str, str], newest: dt.date | None) -> dict:
+def as_state(options: dict, newest: dt.date | None) -> dict:
     return {**options, "newest_day": newest and newest.isoformat()}
 
 
@@ -43,15 +53,32 @@ def full_refresh(
     identity_as_of: dt.date | None = None,
     **event_options: str,
 ) -> Warehouse:
-    """Build every table anew. Each one is written and read back, so none is computed twice."""
+    """Build every table anew. Each one is written and read back, so none is computed twice.
+
+    Readers keep the tables of the load before until all of them are written.
+    """
     check_reports(scope, model)
-    with working_under(warehouse.spark, warehouse.work_dir):
-        warehouse.begin_load()
-        events = warehouse.replace("pre_events", ops.pre_events(raw, **event_options))
-        pre = ops.pre_sessions(events, grain)
-        warehouse.replace("pre_sessions", pre.withColumn(SESSION_DAY, start_day()))
-        refresh_outputs(warehouse, grain, scope, model, identity_as_of)
-        warehouse.commit_load(as_state(load_options(grain, event_options), newest_day(events)))
+    with working_under(warehouse.spark, warehouse.work_dir), warehouse.loading() as load:
+        events = load.replace("pre_events", ops.pre_events(raw, **event_options))
+        if grain == "session":
+            pre = partials.merged_sessions(load.replace("session_days", partials.session_days(events)))
+        else:
+            pre = ops.pre_sessions(events, grain)
+        load.replace("pre_sessions", pre.withColumn(SESSION_DAY, start_day()))
+        pre = load.read_stored("pre_sessions")
+        load.replace("sessions", ops.sessions(pre, grain).withColumn(SESSION_DAY, start_day()))
+        ids = load.replace("identity_days", partials.identity_days(events))
+        load.replace("unified_id", identities(ids, identity_as_of))
+        for name, touch in _TOUCHES.items():
+            load.replace(name, touch(load.read("sessions")))
+        load.replace("attribution_linear", ops.linear(load.read("sessions")))
+        # the rest is for daily loads and reports
+        load.replace("path_days", partials.path_days(pre))
+        load.replace("purchase_days", partials.purchase_days(events))
+        for name, rows in reports(load, scope, model).items():
+            load.replace(name, rows)
+        options = load_options(grain, event_options) | {"reports": report_options(scope, model, identity_as_of)}
+        load.state = as_state(options, newest_day(events))
     return warehouse
 
 
@@ -62,34 +89,29 @@ def check_reports(scope: str, model: str) -> None:
         raise ValueError(f"model must be one of {MODELS}, not {model!r}")
 
 
-def refresh_outputs(
-    warehouse: Warehouse,
-    grain: str = "session",
-    scope: str = "cookie",
-    model: str = "last_non_direct",
-    identity_as_of: dt.date | None = None,
-) -> Warehouse:
-    """Build the seven tables that are always replaced whole.
+def identities(days: DataFrame, as_of: dt.date | None = None, lookback_days: int = 30) -> DataFrame:
+    """``unified_id`` from its partials, of all days or those since ``lookback_days`` before ``as_of``."""
+    if as_of is not None:
+        days = days.where(F.col("event_date") >= F.lit(as_of - dt.timedelta(lookback_days)))
+    return partials.merged_identities(days)
 
-    ``identity_as_of`` limits the identity table to the 30 days before it.
-    """
-    events = warehouse.read("pre_events")
-    sessions = warehouse.replace("sessions", ops.sessions(warehouse.read("pre_sessions"), grain))
-    ids = warehouse.replace("unified_id", ops.unified_id(events, as_of=identity_as_of))
-    touched = {
-        "first_click": warehouse.replace("attribution_first_click", ops.first_click(sessions)),
-        "last_non_direct": warehouse.replace("attribution_last_non_direct", ops.last_non_direct(sessions)),
-    }
-    linear = warehouse.replace("attribution_linear", ops.linear(sessions))
+
+def reports(load: Load, scope: str, model: str, days: Column | None = None) -> dict[str, DataFrame]:
+    """The two reports, of all purchases or of the days that ``days`` holds for."""
+    events, ids = load.read("pre_events"), load.read("unified_id")
+    if days is not None:
+        events = events.where(days)
     if scope == "session":
-        reports = ops.transactions_session_scope(events, sessions, ids), ops.products_session_scope(events, sessions)
-    elif scope == "linear":
-        reports = ops.transactions_split(events, linear, ids), ops.products_split(events, linear)
-    else:
-        reports = ops.transactions(events, touched[model], ids), ops.products(events, touched[model])
-    for name, rows in zip(("transactions", "products"), reports):
-        warehouse.replace(name, rows)
-    return warehouse
+        sessions = load.read("sessions")
+        return {
+            "transactions": ops.transactions_session_scope(events, sessions, ids),
+            "products": ops.products_session_scope(events, sessions),
+        }
+    if scope == "linear":
+        linear = load.read("attribution_linear")
+        return {"transactions": ops.transactions_split(events, linear, ids), "products": ops.products_split(events, linear)}
+    touched = load.read(TOUCH_TABLES[model])
+    return {"transactions": ops.transactions(events, touched, ids), "products": ops.products(events, touched)}
 
 
 def start_day() -> Column:

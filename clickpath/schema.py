@@ -167,6 +167,55 @@ TABLES: dict[str, T.StructType] = {
     ),
 }
 
+def _key(*names: tuple[str, T.DataType]) -> T.StructType:
+    """A key of ``functions.ordering.nulls_last_key``."""
+    return T.StructType(
+        [f for name, kind in names for f in (T.StructField(f"{name}_missing", T.BooleanType()), T.StructField(name, kind))]
+    )
+
+
+_TIME = ("event_timestamp", T.LongType())
+_SOURCE = ("fixed_traffic_source", T.StringType())
+_MEDIUM = ("fixed_traffic_medium", T.StringType())
+_PLACE = _key(("session_start_timestamp", T.LongType()), ("session_key", T.StringType()), ("ga_session_id", T.LongType()))
+
+
+def _carried(name: str) -> T.StructType:
+    return T.StructType([T.StructField("place", _PLACE), T.StructField(name, T.StringType())])
+
+
+# What a daily load keeps of each day beside the tables, so that old events are not read again.
+STATE_TABLES: dict[str, T.StructType] = {
+    "session_days": _table(
+        ("user_pseudo_id", T.StringType()),
+        ("ga_session_id", T.LongType()),
+        ("session_start_timestamp", T.LongType()),
+        ("first_source", _key(_TIME, _SOURCE)),
+        ("first_medium", _key(_TIME, _SOURCE, _MEDIUM)),
+        ("last_source", _key(_TIME, _SOURCE)),
+        ("last_medium", _key(_TIME, _SOURCE, _MEDIUM)),
+        ("event_date", T.DateType()),
+    ),
+    "identity_days": _table(
+        ("user_pseudo_id", T.StringType()),
+        ("first_login", _key(_TIME, ("user_id", T.StringType()))),
+        ("event_date", T.DateType()),
+    ),
+    "path_days": _table(
+        ("user_pseudo_id", T.StringType()),
+        ("last_place", _PLACE),
+        ("last_source", _carried("session_first_source")),
+        ("last_medium", _carried("session_first_medium")),
+        ("session_day", T.DateType()),
+    ),
+    "purchase_days": _table(
+        ("user_pseudo_id", T.StringType()),
+        ("ga_session_id", T.LongType()),
+        ("session_key", T.StringType()),
+        ("event_date", T.DateType()),
+    ),
+}
+
 DESCRIPTIONS: dict[str, str] = {
     "pre_events": "One row per event: parameters pulled out, traffic source resolved, event and session keys.",
     "pre_sessions": "Events rolled up to sessions, with the first and last traffic source of each.",

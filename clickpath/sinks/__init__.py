@@ -1,3 +1,3 @@
-from clickpath.sinks.warehouse import Warehouse
+from clickpath.sinks.warehouse import Load, Snapshot, Warehouse
 
-__all__ = ["Warehouse"]
+__all__ = ["Load", "Snapshot", "Warehouse"]

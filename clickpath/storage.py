@@ -49,6 +49,36 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     fs.delete(at, True)
 
 
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies in a folder; none where there is no folder."""
+    fs, at = _file_system(spark, path)
+    return sorted(entry.getPath().getName() for entry in fs.listStatus(at)) if fs.exists(at) else []
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, at = _file_system(spark, path)
+    stream = fs.open(at)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_text_at_once(spark: SparkSession, path: str, text: str) -> None:
+    """A new file that is either there with all of its text or not at all."""
+    fs, at = _file_system(spark, path)
+    if fs.exists(at):
+        raise RuntimeError(f"{path} has been written meanwhile")
+    staged = spark._jvm.org.apache.hadoop.fs.Path(at.getParent(), f"_{uuid.uuid4().hex}")
+    stream = fs.create(staged, False)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    if not fs.rename(staged, at):
+        raise RuntimeError(f"cannot write {path}")
+
+
 @contextmanager
 def working_under(spark: SparkSession, default: str) -> Iterator[str]:
     """One folder for all intermediate tables of a load: made before anything else, removed at the end.

@@ -111,5 +111,5 @@ def test_catalog_entries(spark, tmp_path):
 
 
 def test_only_partitioned_tables_take_partitions(spark, tmp_path):
-    with pytest.raises(ValueError):
-        cp.Warehouse(spark, str(tmp_path)).replace_partitions("products", spark.range(1))
+    with pytest.raises(ValueError), cp.Warehouse(spark, str(tmp_path)).loading() as load:
+        load.replace_days("unified_id", spark.range(1))
