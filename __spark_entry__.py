@@ -16,8 +16,9 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 import clickpath as cp  # noqa: E402
 from checks.oracle import ORACLE  # noqa: E402
+from clickpath.operators import partials  # noqa: E402
 from clickpath.sources import sample_events  # noqa: E402
-from clickpath.storage import stored, work_dir  # noqa: E402
+from clickpath.storage import copy_folder, stored, work_dir  # noqa: E402
 
 # The training-data package and its pipeline can be left out of an installation.
 try:
@@ -131,6 +132,15 @@ def pre_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cp.pre_sessions(_events(spark, sf_dir))
 
 
+def pre_sessions_from_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sessions put together from their partial results of each day."""
+    return partials.merged_sessions(stored(partials.session_days(_events(spark, sf_dir)), "session-days"))
+
+
+def unified_id_from_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return partials.merged_identities(stored(partials.identity_days(_events(spark, sf_dir)), "identity-days"))
+
+
 def pre_sessions_event_grain(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cp.pre_sessions(_events(spark, sf_dir), "event")
 
@@ -315,20 +325,27 @@ def full_refresh_session_scope(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cp.full_refresh(_raw(spark, sf_dir), warehouse, scope="session").read("transactions")
 
 
-_loaded: dict[tuple[str, str], cp.Warehouse] = {}
+_loaded: dict[tuple[str, str], str] = {}
 
 
-def _loaded_before(spark: SparkSession, sf_dir: str) -> cp.Warehouse:
-    """Tables of the days before the last ones: one warehouse per folder, prepared once."""
+def prepared_tables(spark: SparkSession, sf_dir: str) -> str:
+    """Folder with the tables of the days before the last ones, built once; nothing is loaded into it."""
     place = (work_dir(spark), sf_dir)
-    if place not in _loaded or _loaded[place].spark is not spark or _loaded[place].state() is None:
-        warehouse = cp.Warehouse(spark, _scratch(spark, "daily"))
-        _loaded[place] = cp.full_refresh(_before(_raw(spark, sf_dir)), warehouse)
+    if place not in _loaded or cp.Warehouse(spark, _loaded[place]).state() is None:
+        root = _scratch(spark, "prepared")
+        cp.full_refresh(_before(_raw(spark, sf_dir)), cp.Warehouse(spark, root))
+        _loaded[place] = root
     return _loaded[place]
 
 
+def _loaded_before(spark: SparkSession, sf_dir: str) -> cp.Warehouse:
+    """A copy of the prepared tables, so that every query has the new days to load."""
+    root = _scratch(spark, "daily")
+    copy_folder(spark, prepared_tables(spark, sf_dir), root)
+    return cp.Warehouse(spark, root)
+
+
 def _loaded_daily(spark: SparkSession, sf_dir: str) -> cp.Warehouse:
-    """One daily load on top; where it was done before it is done again."""
     return cp.daily_refresh(_raw(spark, sf_dir), _loaded_before(spark, sf_dir), AS_OF)
 
 
@@ -344,10 +361,7 @@ def _after_daily(name: str, table: str) -> Callable[[SparkSession, str], DataFra
     """A table as the daily load leaves it."""
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        warehouse = _loaded_before(spark, sf_dir)
-        if warehouse.state()["newest_day"] < LOADED_UNTIL.isoformat():
-            warehouse = _loaded_daily(spark, sf_dir)
-        rows = warehouse.read(table)
+        rows = _loaded_daily(spark, sf_dir).read(table)
         return _unnested(rows) if table == "pre_events" else rows
 
     query.__name__ = name
@@ -365,6 +379,19 @@ def daily_refresh_after_removal(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _changed_daily(spark, sf_dir, "20240201", _removed(_raw(spark, sf_dir)))
 
 
+def daily_refresh_transactions_after_removal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reports of the days that the removal changes, beside those that stay as they were."""
+    warehouse = cp.Warehouse(spark, _scratch(spark, "daily"))
+    cp.full_refresh(_raw(spark, sf_dir).where(F.col("event_date") < "20240201"), warehouse)
+    return cp.daily_refresh(_removed(_raw(spark, sf_dir)), warehouse, AS_OF).read("transactions")
+
+
+def daily_refresh_session_scope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    warehouse = cp.Warehouse(spark, _scratch(spark, "daily"))
+    cp.full_refresh(_before(_raw(spark, sf_dir)), warehouse, scope="session")
+    return cp.daily_refresh(_raw(spark, sf_dir), warehouse, AS_OF, scope="session").read("transactions")
+
+
 def daily_refresh_after_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last load is older than the window."""
     return _changed_daily(spark, sf_dir, "20240120", _raw(spark, sf_dir))
@@ -412,6 +439,10 @@ _QUERIES = [
     _after_daily("daily_refresh_products", "products"),
     daily_refresh_after_removal,
     daily_refresh_after_gap,
+    daily_refresh_transactions_after_removal,
+    daily_refresh_session_scope,
+    pre_sessions_from_days,
+    unified_id_from_days,
     pre_sessions_incremental_after_removal,
     pre_events_incremental_lenient,
     pre_events_items,

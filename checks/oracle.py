@@ -318,6 +318,16 @@ ORACLE: dict[str, str] = {
     ),
     "daily_refresh_after_removal": chain("select * from carried", ROLLED, CARRIED, flat=REMOVED),
     "daily_refresh_after_gap": chain("select * from carried", ROLLED, CARRIED),
+    "daily_refresh_transactions_after_removal": chain(
+        _TRANSACTION.format(attribution="touched", on="a.session_key = p.session_key", weight="a.attribution_weight"),
+        ROLLED, CARRIED, LAST, identity(), ORDERS, flat=REMOVED,
+    ),
+    "daily_refresh_session_scope": chain(
+        _TRANSACTION.format(attribution="carried", on="a.session_key = p.session_key", weight=_FOUND),
+        ROLLED, CARRIED, identity(), ORDERS,
+    ),
+    "pre_sessions_from_days": chain("select * from rolled", ROLLED),
+    "unified_id_from_days": chain("select * from identity", identity()),
     "pre_sessions_incremental_after_removal": chain("select * from rolled", ROLLED, flat=REMOVED),
     "pre_events_incremental_lenient": chain(f"select {_FLAT_COLUMNS} from flat", flat=UNDATED),
     "pre_events_items": chain(
