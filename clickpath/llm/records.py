@@ -41,6 +41,9 @@ from .word_cache import PieceCache, per_text
 END_ID = 1
 # a file is closed after so many bytes
 FILE_BYTES = 256 << 20
+# text bytes that are encoded at once, and words a worker remembers
+GROUP_BYTES = 4 << 20
+REMEMBERED = 750_000
 # read at once from a file
 READ_BYTES = 2 << 20
 
@@ -145,7 +148,7 @@ class WordTokenizer:
         )
         # added tokens are found in whole texts as they are spelled, so texts that may hold one go to the library
         self.added = [t.content.encode().lower() for t in self.whole.get_added_tokens_decoder().values()]
-        self.cache = PieceCache(self._encode)
+        self.cache = PieceCache(self._encode, REMEMBERED)
 
     def _ids(self, text: str) -> list[int]:
         return self.whole.encode(text, add_special_tokens=False).ids
@@ -165,7 +168,7 @@ class WordTokenizer:
         hard = iter(self.whole.encode_batch_fast([w for w, s in zip(words, simple) if not s], add_special_tokens=False))
         return [next(easy) if s else next(hard).ids for s in simple]
 
-    def groups(self, column: pa.Array, most: int = 1 << 20) -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
+    def groups(self, column: pa.Array, most: int = GROUP_BYTES) -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
         """Rows of each group of texts, their ids, and where each text's ids start."""
         if self.by_words:
             for words in W.word_groups(column, lower=self.plain, marks=self.plain, most=most):

@@ -6,6 +6,7 @@ Pieces are told apart by their bytes.
 from __future__ import annotations
 
 from collections.abc import Callable
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -54,10 +55,12 @@ class PieceCache:
             self._clear()
         coded = W.word_bytes(words).dictionary_encode()
         kinds, index = coded.dictionary.to_pylist(), coded.indices.to_numpy()
-        new = [p for p in kinds if p not in self.slots]
-        if new:
-            self._learn(new)
-        slot = np.fromiter(map(self.slots.__getitem__, kinds), dtype=np.int64, count=len(kinds))[index]
+        slot = np.fromiter(map(self.slots.get, kinds, repeat(-1)), dtype=np.int64, count=len(kinds))
+        new = np.flatnonzero(slot < 0)
+        if len(new):
+            slot[new] = np.arange(len(self.slots), len(self.slots) + len(new))
+            self._learn([kinds[i] for i in new.tolist()])
+        slot = slot[index]
         length = self.length[slot]
         return self.flat[W.pieces(length, self.start[slot])], length
 
