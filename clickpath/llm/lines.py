@@ -18,7 +18,10 @@ keeps to the rule of its SQL, which has no such runs, and so does the pipeline.
 
 Only first places are joined, so a line that occurs everywhere costs a row per place and no pairs.
 
-Cases: null text counts as no lines and stays null; a text without newline is one line; rows that
+Lines are told apart by 64 bits where fingerprints are looked for and by 96 where windows are equal.
+
+Cases: null text counts as no lines and stays null; a text of any number of lines is cut without holding more than a
+few hashes per line; of equal lines in a window the last is its minimum; a text without newline is one line; rows that
 agree in doc_id and text are one document and get one result; documents without a doc_id come first.
 Nothing is read of other columns.
 """
@@ -41,69 +44,81 @@ def _lines(text: str) -> Column:
 
 
 def _places(docs: DataFrame, run: int, long_words: int, by_words: bool) -> DataFrame:
-    """A row per fingerprint: its hash, its document and the windows it lies in."""
-    hashed = (
+    """A row per fingerprint: its hash, its document and the windows it lies in.
+
+    A row holds the lines beside its own and no others, so a text of any number of lines takes room in proportion.
+    """
+    lines = (
         docs.where(F.col("text").isNotNull())
         .select("doc_id", F.xxhash64("text").alias("text_hash"), _lines("text").alias("lines"))
         .dropDuplicates(["doc_id", "text_hash"])
-        .select(
-            "doc_id",
-            "text_hash",
-            F.transform("lines", lambda x: F.xxhash64(x)).alias("hashes"),
-            F.transform("lines", lambda x: F.regexp_count(x, F.lit(WORD))).alias("words"),
-        )
     )
-    n = F.size("hashes")
+    hashed = lines.select(
+        "doc_id",
+        "text_hash",
+        F.transform("lines", lambda x: F.xxhash64(x)).alias("hashes"),
+        # a second hash of another kind, which tells windows apart along with the first
+        F.transform("lines", lambda x: F.hash(x)).alias("others"),
+        F.transform("lines", lambda x: F.regexp_count(x, F.lit(WORD))).alias("words"),
+    )
+    # lines i - back to i + ahead of a document; a place outside has no line
+    back, ahead = run - 1, run - 1
+
+    def beside(name: str, i: Column) -> Column:
+        return F.array(*[F.get(F.col(name), i + step) for step in range(-back, ahead + 1)])
+
+    near = F.transform(
+        F.sequence(F.lit(0), F.size("hashes") - 1),
+        lambda i: F.struct(
+            beside("hashes", i).alias("hashes"), beside("others", i).alias("others"),
+            F.array(*[F.get(F.col("words"), i + step) for step in range(ahead + 1)]).alias("words"),
+        ),
+    )
+    rows = hashed.select("doc_id", "text_hash", F.posexplode(near).alias("line", "near"))
+    i, hash = F.col("line").cast("int"), F.get(F.col("near.hashes"), F.lit(back))
 
-    def at(i: Column) -> Column:
-        return F.get(F.col("hashes"), i)
+    def at(step: int, name: str = "hashes") -> Column:
+        return F.get(F.col(f"near.{name}"), F.lit(back + step))
 
-    # around position i of a document; a place outside has no line
-    i = F.col("line").cast("int")
-    rows = hashed.select("doc_id", "text_hash", "hashes", "words", n.alias("n"), F.posexplode("hashes").alias("line", "hash"))
-    starts = [i - back for back in range(run)]
-    inside = [(s >= 0) & (s + run <= F.col("n")) for s in starts]
+    def key(first: int, size: int) -> Column:
+        steps = range(first, first + size)
+        return F.struct(
+            F.xxhash64(F.lit(size), *[at(step) for step in steps]).alias("one"), F.hash(*[at(step, "others") for step in steps]).alias("two")
+        )
+
+    # windows of ``run`` lines that hold line i, by the step to their first one
+    starts = range(-back, 1)
+    inside = {s: at(s).isNotNull() & at(s + run - 1).isNotNull() for s in starts}
 
-    def smallest(s: Column) -> Column:
+    def smallest(s: int) -> Column:
         """Whether line i is the smallest of the window from s on, the last of equals."""
         test = F.lit(True)
-        for step in range(run):
-            there = F.when((s + step >= 0) & (s + step < F.col("n")), at(s + step))
-            test = test & F.when(s + step > i, F.col("hash") < there).otherwise(F.col("hash") <= there)
+        for step in range(s, s + run):
+            test = test & (hash < at(step) if step > 0 else hash <= at(step))
         return test
 
     is_minimum = F.lit(False)
-    for s, ok in zip(starts, inside):
-        is_minimum = is_minimum | F.when(ok, smallest(s)).otherwise(F.lit(False))
+    for s in starts:
+        is_minimum = is_minimum | F.when(inside[s], smallest(s)).otherwise(F.lit(False))
 
-    def window(s: Column, ok: Column) -> Column:
-        key = F.xxhash64(F.lit(run), *[F.when(ok, at(s + step)) for step in range(run)])
-        return F.when(ok, F.struct(s.alias("start"), F.lit(run).alias("length"), key.alias("window")))
+    def window(s: int, size: int, ok: Column) -> Column:
+        return F.when(ok, F.struct((i + s).alias("start"), F.lit(size).alias("length"), key(s, size).alias("window")))
 
-    def worded(size: int) -> tuple[Column, Column]:
-        """Whether the ``size`` lines from i on have enough words together, and their window."""
-        total = sum((F.get(F.col("words"), i + step) for step in range(1, size)), F.get(F.col("words"), i))
-        ok = (i + size <= F.col("n")) & (total >= long_words)
-        key = F.xxhash64(F.lit(size), *[at(i + step) for step in range(size)])
-        return ok, F.when(ok, F.struct(i.alias("start"), F.lit(size).alias("length"), key.alias("window")))
+    def worded(size: int) -> Column:
+        """Whether the ``size`` lines from i on have enough words together."""
+        total = sum((F.get(F.col("near.words"), F.lit(step)) for step in range(1, size)), F.get(F.col("near.words"), F.lit(0)))
+        return at(size - 1).isNotNull() & (total >= long_words)
 
-    by_count = [worded(size) for size in range(1, run if by_words else 2)]
+    by_count = {size: worded(size) for size in range(1, run if by_words else 2)}
     is_worded = F.lit(False)
-    for ok, _ in by_count:
+    for ok in by_count.values():
         is_worded = is_worded | F.coalesce(ok, F.lit(False))
+    windows = [window(0, size, ok) for size, ok in by_count.items()]
+    windows += [F.when(F.col("minimum"), window(s, run, inside[s])) for s in starts]
     return (
         rows.withColumn("minimum", is_minimum)
         .where(F.col("minimum") | is_worded)
-        .select(
-            "doc_id",
-            "text_hash",
-            "line",
-            "hash",
-            F.filter(
-                F.array(*[w for _, w in by_count], *[F.when(F.col("minimum"), window(s, ok)) for s, ok in zip(starts, inside)]),
-                lambda w: w.isNotNull(),
-            ).alias("windows"),
-        )
+        .select("doc_id", "text_hash", "line", hash.alias("hash"), F.filter(F.array(*windows), lambda w: w.isNotNull()).alias("windows"))
     )
 
 
@@ -150,22 +165,16 @@ def drop_repeated_lines(
     joined = rows.join(
         cuts, F.col("doc_id").eqNullSafe(F.col("cut_doc_id")) & (F.col("text_hash") == F.col("cut_text_hash")), "left"
     )
-    # lines between neighbouring cuts, so that a text of many lines is walked once
-    bounds = F.concat(F.array(F.lit(-1)), "cuts", F.array(F.size("lines")))
-    between = F.transform(
-        F.sequence(F.lit(0), F.size("bounds") - 2),
-        lambda j: F.slice("lines", F.get("bounds", j) + 2, F.get("bounds", j + 1) - F.get("bounds", j) - 1),
-    )
+    kept = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("cuts"))
     return (
         joined.withColumn("lines", _lines("text"))
-        .withColumn("bounds", F.when(F.col("cuts").isNotNull(), bounds))
         .select(
             "doc_id",
             "text",
             F.coalesce(F.size("lines"), F.lit(0)).cast("bigint").alias("n_lines"),
             F.coalesce(F.when(F.col("cuts").isNotNull(), F.size("cuts")), F.lit(0)).cast("bigint").alias("n_removed"),
             F.when(F.col("cuts").isNull(), F.col("text"))
-            .otherwise(F.array_join(F.flatten(between), "\n"))
+            .otherwise(F.array_join(F.transform(kept, lambda i: F.get(F.col("lines"), i)), "\n"))
             .alias("kept_text"),
             "text_hash",
         )

@@ -70,3 +70,11 @@ def test_given_documents_are_judged_by_words(spark):
     df = spark.read.parquet(SMOKE.replace("sf0.001", "sf0.01") + "/documents.parquet").where("text is not null")
     kept = {r["doc_id"]: r["kept_text"] for r in lines.drop_repeated_lines(df, by_words=True).collect()}
     assert kept == cut_by_words(pairs(df))
+
+
+def test_a_text_of_very_many_lines(spark):
+    """The work per line does not depend on the number of lines."""
+    lines_of = [f"line {i * 7919 % 100_003}" for i in range(100_000)]
+    rows = [(1, "\n".join(lines_of)), (2, "\n".join(["new", *lines_of[20_000:80_000], "end"])), (3, "\n".join(x for i, x in enumerate(lines_of) if i % 5))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert found(df) == brute.without_repeated_lines(rows)
