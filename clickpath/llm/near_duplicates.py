@@ -50,7 +50,7 @@ BLOCK = 256
 # ids that may be broadcast: two numbers each
 BROADCAST_ROWS = 2_000_000
 
-SIGNED = "doc_id bigint, n_shingles bigint, node bigint, signature array<bigint>"
+SIGNED = "doc_id bigint, text_hash bigint, n_shingles bigint, node bigint, signature array<bigint>"
 
 
 def shingle_sets(words: W.Words) -> tuple[np.ndarray, np.ndarray]:
@@ -102,9 +102,9 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 pa.array(np.arange(len(size) + 1, dtype=np.int32) * COORDINATES), pa.array(rows.ravel()), mask=pa.array(empty)
             )
             yield pa.record_batch(
-                [batch.column("doc_id").slice(done, len(size)), pa.array(size.astype(np.int64)),
-                 pa.array(_set_ids(hashes, starts), mask=empty), lists],
-                names=["doc_id", "n_shingles", "node", "signature"],
+                [batch.column("doc_id").slice(done, len(size)), batch.column("text_hash").slice(done, len(size)),
+                 pa.array(size.astype(np.int64)), pa.array(_set_ids(hashes, starts), mask=empty), lists],
+                names=["doc_id", "text_hash", "n_shingles", "node", "signature"],
             )
             done += len(size)
 
@@ -143,7 +143,8 @@ class _Corpus:
     def __init__(self, docs: DataFrame, num: int, den: int):
         self.num, self.den = num, den
         self.docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-        self.signed = stored(self.docs.mapInArrow(_sign, SIGNED), "signatures")
+        told_apart = self.docs.withColumn("text_hash", F.xxhash64("text"))
+        self.signed = stored(told_apart.mapInArrow(_sign, SIGNED), "signatures")
         self.classes = stored(
             self.signed.where("node is not null and doc_id is not null")
             .groupBy("node")
@@ -397,22 +398,26 @@ def _components(corpus: _Corpus) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, num: int = NUM, den: int = DEN) -> DataFrame:
-    """doc_id, n_shingles, component_id and kept of every row."""
+    """doc_id, n_shingles, component_id and kept of every row; text_hash tells texts with one doc_id apart.
+
+    ``component`` is a number for the documents that are linked, which two groups never share even where they have the
+    same smallest doc_id. It is missing where a document takes no part or has no shingles.
+    """
     corpus = _Corpus(docs, num, den)
     labels = _components(corpus)
     found = labels.select(F.col("node").alias("labelled"), "label")
     classes = corpus.classes.select("node", "first_doc").join(found, F.col("node") == F.col("labelled"), "left")
     classes = stored(classes.select("node", "first_doc", F.coalesce("label", "node").alias("label")), "labelled-classes")
     firsts = classes.groupBy("label").agg(F.min("first_doc").alias("component_id"))
-    by_class = stored(classes.join(firsts, "label").select(F.col("node").alias("class_node"), "component_id"), "class-components")
+    by_class = stored(classes.join(firsts, "label").select(F.col("node").alias("class_node"), "component_id", F.col("label").alias("component")), "class-components")
     known = F.col("doc_id").isNotNull()
     component = F.when(known & F.col("node").isNull(), F.col("doc_id")).when(known, F.col("component_id"))
     return (
         corpus.signed.join(by_class, F.col("node") == F.col("class_node"), "left")
-        .select("doc_id", "n_shingles", component.alias("component_id"))
+        .select("doc_id", "n_shingles", component.alias("component_id"), "text_hash", F.when(known, F.col("component")).alias("component"))
         .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
     )
 
 
 def op10_minhash(spark, sf_dir: str) -> DataFrame:
-    return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet")).select("doc_id", "n_shingles", "component_id", "kept")

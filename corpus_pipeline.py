@@ -13,9 +13,8 @@ from pyspark.sql import functions as F
 from clickpath.llm import lines, mixing, near_duplicates, pieces, toxicity
 from clickpath.storage import stored
 
-# A document is dropped as toxic from this score on. It is higher than the report's threshold, which is set
-# to find toxic texts: a filter should leave clean ones alone.
-DROP_TOXIC = 0.5
+# A document is dropped as toxic from this score on: the threshold that the operator was set to by its training rows.
+DROP_TOXIC = toxicity.THRESHOLD
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,7 +27,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated runs of lines are cut from the later texts; a text that is nothing else goes."""
     cut = (
-        lines.drop_repeated_lines(docs).where(F.col("n_removed") > 0)
+        lines.drop_repeated_lines(docs, by_words=True).where(F.col("n_removed") > 0)
         .select(F.col("doc_id").alias("cut_id"), F.col("text_hash").alias("cut_hash"),
                 F.col("n_removed").alias("cut_lines"), F.col("n_lines").alias("all_lines"), F.col("kept_text").alias("cut_text"))
         .dropDuplicates(["cut_id", "cut_hash"])
@@ -42,10 +41,30 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document with the smallest doc_id stays."""
-    found = near_duplicates.near_duplicates(docs)
-    dropped = stored(found.where(~F.col("kept") & F.col("doc_id").isNotNull()).select("doc_id").distinct(), "near-copies")
-    return docs.join(dropped, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    """Of each group of near copies one row stays: the smallest doc_id, and of its texts and rows any one.
+
+    Rows are told apart by doc_id and text, so a text does not go because another one has its doc_id.
+    Rows without a doc_id and those without words stay.
+    """
+    found = near_duplicates.near_duplicates(docs).where(F.col("component").isNotNull())
+    texts = found.groupBy("doc_id", "text_hash").agg(F.first("component").alias("component"), F.max("kept").alias("kept"), F.count("*").alias("rows"))
+    texts = stored(texts, "near-texts")
+    # a group's smallest doc_id may have several texts of the group
+    chosen = texts.where("kept").groupBy("component").agg(F.min("text_hash").alias("chosen"))
+    judged = stored(texts.join(chosen, "component", "left"), "near-judged")
+    stays = F.col("kept") & (F.col("text_hash") == F.col("chosen"))
+    copy = [F.col("doc_id").alias("copy_id"), F.col("text_hash").alias("copy_hash")]
+    dropped = stored(judged.where(~stays).select(*copy), "near-copies")
+    repeated = stored(judged.where(stays & (F.col("rows") > 1)).select(*copy), "near-repeated")
+
+    def of(rows: DataFrame, copies: DataFrame, how: str) -> DataFrame:
+        return rows.join(copies, (F.col("row.doc_id") == F.col("copy_id")) & (F.xxhash64("row.text") == F.col("copy_hash")), how)
+
+    rows = of(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")), dropped, "left_anti")
+    if not repeated.isEmpty():
+        one = of(rows, repeated, "inner").dropDuplicates(["copy_id", "copy_hash"]).select("row")
+        rows = of(rows, repeated, "left_anti").unionByName(one)
+    return rows.select(*[F.col(f"row.`{c}`") for c in docs.columns])
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -91,24 +91,29 @@ def jaccard_links(docs: list[tuple], num: int = 80) -> collections.Counter:
     return out
 
 
-def without_repeated_lines(docs: list[tuple], run: int = 3, long_words: int = 50) -> dict:
+def without_repeated_lines(docs: list[tuple], run: int = 3, long_words: int = 50, by_words: bool = False) -> dict:
     """(doc_id, text) to (lines, lines removed, kept text); equal rows are one document."""
+    sizes = range(run, 0, -1) if by_words else (run, 1)
+
+    def counts(window: list[str]) -> bool:
+        return len(window) == run or sum(len(words(x)) for x in window) >= long_words
+
     places = {}
     rows = sorted({d for d in docs if d[1] is not None}, key=lambda d: (d[0] is not None, d[0] or 0))
     assert len({d[0] for d in rows}) == len(rows), "the order of texts with one doc_id is not modelled"
     for doc_id, text in rows:
         lines = text.split("\n")
-        for size in (run, 1):
+        for size in sizes:
             for j in range(len(lines) - size + 1):
-                if size == run or len(words(lines[j])) >= long_words:
+                if counts(lines[j : j + size]):
                     places.setdefault(tuple(lines[j : j + size]), (doc_id, j))
     out = {(doc_id, None): (0, 0, None) for doc_id, text in docs if text is None}
     for doc_id, text in rows:
         lines = text.split("\n")
         gone = set()
-        for size in (run, 1):
+        for size in sizes:
             for j in range(len(lines) - size + 1):
-                if (size == run or len(words(lines[j])) >= long_words) and places[tuple(lines[j : j + size])] != (doc_id, j):
+                if counts(lines[j : j + size]) and places[tuple(lines[j : j + size])] != (doc_id, j):
                     gone |= set(range(j, j + size))
         out[doc_id, text] = (len(lines), len(gone), "\n".join(x for j, x in enumerate(lines) if j not in gone))
     return out

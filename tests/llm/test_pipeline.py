@@ -11,7 +11,7 @@ import corpus_pipeline
 from clickpath.llm import mixing
 from clickpath.storage import stored
 from . import brute
-from .conftest import SMOKE, pairs
+from .conftest import SMOKE, edited, pairs, prose
 
 
 @pytest.fixture(scope="module")
@@ -37,7 +37,7 @@ def test_toxicity_drops_rows_only(steps):
 
 def test_line_dedup(steps):
     want = {}
-    for (doc_id, text), (n, gone, kept) in brute.without_repeated_lines(pairs(steps[1])).items():
+    for (doc_id, text), (n, gone, kept) in brute.without_repeated_lines(pairs(steps[1]), by_words=True).items():
         if gone < n or not gone:
             want[doc_id] = kept
     assert dict(pairs(steps[2])) == want
@@ -76,3 +76,16 @@ def test_awkward_rows(request, spark, table):
             if table != "nothing":
                 assert docs.where(F.col("doc_id").isNull()).count() == 2 or name == "mixing"
     assert docs.isEmpty() is (table == "nothing")
+
+
+def test_near_dedup_tells_texts_of_one_id_apart(spark):
+    """A clean text stays whatever else has its doc_id; of a group one row stays, also where rows or ids repeat."""
+    a, b, c = prose(80, 100), prose(81, 100), prose(82, 100)
+    rows = [(1, a), (5, edited(a, 60)), (5, b), (6, edited(b, 70)), (7, c), (7, c), (7, edited(c, 50)), (None, a), (None, a), (8, " "), (8, " "), (9, None)]
+    docs = spark.createDataFrame([(d, t, i) for i, (d, t) in enumerate(rows)], "doc_id long, text string, number int")
+    kept = corpus_pipeline.drop_near_copies(spark, docs, SMOKE)
+    assert kept.columns == docs.columns
+    got = collections.Counter(pairs(kept))
+    third = [t for (d, t), n in got.items() if d == 7]
+    assert len(third) == 1 and third[0] in (c, edited(c, 50))
+    assert got == collections.Counter([(1, a), (5, b), (7, third[0]), (None, a), (None, a), (8, " "), (8, " "), (9, None)])
