@@ -392,6 +392,29 @@ def daily_refresh_session_scope(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cp.daily_refresh(_raw(spark, sf_dir), warehouse, AS_OF, scope="session").read("transactions")
 
 
+def daily_refresh_restated_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A day 20 days before the load was first delivered without every fifth event; only its files tell."""
+    root, raw = _scratch(spark, "restated"), _raw(spark, sf_dir)
+    restated = (AS_OF - dt.timedelta(20)).strftime("%Y%m%d")
+    partial = raw.where((F.col("event_date") != restated) | (F.col("event_bundle_sequence_id") % 5 != 0))
+    partial.write.partitionBy("event_date").parquet(root)
+
+    def files() -> dict[str, str]:
+        return cp.source_log(cp.source_files(spark, root))
+
+    warehouse = cp.full_refresh(cp.read_events(spark, root), cp.Warehouse(spark, _scratch(spark, "daily")), source=files())
+    raw.where(F.col("event_date") == restated).drop("event_date").write.mode("overwrite").parquet(f"{root}/event_date={restated}")
+    return cp.daily_refresh(cp.read_events(spark, root), warehouse, AS_OF, source=files()).read("sessions")
+
+
+def audit_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of every table with a declared key, and how often keys are missing or repeated; every fifth event is there twice."""
+    raw = _raw(spark, sf_dir)
+    twice = raw.unionByName(raw.where(F.col("event_bundle_sequence_id") % 5 == 0))
+    warehouse = cp.full_refresh(twice, cp.Warehouse(spark, _scratch(spark, "audit")))
+    return cp.violations(warehouse.snapshot())
+
+
 def daily_refresh_after_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last load is older than the window."""
     return _changed_daily(spark, sf_dir, "20240120", _raw(spark, sf_dir))
@@ -441,6 +464,8 @@ _QUERIES = [
     daily_refresh_after_gap,
     daily_refresh_transactions_after_removal,
     daily_refresh_session_scope,
+    daily_refresh_restated_day,
+    audit_violations,
     pre_sessions_from_days,
     unified_id_from_days,
     pre_sessions_incremental_after_removal,

@@ -224,6 +224,21 @@ _DATE = "cast(strptime(event_date, '%Y%m%d') as date)"
 UNDATED = FLAT.replace(_DATE, f"case when bundle % 11 <> 0 then {_DATE} end")
 # every fifth event of the last days gone
 REMOVED = FLAT.replace("from looked_up", "from looked_up where bundle % 5 <> 0 or event_date < '20240128'")
+# every fifth event there twice
+TWICE = FLAT.replace("from looked_up", "from (from looked_up union all from looked_up where bundle % 5 = 0)")
+
+
+def key_counts(table: str, rows: str, *key: str) -> str:
+    """Rows, missing and repeated keys of a table; where one row stands for all missing keys, they count as one key."""
+    missing = " and ".join(f"{column} is null" for column in key)
+    again = "n > 1 and not missing" if table == "pre_events" else "n > 1"
+    return f"""
+select '{table}' as table_name, coalesce(sum(n), 0)::bigint as n_rows,
+    coalesce(sum(n) filter (missing), 0)::bigint as without_key, count(*) filter ({again}) as repeated_keys,
+    coalesce(sum(n - 1) filter ({again}), 0)::bigint as surplus_rows
+from (select {missing} as missing, count(*) as n from {rows} group by {", ".join(key)})"""
+
+
 _ITEM_COLUMNS = "i.item_id, i.item_name, i.item_category, i.price, i.quantity, i.item_revenue"
 
 
@@ -326,6 +341,20 @@ ORACLE: dict[str, str] = {
         _TRANSACTION.format(attribution="carried", on="a.session_key = p.session_key", weight=_FOUND),
         ROLLED, CARRIED, identity(), ORDERS,
     ),
+    "daily_refresh_restated_day": chain("select * from carried", ROLLED, CARRIED),
+    "audit_violations": chain(
+        " union all ".join(
+            [
+                key_counts("pre_events", "flat", "event_id"),
+                key_counts("pre_sessions", "rolled", "user_pseudo_id", "ga_session_id"),
+                key_counts("sessions", "carried", "user_pseudo_id", "ga_session_id"),
+                key_counts("unified_id", "identity", "user_pseudo_id"),
+                key_counts("attribution_first_click", "first_touch", "user_pseudo_id"),
+                key_counts("attribution_last_non_direct", "last_touch", "user_pseudo_id"),
+            ]
+        ),
+        ROLLED, CARRIED, identity(), single_touch("first_touch", "asc"), single_touch("last_touch", "desc"), flat=TWICE,
+    ),
     "pre_sessions_from_days": chain("select * from rolled", ROLLED),
     "unified_id_from_days": chain("select * from identity", identity()),
     "pre_sessions_incremental_after_removal": chain("select * from rolled", ROLLED, flat=REMOVED),

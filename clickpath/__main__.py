@@ -19,7 +19,7 @@ from clickpath.plans.daily import first_day, today
 from clickpath.plans.full import MODELS, SCOPES
 from clickpath.session import build_session
 from clickpath.sinks import Warehouse
-from clickpath.sources import read_events, read_shards, read_table
+from clickpath.sources import read_events, read_shards, read_table, source_files, source_log
 
 
 def _arguments(given: list[str] | None) -> argparse.Namespace:
@@ -41,7 +41,11 @@ def _arguments(given: list[str] | None) -> argparse.Namespace:
     parser.add_argument("--work-dir", help="shared folder for intermediate tables; below the tables by default")
     parser.add_argument("--as-of", type=dt.date.fromisoformat, help="daily load only; today, UTC, by default")
     parser.add_argument("--lookback-days", type=int, default=3, help="daily load only")
+    parser.add_argument("--find-restated", action="store_true", help="list the raw files, and load older days that have changed as well")
+    parser.add_argument("--audit", action="store_true", help="refuse a load that repeats a declared key")
     arguments = parser.parse_args(given)
+    if arguments.find_restated and arguments.layout == "table":
+        parser.error("files are listed in folders only")
     if arguments.load == "daily" and arguments.grain == "event":
         parser.error("event grain can only be loaded in full")
     return arguments
@@ -50,7 +54,7 @@ def _arguments(given: list[str] | None) -> argparse.Namespace:
 def _raw(spark: SparkSession, arguments: argparse.Namespace, warehouse: Warehouse) -> DataFrame:
     readers = {"partitions": read_events, "shards": read_shards, "table": read_table}
     days = {}
-    if arguments.layout == "shards" and arguments.load == "daily" and arguments.dates == "strict":
+    if arguments.layout == "shards" and arguments.load == "daily" and arguments.dates == "strict" and not arguments.find_restated:
         # the date is inside the files, so the days to open are chosen by folder; events without
         # a readable date can be in any
         as_of = arguments.as_of or today()
@@ -65,9 +69,11 @@ def main(given: list[str] | None = None) -> Warehouse:
     arguments = _arguments(given)
     spark = build_session()
     warehouse = Warehouse(spark, arguments.root, arguments.database, arguments.register, arguments.work_dir)
+    # listed before the log is read, so that a file that comes in between is found the next time
+    source = source_log(source_files(spark, arguments.raw, arguments.layout)) if arguments.find_restated else None
     raw = _raw(spark, arguments, warehouse)
     options = {"event_id": arguments.event_id, "on_duplicate": arguments.on_duplicate, "dates": arguments.dates}
-    options |= {"scope": arguments.scope, "model": arguments.model, "identity_as_of": arguments.identity_as_of}
+    options |= {"scope": arguments.scope, "model": arguments.model, "identity_as_of": arguments.identity_as_of, "source": source, "audit": arguments.audit}
     if arguments.load == "full":
         return full_refresh(raw, warehouse, arguments.grain, **options)
     return daily_refresh(raw, warehouse, arguments.as_of, arguments.lookback_days, **options)

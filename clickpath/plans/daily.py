@@ -8,7 +8,7 @@ attributions and report days are written.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,11 +24,38 @@ from clickpath.plans.full import (
     TOUCH_TABLES, as_state, check_reports, full_refresh, identities, load_options, newest_day, report_options, reports, start_day,
 )
 from clickpath.sinks import Load, Snapshot, Warehouse
+from clickpath.sinks.audit import check_keys
 from clickpath.sinks.warehouse import SESSION_DAY
+from clickpath.sources.changes import restated_days
+from clickpath.sources.exports import RAW_DATE
 from clickpath.storage import stored, working_under
 
 Days = set[dt.date | None]
 
+
+class Window:
+    """The days that a load reads again: those since a day, undated events, and single days before."""
+
+    def __init__(self, since: dt.date, restated: Iterable[dt.date] = ()):
+        self.since, self.restated = since, sorted(day for day in restated if day < since)
+
+    def holds(self) -> Column:
+        """Whether a flat event, or what is kept of its day, belongs to the window; never NULL."""
+        recent = reloaded(self.since)
+        return recent | F.col("event_date").isin(self.restated) if self.restated else recent
+
+    def events(self, raw: DataFrame, **options: str) -> DataFrame:
+        """The flat events of the window."""
+        recent = ops.pre_events_since(raw, self.since, **options)
+        if not self.restated:
+            return recent
+        days = raw.where(F.col("event_date").isin([day.strftime(RAW_DATE) for day in self.restated]))
+        return recent.unionByName(ops.pre_events(days, **options))
+
+    def days(self, snapshot: Snapshot, table: str) -> Days:
+        """Partitions of a table that belong to the window."""
+        return {day for day in snapshot.days(table) if day is None or day >= self.since or day in self.restated}
+
 _COOKIE = "user_pseudo_id"
 _SPREAD = ["ga_session_id", "session_start_timestamp"]
 
@@ -57,10 +84,16 @@ def daily_refresh(
     scope: str = "cookie",
     model: str = "last_non_direct",
     identity_as_of: dt.date | None = None,
+    source: Mapping[str, str] | None = None,
+    audit: bool = False,
     **event_options: str,
 ) -> Warehouse:
     """Load the reload window of ``as_of`` (today, UTC); without a finished load everything is built.
 
+    With ``source``, a ``source_log`` of the raw log, older days whose files have changed since the last load that
+    was given one are loaded as well. With ``audit`` a load that repeats a declared key in the partitions that it
+    writes is refused, and the tables stay as they are (``sinks.audit``).
+
     The tables are then those of a full load of the same log. Only session grain can be
     loaded this way: at event grain a session has many rows and no key to replace them by.
     A table that was loaded with other options is refused.
@@ -69,26 +102,30 @@ def daily_refresh(
     as_of = as_of or today()
     since = first_day(warehouse, as_of, lookback_days)
     if since is None:
-        return full_refresh(raw, warehouse, scope=scope, model=model, identity_as_of=identity_as_of, **event_options)
+        return full_refresh(raw, warehouse, scope=scope, model=model, identity_as_of=identity_as_of, source=source, audit=audit, **event_options)
     old = warehouse.snapshot()
     options = load_options("session", event_options)
     other = {name: old.state[name] for name in options if old.state[name] != options[name]}
     if other:
         raise ValueError(f"the tables were loaded with {other}; a daily load must use the same or follow a full one")
     wanted = report_options(scope, model, identity_as_of)
+    seen = old.state.get("source")
+    window = Window(since, restated_days(seen, source) if seen is not None and source is not None else ())
     with working_under(warehouse.spark, warehouse.work_dir), warehouse.loading() as load:
-        recent = _load_events(raw, load, old, since, event_options)
-        session_changes = _load_paths(load, old, _load_sessions(load, old, since))
+        recent = _load_events(raw, load, old, window, event_options)
+        session_changes = _load_paths(load, old, _load_sessions(load, old, window))
         touched = _load_attribution(load, old, session_changes)
-        new_logins = _load_identities(load, old, since, identity_as_of)
+        new_logins = _load_identities(load, old, window, identity_as_of)
         if old.state["reports"] == wanted and new_logins is not None:
-            _load_reports(load, old, since, scope, model, session_changes, touched, new_logins)
+            _load_reports(load, old, window, scope, model, session_changes, touched, new_logins)
         else:
             for name, rows in reports(load, scope, model).items():
                 load.replace(name, rows)
+        if audit:
+            check_keys(load, old)
         before = old.state["newest_day"]
         known = [day for day in (newest_day(recent), before and dt.date.fromisoformat(before)) if day]
-        load.state = as_state(options | {"reports": wanted}, max(known, default=None))
+        load.state = as_state(options | {"reports": wanted, "source": source and dict(source)}, max(known, default=None))
     return warehouse
 
 
@@ -104,31 +141,27 @@ def _on(column: str, days: Iterable[dt.date | None]) -> Column:
     return listed | F.col(column).isNull() if None in days else listed
 
 
-def _window(snapshot: Snapshot, table: str, since: dt.date) -> Days:
-    return {day for day in snapshot.days(table) if day is None or day >= since}
-
-
-def _load_events(raw: DataFrame, load: Load, old: Snapshot, since: dt.date, event_options: dict[str, str]) -> DataFrame:
+def _load_events(raw: DataFrame, load: Load, old: Snapshot, window: Window, event_options: dict[str, str]) -> DataFrame:
     """Replace the days of the window in the events and in what is kept of each day."""
-    load.replace_days("pre_events", ops.pre_events_since(raw, since, **event_options), _window(old, "pre_events", since))
-    recent = load.read("pre_events").where(reloaded(since))
+    load.replace_days("pre_events", window.events(raw, **event_options), window.days(old, "pre_events"))
+    recent = load.read("pre_events").where(window.holds())
     for table in ("session_days", "identity_days", "purchase_days"):
-        load.replace_days(table, getattr(partials, table)(recent), _window(old, table, since))
+        load.replace_days(table, getattr(partials, table)(recent), window.days(old, table))
     return recent
 
 
-def _changed_in_window(table: str, load: Load, old: Snapshot, since: dt.date) -> DataFrame:
-    return changed_rows(old.read(table).where(reloaded(since)), load.read(table).where(reloaded(since)))
+def _changed_in_window(table: str, load: Load, old: Snapshot, window: Window) -> DataFrame:
+    return changed_rows(old.read(table).where(window.holds()), load.read(table).where(window.holds()))
 
 
-def _load_sessions(load: Load, old: Snapshot, since: dt.date) -> DataFrame:
+def _load_sessions(load: Load, old: Snapshot, window: Window) -> DataFrame:
     """Rebuild the sessions whose events of the window have changed; returns the sessions that differ, before and after."""
-    changed = _changed_in_window("session_days", load, old, since)
+    changed = _changed_in_window("session_days", load, old, window)
     owners = stored(changed.select(*SESSION_OWNER).distinct(), "session-owners")
     sessions = old.read_stored("pre_sessions")
     known = stored(join_sessions(sessions, owners, "left_semi"), "sessions-known")
     days = load.read("session_days")
-    recent, older = days.where(reloaded(since)), days.where(_older_days(known, since))
+    recent, older = days.where(window.holds()), days.where(~window.holds() & _since_start(known))
     rebuilt = partials.merged_sessions(join_sessions(recent.unionByName(older), owners, "left_semi"))
     found = join_sessions(rebuilt, known, "left", SESSION_DAY)
     placed = stored(found.withColumn(SESSION_DAY, F.coalesce(F.col(SESSION_DAY), start_day())), "sessions-placed")
@@ -140,8 +173,8 @@ def _load_sessions(load: Load, old: Snapshot, since: dt.date) -> DataFrame:
     return differing
 
 
-def _older_days(known: DataFrame, since: dt.date) -> Column:
-    """The days before the window from which the known sessions can have events."""
+def _since_start(known: DataFrame) -> Column:
+    """The days from which the known sessions can have events."""
     start, undated, count = known.agg(
         F.min("session_start_timestamp"), F.count_if(F.col("session_start_timestamp").isNull()), F.count("*")
     ).first()
@@ -151,7 +184,7 @@ def _older_days(known: DataFrame, since: dt.date) -> Column:
     if not undated:
         # days are cut in the reporting time zone, at most a day off from UTC
         first = dt.datetime.fromtimestamp(start // 1_000_000, dt.timezone.utc).date() - dt.timedelta(1)
-    return (F.col("event_date") >= F.lit(first)) & (F.col("event_date") < F.lit(since))
+    return F.col("event_date") >= F.lit(first)
 
 
 def _load_paths(load: Load, old: Snapshot, differing: DataFrame) -> DataFrame:
@@ -212,13 +245,13 @@ def _load_attribution(load: Load, old: Snapshot, session_changes: DataFrame) ->
     return differing
 
 
-def _load_identities(load: Load, old: Snapshot, since: dt.date, as_of: dt.date | None) -> DataFrame | None:
+def _load_identities(load: Load, old: Snapshot, window: Window, as_of: dt.date | None) -> DataFrame | None:
     """The first login of cookies whose logins have changed; returns the rows that differ, or None if all were built anew."""
     days = load.read("identity_days")
     if as_of is not None or old.state["reports"]["identity_as_of"] is not None:
         load.replace("unified_id", identities(days, as_of))
         return None
-    cookies = stored(_changed_in_window("identity_days", load, old, since).select(_COOKIE).distinct(), "cookies-identified")
+    cookies = stored(_changed_in_window("identity_days", load, old, window).select(_COOKIE).distinct(), "cookies-identified")
     new = stored(partials.merged_identities(_among(days, cookies, ["event_date"])), "identities-new")
     rows = old.read("unified_id")
     differing = stored(changed_rows(_among(rows, cookies, ["resolved_user_id"]), new), "identities-differing")
@@ -228,11 +261,11 @@ def _load_identities(load: Load, old: Snapshot, since: dt.date, as_of: dt.date |
 
 
 def _load_reports(
-    load: Load, old: Snapshot, since: dt.date, scope: str, model: str,
+    load: Load, old: Snapshot, window: Window, scope: str, model: str,
     session_changes: DataFrame, touched: dict[str, DataFrame], new_logins: DataFrame,
 ) -> None:
     """Write the report days on which a purchase, its attribution or its login has changed."""
-    purchases = load.read("purchase_days").where(~reloaded(since))
+    purchases = load.read("purchase_days").where(~window.holds())
     spread = ["ga_session_id", "event_date"]
     found = [_among(purchases, new_logins.select(_COOKIE).distinct(), spread)]
     if scope == "cookie" and touched:
@@ -242,7 +275,7 @@ def _load_reports(
         found.append(join_sessions(purchases, session_changes.select(*SESSION_OWNER).distinct(), "left_semi"))
     elif scope == "linear":
         found.append(_among(purchases, session_changes.select(_COOKIE).distinct(), spread))
-    days = _window(old, "purchase_days", since) | _window(load, "purchase_days", since)
+    days = window.days(old, "purchase_days") | window.days(load, "purchase_days")
     for rows in found:
         days |= _days(rows, "event_date")
     if days:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from clickpath import operators as ops
 from clickpath.operators import partials
 from clickpath.sinks import Load, Warehouse
+from clickpath.sinks.audit import check_keys
 from clickpath.sinks.warehouse import SESSION_DAY
 from clickpath.storage import working_under
 
@@ -51,11 +53,15 @@ def full_refresh(
     scope: str = "cookie",
     model: str = "last_non_direct",
     identity_as_of: dt.date | None = None,
+    source: Mapping[str, str] | None = None,
+    audit: bool = False,
     **event_options: str,
 ) -> Warehouse:
     """Build every table anew. Each one is written and read back, so none is computed twice.
 
-    Readers keep the tables of the load before until all of them are written.
+    Readers keep the tables of the load before until all of them are written. ``source`` is a ``source_log`` of the
+    raw log, listed before it is read, by which a daily load finds older days that have changed. With ``audit`` a
+    load that repeats a declared key is refused (``sinks.audit``).
     """
     check_reports(scope, model)
     with working_under(warehouse.spark, warehouse.work_dir), warehouse.loading() as load:
@@ -77,7 +83,11 @@ def full_refresh(
         load.replace("purchase_days", partials.purchase_days(events))
         for name, rows in reports(load, scope, model).items():
             load.replace(name, rows)
-        options = load_options(grain, event_options) | {"reports": report_options(scope, model, identity_as_of)}
+        options = load_options(grain, event_options) | {
+            "reports": report_options(scope, model, identity_as_of), "source": source and dict(source)
+        }
+        if audit and grain == "session":
+            check_keys(load, None)
         load.state = as_state(options, newest_day(events))
     return warehouse
 
