@@ -51,8 +51,8 @@ def sent(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
 
 
 def hash_chunks(docs: DataFrame, chunks: int) -> DataFrame:
-    """Documents dealt evenly, whatever their ids."""
-    return docs.withColumn(CHUNK, F.pmod(F.xxhash64("doc_id"), F.lit(chunks)).cast("int"))
+    """Documents dealt evenly, also where many have no id or the same one."""
+    return docs.withColumn(CHUNK, F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)).cast("int"))
 
 
 def range_chunks(docs: DataFrame, chunks: int) -> DataFrame:

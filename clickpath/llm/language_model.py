@@ -14,8 +14,10 @@ their own, all others share the class of their last three bytes. The model gives
   ``log(count of feature and token + prior * p)``, with p the distribution without that feature, starting at
   ``p(token | class)``; its normalizer is the count of the feature in the class plus the prior.
 
-Word features are hashes of 64 bits. Their counts are a Spark table over all training documents, by bucket of hashes
-as those of tokens, and it grows with the corpus; each chunk gets back those of its own features.
+Word features are hashed into slots, ``SLOTS`` for each training token or up to twice as many, so the table of their
+counts grows with the corpus and a feature shares its slot with a chance below 4 / ``SLOTS``. Counts are a Spark table over
+all training documents, by bucket of slots as those of tokens; each chunk gets back those of its own features. Slots are sent
+as differences of neighbours, counts in as many bytes as the largest needs.
 
 Counting covers all training documents: token counts go through buckets of hashes (``chunks``), class
 trigrams through folded sums. Training takes steps along the gradient; the rows of contexts are spread
@@ -61,6 +63,8 @@ SKIP_PRIOR = 16.0
 # the word before the first one of a document
 START = np.uint64(0x5BE0CD19137E2179)
 _FEATURE_BASE = np.uint64(0x9FB21C651E98DF25)
+# slots of word features for each training token, at the least
+SLOTS = 64
 # rows of packed counts that one task adds up
 FOLD = 64
 
@@ -166,6 +170,11 @@ class Vocabulary:
     top: np.ndarray
     top_class: np.ndarray
 
+    @property
+    def unused(self) -> np.uint64:
+        """Low bits of a hash that do not count: the others are its slot."""
+        return np.uint64(64 - min(64, (max(self.tokens, 1) * SLOTS).bit_length()))
+
     def classes(self, hashes: np.ndarray, suffix: np.ndarray) -> np.ndarray:
         out = suffix.astype(np.int64) + TOP
         if len(self.top):
@@ -210,8 +219,13 @@ def _contexts(classes: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.n
     return one, two
 
 
-def _word_features(hashes: np.ndarray, classes: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Tokens that share their class, and four keys of each: the skip feature in its class, with the token; the pair likewise."""
+def _word_features(
+    hashes: np.ndarray, classes: np.ndarray, starts: np.ndarray, unused: np.uint64 = np.uint64(0)
+) -> tuple[np.ndarray, np.ndarray]:
+    """Tokens that share their class, and four keys of each: the skip feature in its class, with the token; the pair likewise.
+
+    A key is a hash without its ``unused`` low bits.
+    """
     one = np.concatenate([[START], hashes[:-1]])
     one[starts] = START
     two = np.concatenate([[START], one[:-1]])
@@ -222,31 +236,48 @@ def _word_features(hashes: np.ndarray, classes: np.ndarray, starts: np.ndarray)
     for step, before in ((np.uint64(2), two), (np.uint64(1), one)):
         feature = W.mixed(before[at] * _FEATURE_BASE + kind * np.uint64(4) + step)
         keys += [feature, W.mixed(feature * _FEATURE_BASE + token)]
-    return at, np.stack(keys)
+    return at, np.stack(keys) >> unused << unused
 
 
 def _packed(values: np.ndarray) -> bytes:
-    """Bytes of 64-bit values by place, so that high bytes, which are mostly alike, compress."""
-    return values.astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes()
+    """Values as their number, the bytes that the largest needs, and these bytes by place, so that those that are alike compress."""
+    width = max(1, (int(values.max(initial=0)).bit_length() + 7) // 8)
+    planes = values.astype("<u8").view(np.uint8).reshape(-1, 8).T[:width]
+    return len(values).to_bytes(8, "little") + bytes([width]) + planes.tobytes()
+
+
+def _unpack(raw: bytes, at: int = 0) -> tuple[np.ndarray, int]:
+    """Packed values, and where they end."""
+    n, width = int.from_bytes(raw[at : at + 8], "little"), raw[at + 8]
+    out = np.zeros((n, 8), dtype=np.uint8)
+    out[:, :width] = np.frombuffer(raw, np.uint8, n * width, at + 9).reshape(width, n).T
+    return out.view("<u8").ravel(), at + 9 + n * width
+
 
+def _slots(keys: np.ndarray, unused: np.uint64) -> bytes:
+    """Keys in order, as the slot of the first and the differences of the others."""
+    return _packed(keys[:1] >> unused) + _packed(np.diff(keys >> unused))
 
-def _values(raw: bytes, n: int, skipped: int = 0) -> np.ndarray:
-    return np.frombuffer(raw, np.uint8, 8 * n, skipped).reshape(8, n).T.copy().view("<u8").ravel()
+
+def _keys(raw: bytes, unused: np.uint64) -> tuple[np.ndarray, int]:
+    first, at = _unpack(raw)
+    steps, at = _unpack(raw, at)
+    return np.cumsum(np.concatenate([first, steps]), dtype=np.uint64) << unused, at
 
 
 def _count_features(vocabulary: Vocabulary, buckets: int):
     """Each chunk's distinct word features by bucket: keys, counts in training documents. Rows come by chunk."""
+    unused = vocabulary.unused
 
     def packed(c: int, trained: list[np.ndarray], rest: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         seen, others = np.concatenate(trained), np.concatenate(rest)
-        seen.sort()
-        first = np.flatnonzero(np.concatenate([[True], seen[1:] != seen[:-1]])[: len(seen)])
-        times = np.diff(np.concatenate([first, [len(seen)]])).astype("<u4")
-        seen = seen[first]
+        trained.clear()
+        rest.clear()
+        seen, times = np.unique(seen, return_counts=True)
         keys = np.union1d(seen, others)
-        counts = np.zeros(len(keys), dtype="<u4")
+        counts = np.zeros(len(keys), dtype=np.int64)
         counts[np.searchsorted(keys, seen)] = times
-        rows = [(c, b, _packed(keys[at]) + counts[at].tobytes()) for b, at in C.bucket_slices(keys, buckets)]
+        rows = [(c, b, _slots(keys[at], unused) + _packed(counts[at])) for b, at in C.bucket_slices(keys, buckets)]
         if rows:
             yield C.sent(rows)
 
@@ -258,7 +289,7 @@ def _count_features(vocabulary: Vocabulary, buckets: int):
             training = batch.column("training").to_numpy(zero_copy_only=False)
             for words in W.word_groups(W.as_binary(batch.column("text")), lower=True):
                 hashes, suffix, starts = _tokens(words)
-                at, keys = _word_features(hashes, vocabulary.classes(hashes, suffix), starts)
+                at, keys = _word_features(hashes, vocabulary.classes(hashes, suffix), starts, unused)
                 size = words.counts() + 1
                 owner, trains = np.repeat(chunk[words.rows], size)[at], np.repeat(training[words.rows], size)[at]
                 for c in np.unique(owner):
@@ -273,23 +304,30 @@ def _count_features(vocabulary: Vocabulary, buckets: int):
     return run
 
 
-def _feature_totals(table: pa.Table) -> pa.Table:
+def _feature_totals(unused: np.uint64):
     """Of one bucket: the corpus count of every word feature each chunk has sent, in its order."""
-    # of a chunk a count has 32 bits; a payload at a time is unpacked, as together they are large
-    keys, counts = [], []
-    for p in table.column("payload"):
-        raw = p.as_py()
-        keys.append(_values(raw, len(raw) // 12))
-        counts.append(np.frombuffer(raw, "<u4", len(raw) // 12, len(raw) // 12 * 8).copy())
-    n = [len(k) for k in keys]
-    keys = np.concatenate(keys)
-    _, back = np.unique(keys, return_inverse=True)
-    del keys
-    answer = np.bincount(back, weights=np.concatenate(counts))[back]
-    del back, counts
-    cuts = np.concatenate([[0], np.cumsum(n)])
-    rows = [_packed(answer[a:b]) for a, b in zip(cuts[:-1], cuts[1:])]
-    return pa.table([table.column("chunk"), table.column("bucket"), pa.array(rows, pa.binary())], names=["chunk", "bucket", "payload"])
+
+    def run(table: pa.Table) -> pa.Table:
+        keys, counts = [], []
+        # a payload at a time is unpacked, as together they are large
+        for p in table.column("payload"):
+            raw = p.as_py()
+            own, at = _keys(raw, unused)
+            keys.append(own)
+            counts.append(_unpack(raw, at)[0].astype(np.uint32))
+        cuts = np.cumsum([0, *map(len, keys)])
+        keys, counts = np.concatenate(keys), np.concatenate(counts)
+        order = np.argsort(keys)
+        ordered = keys[order]
+        head = np.concatenate([[True], ordered[1:] != ordered[:-1]])
+        del keys, ordered
+        total = np.add.reduceat(counts[order].astype(np.int64), np.flatnonzero(head))
+        answer = np.empty(len(order), dtype=np.int64)
+        answer[order] = total[np.cumsum(head) - 1]
+        rows = [_packed(answer[a:b]) for a, b in zip(cuts[:-1], cuts[1:])]
+        return pa.table([table.column("chunk"), table.column("bucket"), pa.array(rows, pa.binary())], names=["chunk", "bucket", "payload"])
+
+    return run
 
 
 def with_words(p: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -444,12 +482,12 @@ def _score(vocabulary: Vocabulary, logs: np.ndarray):
         order = np.argsort(answers.column("bucket").to_numpy(), kind="stable")
         payload, featured = answers.column("payload").combine_chunks(), answers.column("featured").to_pylist()
         corpus = [np.frombuffer(payload[int(i)].as_py(), "<u8") for i in order if not featured[i]]
-        seen = [_values(raw, len(raw) // 8) for raw in (payload[int(i)].as_py() for i in order if featured[i])]
+        seen = [_unpack(payload[int(i)].as_py())[0] for i in order if featured[i]]
         groups, asked = [], []
         for words in W.word_groups(C.texts_of(docs), lower=True):
             hashes, suffix, starts = _tokens(words)
             groups.append((hashes, suffix, starts))
-            asked.append(_word_features(hashes, vocabulary.classes(hashes, suffix), starts)[1].ravel())
+            asked.append(_word_features(hashes, vocabulary.classes(hashes, suffix), starts, vocabulary.unused)[1].ravel())
         empty = np.zeros(0)
         cuts = np.cumsum([0, *map(len, asked)])
         back = np.unique(np.concatenate(asked), return_inverse=True)[1] if seen else np.zeros(0, int)
@@ -499,7 +537,7 @@ def score_documents(docs: DataFrame, training: Column, rounds: int = ROUNDS) ->
     model = train(stored(_class_counts(marked.select("text", "training"), vocabulary), "class-counts"), rounds)
     features = stored(
         chunked.sortWithinPartitions(C.CHUNK).mapInArrow(_count_features(vocabulary, n), C.SENT).repartition(n, "bucket").groupBy("bucket")
-        .applyInArrow(_feature_totals, ANSWERED),
+        .applyInArrow(_feature_totals(vocabulary.unused), ANSWERED),
         "feature-counts",
     )
     logs = np.stack([model.log_probabilities(c) for c in range(CONTEXTS)]) / np.log(10)

@@ -102,3 +102,13 @@ def test_word_features_are_told_apart():
     assert at.tolist() == [0, 1, 3, 4, 5, 6, 7] and keys.shape == (4, 7)
     # tokens 0, 1 and 5 have one class and the start of a document two words before
     assert len(np.unique(keys)) == keys.size - 2
+
+
+def test_packed_slots_come_back():
+    draw = np.random.default_rng(2)
+    for unused in (0, 20, 63):
+        keys = np.unique(draw.integers(0, 2**64, 500, dtype=np.uint64) >> np.uint64(unused) << np.uint64(unused))
+        for some in (keys, keys[:1], keys[:0]):
+            raw = lm._slots(some, np.uint64(unused)) + lm._packed(np.arange(len(some)) * 999)
+            got, at = lm._keys(raw, np.uint64(unused))
+            assert got.tolist() == some.tolist() and lm._unpack(raw, at)[0].tolist() == (np.arange(len(some)) * 999).tolist()
