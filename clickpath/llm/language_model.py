@@ -478,6 +478,8 @@ def train(counts: DataFrame, rounds: int = ROUNDS, tasks: int = 4) -> Weights:
 
 
 def _score(vocabulary: Vocabulary, logs: np.ndarray):
+    unused = vocabulary.unused
+
     def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
         order = np.argsort(answers.column("bucket").to_numpy(), kind="stable")
         payload, featured = answers.column("payload").combine_chunks(), answers.column("featured").to_pylist()
@@ -487,7 +489,7 @@ def _score(vocabulary: Vocabulary, logs: np.ndarray):
         for words in W.word_groups(C.texts_of(docs), lower=True):
             hashes, suffix, starts = _tokens(words)
             groups.append((hashes, suffix, starts))
-            asked.append(_word_features(hashes, vocabulary.classes(hashes, suffix), starts, vocabulary.unused)[1].ravel())
+            asked.append(_word_features(hashes, vocabulary.classes(hashes, suffix), starts, unused)[1].ravel())
         empty = np.zeros(0)
         cuts = np.cumsum([0, *map(len, asked)])
         back = np.unique(np.concatenate(asked), return_inverse=True)[1] if seen else np.zeros(0, int)

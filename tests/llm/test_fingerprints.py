@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from clickpath.llm import fingerprints
@@ -70,3 +71,36 @@ def test_fingerprints_are_packed(spark):
     df = spark.createDataFrame([("a b c d e f",), ("",)], "t string")
     got = [r[0] for r in df.select(fingerprints.packed(fingerprints.fingerprint(F.col("t")))).collect()]
     assert len(got[0]) == fingerprints.BINS * fingerprints.LOW_BITS // 4 and int(got[0], 16) and got[1] == ""
+
+
+def plain_fingerprint(text: str | None) -> str:
+    """One permutation, minima by bin, empty bins filled by asking others, low bits as hex digits; whole numbers only."""
+
+    def chained(values, seed: int = 42) -> int:
+        for v in values:
+            seed = xxhash.xxh64_intdigest(v if isinstance(v, bytes) else v.to_bytes(8, "little"), seed=seed)
+        return seed
+
+    words = [chained([w.encode()]) for w in brute.words(text)]
+    if not words:
+        return ""
+    cuts = [words[i : i + 5] for i in range(len(words) - 4)] or [words]
+    minima = {}
+    for h in map(chained, cuts):
+        minima[h >> 57] = min(h, minima.get(h >> 57, h))
+    out = ""
+    for j in range(128):
+        asked = j
+        if j not in minima:
+            seed = chained([j.to_bytes(4, "little")])
+            step, shift = seed & 127 | 1, seed >> 32
+            asked = next(a for a in ((step * t + shift) & 127 for t in range(128)) if a in minima)
+        out += f"{minima[asked] & 255:02x}"
+    return out
+
+
+@pytest.mark.parametrize("table", ["awkward", "smoke"])
+def test_fingerprints_equal_plain_ones(request, table):
+    df = request.getfixturevalue(table)
+    rows = df.select("text", fingerprints.packed(fingerprints.fingerprint(F.col("text"))).alias("f")).collect()
+    assert [r["f"] for r in rows] == [plain_fingerprint(r["text"]) for r in rows]

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from clickpath.llm import toxicity
+from . import brute
 from .conftest import SMOKE, prose
 
 BAD = ["wretched", "blockhead", "nincompoop"]
@@ -63,3 +64,40 @@ def test_query(spark, smoke):
     rows = toxicity.op9_toxicity(spark, SMOKE).collect()
     assert sorted(r["doc_id"] for r in rows) == sorted(r["doc_id"] for r in smoke.collect())
     assert all(r["predicted"] == int(r["score"] >= 0.3) for r in rows)
+
+
+def plain_score(text: str | None, model: toxicity.Model) -> float:
+    """The score from bytes and whole numbers: words, their bags, the mean of means."""
+    mask = 2**64 - 1
+
+    def bucket(part: bytes) -> int:
+        total = sum((b + 1) * pow(toxicity.W._BYTE_BASE, i, 2**64) for i, b in enumerate(part)) + len(part) * toxicity.W._OTHER_BASE
+        h = total & mask
+        h ^= h >> 32
+        h = h * 0xD6E8FEB86659FD93 & mask
+        h ^= h >> 32
+        h = h * 0xD6E8FEB86659FD93 & mask
+        return (h ^ h >> 32) % toxicity.BUCKETS
+
+    total, words = 0.0, brute.words((text or "").translate(brute.LOWER))
+    for word in words:
+        marked = b"\0" + word.encode() + b"\0"
+        bag = [marked] + [marked[i : i + n] for n in toxicity.SIZES for i in range(len(marked) - n + 1)]
+        total += sum(model.buckets[bucket(part)] for part in bag) / len(bag)
+    return 1 / (1 + np.exp(-np.clip(total / (len(words) + toxicity.NEUTRAL) + model.bias, -40, 40)))
+
+
+def test_scores_equal_plain_ones(spark, smoke, awkward):
+    model = toxicity.learn_from_labels(smoke, spark.read.parquet(f"{SMOKE}/labels.parquet"))
+    rows = awkward.where("doc_id is null or doc_id <> 19").select("doc_id", "text").collect()
+    rows += smoke.where("doc_id < 30").select("doc_id", "text").collect()
+    df = spark.createDataFrame([(i, r["text"]) for i, r in enumerate(rows)], "doc_id long, text string")
+    got = {r["doc_id"]: r["score"] for r in toxicity.score(df, model).collect()}
+    assert [got[i] for i in range(len(rows))] == pytest.approx([plain_score(r["text"], model) for r in rows], abs=1e-9)
+
+
+def test_gradient_steps_lower_the_loss():
+    """Two rows of one bucket each: the fit tells them apart."""
+    vectors = [np.array([b], "<i4").tobytes() + np.array([0.5], "<f4").tobytes() for b in (3, 9)] * 20
+    model = toxicity.fit(toxicity.Sample.of(vectors, np.array([0, 1] * 20)))
+    assert model.buckets[9] > 0 > model.buckets[3]
