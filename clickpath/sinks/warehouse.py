@@ -14,7 +14,6 @@ from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clickpath.schema import DESCRIPTIONS, STATE_TABLES, TABLES, columns
@@ -73,6 +72,19 @@ def _day_name(day: dt.date | None) -> str:
     return _NO_DAY if day is None else day.isoformat()
 
 
+def _live(table: str, places: dict[str, str]) -> str:
+    """Which partitions belong to a version: a condition on partition columns alone, in SQL as there can be thousands of days."""
+    by_load: dict[str, list[str]] = {}
+    for day, folder in places.items():
+        by_load.setdefault(folder, []).append(day)
+    column, tests = f"CAST(`{PARTITIONED_BY[table]}` AS DATE)", []
+    for folder, days in by_load.items():
+        dates = ", ".join(f"DATE'{day}'" for day in days if day != _NO_DAY)
+        own = [f"{column} IN ({dates})"] * bool(dates) + [f"{column} IS NULL"] * (_NO_DAY in days)
+        tests.append(f"(`{_LOAD}` = '{folder}' AND ({' OR '.join(own)}))")
+    return " OR ".join(tests)
+
+
 class Snapshot:
     """The tables of one version; its data frames stay the same whatever is loaded later."""
 
@@ -99,19 +111,7 @@ class Snapshot:
             return spark.read.schema(schema).parquet(*folders)
         whole = T.StructType([*schema.fields, T.StructField(_LOAD, T.StringType())])
         rows = spark.read.schema(whole).option("basePath", path).parquet(*folders)
-        return rows.where(self._holds(table)).select(*schema.fieldNames())
-
-    def _holds(self, table: str):
-        """Which partitions of the folders belong to this version: a condition on partition columns alone."""
-        day, by_load = F.col(PARTITIONED_BY[table]), {}
-        for name, load in self.places[table].items():
-            by_load.setdefault(load, []).append(name)
-        test = F.lit(False)
-        for load, names in by_load.items():
-            dates = [F.lit(dt.date.fromisoformat(name)) for name in names if name != _NO_DAY]
-            inside = F.coalesce(day.isin(dates), F.lit(False)) if dates else F.lit(False)
-            test = test | ((F.col(_LOAD) == load) & (inside | day.isNull() if _NO_DAY in names else inside))
-        return test
+        return rows.where(_live(table, places)).select(*schema.fieldNames())
 
     def read(self, table: str) -> DataFrame:
         return self.read_stored(table).select(*table_columns(table))
@@ -248,21 +248,10 @@ class Warehouse:
             fields = ", ".join(f"CAST(`{f.name}` AS {f.dataType.simpleString()}) AS `{f.name}`" for f in schema.fields)
             if load.places[table]:
                 source = f"parquet.`{self.path(table)}`" if table in PARTITIONED_BY else f"parquet.`{self.path(table)}/{_LOAD}={load.places[table]['']}`"
-                query = f"SELECT {fields} FROM {source}" + (f" WHERE {self._sql_condition(load, table)}" if table in PARTITIONED_BY else "")
+                query = f"SELECT {fields} FROM {source}" + (f" WHERE {_live(table, load.places[table])}" if table in PARTITIONED_BY else "")
             else:
                 empty = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`" for f in schema.fields)
                 query = f"SELECT {empty} WHERE false"
             if self.spark.catalog.tableExists(f"{self.database}.{table}") and self.spark.catalog.getTable(f"{self.database}.{table}").tableType != "VIEW":
                 self.spark.sql(f"DROP TABLE {name}")
             self.spark.sql(f"CREATE OR REPLACE VIEW {name} COMMENT '{DESCRIPTIONS[table]}' AS {query}")
-
-    def _sql_condition(self, load: Load, table: str) -> str:
-        by_load: dict[str, list[str]] = {}
-        for day, folder in load.places[table].items():
-            by_load.setdefault(folder, []).append(day)
-        column, tests = f"CAST(`{PARTITIONED_BY[table]}` AS DATE)", []
-        for folder, days in by_load.items():
-            dates = ", ".join(f"DATE'{day}'" for day in days if day != _NO_DAY)
-            own = [f"{column} IN ({dates})"] * bool(dates) + [f"{column} IS NULL"] * (_NO_DAY in days)
-            tests.append(f"(`{_LOAD}` = '{folder}' AND ({' OR '.join(own)}))")
-        return " OR ".join(tests)

@@ -160,3 +160,16 @@ def test_a_removal_deep_in_a_path(spark, tmp_path):
     cp.daily_refresh(gone, daily, dt.date(2024, 1, 12), lookback_days=4)
     assert {r["final_session_source"] for r in daily.read("sessions").collect()} == {"a"}
     assert_same_tables(daily, cp.full_refresh(gone, cp.Warehouse(spark, str(tmp_path / "full"))))
+
+
+def test_reads_of_days_open_their_folders_only(spark, tmp_path):
+    """Which write a day comes from and which days are asked for are both settled by folder names."""
+    log = [visit("u", 1, d * DAY, "a") for d in range(10)]
+    warehouse = cp.full_refresh(raw_log(spark, *log), cp.Warehouse(spark, str(tmp_path)))
+    cp.daily_refresh(raw_log(spark, *log, visit("v", 2, 9 * DAY)), warehouse, AS_OF)
+    some = warehouse.read("pre_events").where("event_date >= '2024-01-09'")
+    plan = some._jdf.queryExecution().executedPlan().toString()
+    filters = plan[plan.index("PartitionFilters:") :].split("]")[0]
+    assert "event_date" in filters and "load" in filters
+    assert len(some.inputFiles()) >= 2 and some.count() == 3
+    assert some.select(F.input_file_name()).distinct().count() <= 3
