@@ -22,13 +22,14 @@ from clickpath.operators.sessions import PATH_ORDER, SESSION_OWNER, join_session
 from clickpath.operators.skew import lookup_join
 from clickpath.plans.full import (
     TOUCH_TABLES, as_state, check_reports, full_refresh, identities, load_options, newest_day, report_options, reports, start_day,
+    write_reports,
 )
 from clickpath.sinks import Load, Snapshot, Warehouse
 from clickpath.sinks.audit import check_keys
 from clickpath.sinks.warehouse import SESSION_DAY
 from clickpath.sources.changes import restated_days
 from clickpath.sources.exports import RAW_DATE
-from clickpath.storage import stored, working_under
+from clickpath.storage import at_the_same_time, stored, working_under
 
 Days = set[dt.date | None]
 
@@ -113,14 +114,13 @@ def daily_refresh(
     window = Window(since, restated_days(seen, source) if seen is not None and source is not None else ())
     with working_under(warehouse.spark, warehouse.work_dir), warehouse.loading() as load:
         recent = _load_events(raw, load, old, window, event_options)
-        session_changes = _load_paths(load, old, _load_sessions(load, old, window))
-        touched = _load_attribution(load, old, session_changes)
-        new_logins = _load_identities(load, old, window, identity_as_of)
+        (session_changes, touched), new_logins = at_the_same_time(
+            lambda: _load_paths_and_attribution(load, old, window), lambda: _load_identities(load, old, window, identity_as_of)
+        )
         if old.state["reports"] == wanted and new_logins is not None:
             _load_reports(load, old, window, scope, model, session_changes, touched, new_logins)
         else:
-            for name, rows in reports(load, scope, model).items():
-                load.replace(name, rows)
+            write_reports(load, reports(load, scope, model))
         if audit:
             check_keys(load, old)
         before = old.state["newest_day"]
@@ -145,11 +145,19 @@ def _load_events(raw: DataFrame, load: Load, old: Snapshot, window: Window, even
     """Replace the days of the window in the events and in what is kept of each day."""
     load.replace_days("pre_events", window.events(raw, **event_options), window.days(old, "pre_events"))
     recent = load.read("pre_events").where(window.holds())
-    for table in ("session_days", "identity_days", "purchase_days"):
-        load.replace_days(table, getattr(partials, table)(recent), window.days(old, table))
+
+    def keep(table: str) -> DataFrame:
+        return load.replace_days(table, getattr(partials, table)(recent), window.days(old, table))
+
+    at_the_same_time(*[lambda table=table: keep(table) for table in ("session_days", "identity_days", "purchase_days")])
     return recent
 
 
+def _load_paths_and_attribution(load: Load, old: Snapshot, window: Window) -> tuple[DataFrame, dict[str, DataFrame]]:
+    session_changes = _load_paths(load, old, _load_sessions(load, old, window))
+    return session_changes, _load_attribution(load, old, session_changes)
+
+
 def _changed_in_window(table: str, load: Load, old: Snapshot, window: Window) -> DataFrame:
     return changed_rows(old.read(table).where(window.holds()), load.read(table).where(window.holds()))
 
@@ -235,14 +243,18 @@ def _load_attribution(load: Load, old: Snapshot, session_changes: DataFrame) ->
     if touched.isEmpty():
         return {}
     own = stored(_among(load.read("sessions"), touched, _SPREAD), "sessions-touched")
-    differing = {}
-    for model, table in TOUCH_TABLES.items():
+
+    def choose(model: str, table: str) -> DataFrame:
         new = stored(getattr(ops, model)(own), "touches-new")
         rows = old.read(table)
-        differing[model] = stored(changed_rows(_among(rows, touched, ["session_key"]), new), "touches-differing")
         load.replace(table, _without(rows, touched, ["session_key"]).unionByName(new))
-    load.replace("attribution_linear", ops.linear(load.read("sessions")))
-    return differing
+        return stored(changed_rows(_among(rows, touched, ["session_key"]), new), "touches-differing")
+
+    *differing, _ = at_the_same_time(
+        *[lambda model=model, table=table: choose(model, table) for model, table in TOUCH_TABLES.items()],
+        lambda: load.replace("attribution_linear", ops.linear(load.read("sessions"))),
+    )
+    return dict(zip(TOUCH_TABLES, differing))
 
 
 def _load_identities(load: Load, old: Snapshot, window: Window, as_of: dt.date | None) -> DataFrame | None:
@@ -279,5 +291,4 @@ def _load_reports(
     for rows in found:
         days |= _days(rows, "event_date")
     if days:
-        for name, rows in reports(load, scope, model, _on("event_date", days)).items():
-            load.replace_days(name, rows, days)
+        write_reports(load, reports(load, scope, model, _on("event_date", days)), days)

@@ -13,7 +13,7 @@ from clickpath.operators import partials
 from clickpath.sinks import Load, Warehouse
 from clickpath.sinks.audit import check_keys
 from clickpath.sinks.warehouse import SESSION_DAY
-from clickpath.storage import working_under
+from clickpath.storage import at_the_same_time, working_under
 
 # What the reports attribute by: the session that the attribution table keeps of a cookie, the session
 # that a purchase was made in, or all sources of the cookie by linear weight.
@@ -66,23 +66,12 @@ def full_refresh(
     check_reports(scope, model)
     with working_under(warehouse.spark, warehouse.work_dir), warehouse.loading() as load:
         events = load.replace("pre_events", ops.pre_events(raw, **event_options))
-        if grain == "session":
-            pre = partials.merged_sessions(load.replace("session_days", partials.session_days(events)))
-        else:
-            pre = ops.pre_sessions(events, grain)
-        load.replace("pre_sessions", pre.withColumn(SESSION_DAY, start_day()))
-        pre = load.read_stored("pre_sessions")
-        load.replace("sessions", ops.sessions(pre, grain).withColumn(SESSION_DAY, start_day()))
-        ids = load.replace("identity_days", partials.identity_days(events))
-        load.replace("unified_id", identities(ids, identity_as_of))
-        for name, touch in _TOUCHES.items():
-            load.replace(name, touch(load.read("sessions")))
-        load.replace("attribution_linear", ops.linear(load.read("sessions")))
-        # the rest is for daily loads and reports
-        load.replace("path_days", partials.path_days(pre))
-        load.replace("purchase_days", partials.purchase_days(events))
-        for name, rows in reports(load, scope, model).items():
-            load.replace(name, rows)
+        at_the_same_time(
+            lambda: _build_paths(load, events, grain),
+            lambda: _build_identities(load, events, identity_as_of),
+            lambda: load.replace("purchase_days", partials.purchase_days(events)),
+        )
+        write_reports(load, reports(load, scope, model))
         options = load_options(grain, event_options) | {
             "reports": report_options(scope, model, identity_as_of), "source": source and dict(source)
         }
@@ -92,6 +81,36 @@ def full_refresh(
     return warehouse
 
 
+def _build_paths(load: Load, events: DataFrame, grain: str) -> None:
+    """Sessions, their paths and what is chosen from these."""
+    if grain == "session":
+        pre = partials.merged_sessions(load.replace("session_days", partials.session_days(events)))
+    else:
+        pre = ops.pre_sessions(events, grain)
+    load.replace("pre_sessions", pre.withColumn(SESSION_DAY, start_day()))
+    pre = load.read_stored("pre_sessions")
+    sessions = load.replace("sessions", ops.sessions(pre, grain).withColumn(SESSION_DAY, start_day()))
+    at_the_same_time(
+        *[lambda name=name, touch=touch: load.replace(name, touch(sessions)) for name, touch in _TOUCHES.items()],
+        lambda: load.replace("attribution_linear", ops.linear(sessions)),
+        # for daily loads
+        lambda: load.replace("path_days", partials.path_days(pre)),
+    )
+
+
+def _build_identities(load: Load, events: DataFrame, as_of: dt.date | None) -> None:
+    load.replace("unified_id", identities(load.replace("identity_days", partials.identity_days(events)), as_of))
+
+
+def write_reports(load: Load, found: dict[str, DataFrame], days: set[dt.date | None] | None = None) -> None:
+    """Write the reports whole, or in place of the days that they are of."""
+
+    def write(name: str, rows: DataFrame) -> None:
+        load.replace(name, rows) if days is None else load.replace_days(name, rows, days)
+
+    at_the_same_time(*[lambda name=name, rows=rows: write(name, rows) for name, rows in found.items()])
+
+
 def check_reports(scope: str, model: str) -> None:
     if scope not in SCOPES:
         raise ValueError(f"scope must be one of {SCOPES}, not {scope!r}")

@@ -7,11 +7,15 @@ import re
 import shutil
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
+from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+T = TypeVar("T")
+
 # Session setting that names the folder of the load that is going on.
 _RUN = "clickpath.run.dir"
 
@@ -87,6 +91,12 @@ def write_text_at_once(spark: SparkSession, path: str, text: str) -> None:
         raise RuntimeError(f"cannot write {path}")
 
 
+def at_the_same_time(*jobs: Callable[[], T]) -> list[T]:
+    """Results of jobs that do not depend on each other, which Spark may run side by side."""
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        return [found.result() for found in [pool.submit(job) for job in jobs]]
+
+
 @contextmanager
 def working_under(spark: SparkSession, default: str) -> Iterator[str]:
     """One folder for all intermediate tables of a load: made before anything else, removed at the end.
