@@ -30,7 +30,7 @@ from . import words as W
 BUCKETS = 1 << 18
 SIZES = (3, 4, 5)
 DIMENSIONS = 4
-SAMPLE = 3000
+SAMPLE = 2400
 # entries of the sample that are worked on at once
 SLICE = 1 << 19
 STEPS = 50
