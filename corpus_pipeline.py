@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from clickpath.llm import lines, mixing, near_duplicates, pieces, toxicity
 from clickpath.storage import stored
 
-# A document is dropped as toxic from this score on: the threshold that the operator was set to by its training rows.
+# A document is dropped as toxic from this score on: the one from which the operator itself calls a text toxic.
 DROP_TOXIC = toxicity.THRESHOLD
 
 
