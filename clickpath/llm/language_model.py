@@ -19,10 +19,13 @@ counts grows with the corpus and a feature shares its slot with a chance below 4
 all training documents, by bucket of slots as those of tokens; each chunk gets back those of its own features. Slots are sent
 as differences of neighbours, counts in as many bytes as the largest needs.
 
-Counting covers all training documents: token counts go through buckets of hashes (``chunks``), class
+Words are found and hashed once: each scan task writes its documents as chunks of about ``CHUNK_TOKENS`` tokens, a table of
+token hashes and of each token's place among them, the frequent ones first. All later steps read that table; texts are
+never shuffled. Counting covers all training documents: token counts go through buckets of hashes (``chunks``), class
 trigrams through folded sums. Training takes steps along the gradient; the rows of contexts are spread
 over tasks, each sends the gradient of its rows, and weights of fixed size go back. Scoring looks up, for
 each chunk of documents, the counts of its tokens and word features and the context's log probabilities.
+A document is never split: one longer than a chunk is a chunk of its own, in the memory of one task.
 
 Cases: null text counts as empty and has one token, the end; rows with the same doc_id are documents of
 their own; without training documents all classes are alike; an empty table gives an empty one. Other
@@ -31,7 +34,6 @@ columns are not read.
 
 from __future__ import annotations
 
-from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -70,10 +72,12 @@ FOLD = 64
 
 # of each suffix class: tokens, types, types seen once, types seen twice
 SUMS = 4
-# chunks to each of the scan tasks: a chunk's word features are held by one task
-FINER = 3
-ANSWERED = "chunk int, bucket int, payload binary"
-COUNTED = "chunk int, bucket int, payload binary, sums array<bigint>, top array<struct<hash: bigint, n: bigint, suffix: int>>"
+# tokens after which a chunk is closed, and tokens of the corpus to a bucket: one task holds the word features of either
+CHUNK_TOKENS = 1 << 20
+BUCKET_TOKENS = 1 << 21
+TOKENS = "chunk bigint, n bigint, doc_id array<bigint>, training array<boolean>, size array<bigint>, hashes binary, suffix binary, ids binary"
+SENT = "chunk bigint, bucket int, payload binary"
+COUNTED = "chunk bigint, bucket int, payload binary, sums array<bigint>, top array<struct<hash: bigint, n: bigint, suffix: int>>"
 
 
 def training_rows(doc_id: Column) -> Column:
@@ -96,35 +100,114 @@ def _tokens(words: W.Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return hashes, suffix, words.first[:-1] + np.arange(docs)
 
 
-def _count(buckets: int):
-    """Each chunk's distinct tokens by bucket: hashes, counts in training documents, suffix classes."""
+def _packed(values: np.ndarray) -> bytes:
+    """Values as their number, the bytes that the largest needs, and these bytes by place, so that those that are alike compress."""
+    width = max(1, (int(values.max(initial=0)).bit_length() + 7) // 8)
+    planes = values.astype("<u8").view(np.uint8).reshape(-1, 8).T[:width]
+    return len(values).to_bytes(8, "little") + bytes([width]) + planes.tobytes()
+
+
+def _unpack(raw: bytes, at: int = 0) -> tuple[np.ndarray, int]:
+    """Packed values, and where they end."""
+    n, width = int.from_bytes(raw[at : at + 8], "little"), raw[at + 8]
+    out = np.zeros((n, 8), dtype=np.uint8)
+    out[:, :width] = np.frombuffer(raw, np.uint8, n * width, at + 9).reshape(width, n).T
+    return out.view("<u8").ravel(), at + 9 + n * width
 
-    def merge(parts: list[tuple]) -> list[tuple]:
-        keys = np.concatenate([p[0] for p in parts])
-        found, at, back = np.unique(keys, return_index=True, return_inverse=True)
-        counts = np.bincount(back, weights=np.concatenate([p[1] for p in parts]), minlength=len(found))
-        return [(found, counts, np.concatenate([p[2] for p in parts])[at])]
+
+def _sent(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
+    chunk, bucket, payload = zip(*rows)
+    return pa.record_batch([pa.array(chunk, pa.int64()), pa.array(bucket, pa.int32()), pa.array(payload, pa.binary())],
+                           names=["chunk", "bucket", "payload"])
+
+
+def _tokenized(most: int):
+    """A task's documents as chunks of up to ``most`` tokens where documents allow it: rows of ``TOKENS``."""
+    schema = pa.schema(
+        [("chunk", pa.int64()), ("n", pa.int64()), ("doc_id", pa.list_(pa.int64())), ("training", pa.list_(pa.bool_())),
+         ("size", pa.list_(pa.int64())), ("hashes", pa.binary()), ("suffix", pa.binary()), ("ids", pa.binary())]
+    )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, list[tuple]] = defaultdict(list)
+        part = made = waiting = 0
+        held: list[tuple] = []
+
+        def closed() -> pa.RecordBatch:
+            nonlocal made, waiting
+            doc_id, training, size, hashes, suffix = zip(*held)
+            hashes = np.concatenate(hashes)
+            found, at, ids, times = np.unique(hashes, return_index=True, return_inverse=True, return_counts=True)
+            order = np.argsort(-times, kind="stable")
+            place = np.empty(len(order), dtype=np.int64)
+            place[order] = np.arange(len(order))
+            row = [
+                # tasks and their chunks; neither needs more than half of the bits
+                (part << 32) + made, len(hashes), pa.concat_arrays(doc_id), pa.concat_arrays(training), np.concatenate(size),
+                found[order].astype("<u8").tobytes(), np.concatenate(suffix)[at][order].tobytes(), _packed(place[ids]),
+            ]
+            made, waiting = made + 1, 0
+            held.clear()
+            return pa.record_batch([pa.array([v.to_pylist() if isinstance(v, pa.Array) else v], f.type) for v, f in zip(row, schema)], schema=schema)
+
         for batch in batches:
-            chunk = batch.column("chunk").to_numpy()
-            training = batch.column("training").to_numpy(zero_copy_only=False)
+            part = batch.column("part")[0].as_py() if batch.num_rows else part
+            doc_id, training = batch.column("doc_id"), batch.column("training")
             for words in W.word_groups(W.as_binary(batch.column("text")), lower=True):
                 hashes, suffix, _ = _tokens(words)
-                size = words.counts() + 1
-                owner, trains = np.repeat(chunk[words.rows], size), np.repeat(training[words.rows], size)
-                for c in np.unique(owner):
-                    mine = owner == c
-                    held[int(c)] += merge([(hashes[mine], trains[mine].astype(np.float64), suffix[mine])])
-                    if len(held[int(c)]) > 32:
-                        held[int(c)] = merge(held[int(c)])
-        for c in list(held):
-            ((keys, counts, suffix),) = merge(held.pop(c))
-            rows = []
-            for b, at in C.bucket_slices(keys, buckets):
-                rows.append((c, b, keys[at].astype("<u8").tobytes() + counts[at].astype("<u8").tobytes() + suffix[at].tobytes()))
-            yield C.sent(rows)
+                mine = slice(words.rows.start, words.rows.stop)
+                if held and waiting + len(hashes) > most:
+                    yield closed()
+                rows = mine.stop - mine.start
+                held.append((doc_id.slice(mine.start, rows), training.slice(mine.start, rows), words.counts() + 1, hashes, suffix))
+                waiting += len(hashes)
+        if held:
+            yield closed()
+
+    return run
+
+
+@dataclass
+class Chunk:
+    """Tokens of some documents: token ``i`` is ``found[ids[i]]``, and ``found`` is in order."""
+
+    number: int
+    found: np.ndarray
+    suffix: np.ndarray
+    ids: np.ndarray
+    size: np.ndarray
+    # of each token: whether it lies in a training document
+    trains: np.ndarray
+
+    @property
+    def starts(self) -> np.ndarray:
+        return np.cumsum(self.size) - self.size
+
+
+def _chunks(batch: pa.RecordBatch | pa.Table) -> Iterator[Chunk]:
+    for i in range(batch.num_rows):
+        row = {name: batch.column(name)[i] for name in ("chunk", "training", "size", "hashes", "suffix", "ids")}
+        hashes = np.frombuffer(row["hashes"].as_py(), "<u8")
+        order = np.argsort(hashes)
+        place = np.empty(len(order), dtype=np.int64)
+        place[order] = np.arange(len(order))
+        size = row["size"].values.to_numpy()
+        trains = np.repeat(row["training"].values.to_numpy(zero_copy_only=False), size)
+        suffix = np.frombuffer(row["suffix"].as_py(), np.uint8)
+        yield Chunk(row["chunk"].as_py(), hashes[order], suffix[order], place[_unpack(row["ids"].as_py())[0]], size, trains)
+
+
+def _count(buckets: int):
+    """Each chunk's distinct tokens by bucket: hashes, counts in training documents, suffix classes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for c in _chunks(batch):
+                counts = np.bincount(c.ids[c.trains], minlength=len(c.found))
+                rows = []
+                for b, at in C.bucket_slices(c.found, buckets):
+                    raw = c.found[at].astype("<u8").tobytes() + counts[at].astype("<u8").tobytes() + c.suffix[at].tobytes()
+                    rows.append((c.number, b, raw))
+                yield _sent(rows)
 
     return run
 
@@ -151,7 +234,7 @@ def _totals(table: pa.Table) -> pa.Table:
     best = [{"hash": int(found[i].astype(np.int64)), "n": int(total[i]), "suffix": int(kind[i])} for i in top if total[i]]
     rows.append((None, bucket, None, sums.tolist(), best))
     schema = pa.schema(
-        [("chunk", pa.int32()), ("bucket", pa.int32()), ("payload", pa.binary()), ("sums", pa.list_(pa.int64())),
+        [("chunk", pa.int64()), ("bucket", pa.int32()), ("payload", pa.binary()), ("sums", pa.list_(pa.int64())),
          ("top", pa.list_(pa.struct([("hash", pa.int64()), ("n", pa.int64()), ("suffix", pa.int32())])))]
     )
     return pa.table([pa.array(column, f.type) for column, f in zip(zip(*rows), schema)], schema=schema)
@@ -239,21 +322,6 @@ def _word_features(
     return at, np.stack(keys) >> unused << unused
 
 
-def _packed(values: np.ndarray) -> bytes:
-    """Values as their number, the bytes that the largest needs, and these bytes by place, so that those that are alike compress."""
-    width = max(1, (int(values.max(initial=0)).bit_length() + 7) // 8)
-    planes = values.astype("<u8").view(np.uint8).reshape(-1, 8).T[:width]
-    return len(values).to_bytes(8, "little") + bytes([width]) + planes.tobytes()
-
-
-def _unpack(raw: bytes, at: int = 0) -> tuple[np.ndarray, int]:
-    """Packed values, and where they end."""
-    n, width = int.from_bytes(raw[at : at + 8], "little"), raw[at + 8]
-    out = np.zeros((n, 8), dtype=np.uint8)
-    out[:, :width] = np.frombuffer(raw, np.uint8, n * width, at + 9).reshape(width, n).T
-    return out.view("<u8").ravel(), at + 9 + n * width
-
-
 def _slots(keys: np.ndarray, unused: np.uint64) -> bytes:
     """Keys in order, as the slot of the first and the differences of the others."""
     return _packed(keys[:1] >> unused) + _packed(np.diff(keys >> unused))
@@ -266,40 +334,23 @@ def _keys(raw: bytes, unused: np.uint64) -> tuple[np.ndarray, int]:
 
 
 def _count_features(vocabulary: Vocabulary, buckets: int):
-    """Each chunk's distinct word features by bucket: keys, counts in training documents. Rows come by chunk."""
+    """Each chunk's distinct word features by bucket: keys, counts in training documents."""
     unused = vocabulary.unused
 
-    def packed(c: int, trained: list[np.ndarray], rest: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        seen, others = np.concatenate(trained), np.concatenate(rest)
-        trained.clear()
-        rest.clear()
-        seen, times = np.unique(seen, return_counts=True)
-        keys = np.union1d(seen, others)
-        counts = np.zeros(len(keys), dtype=np.int64)
-        counts[np.searchsorted(keys, seen)] = times
-        rows = [(c, b, _slots(keys[at], unused) + _packed(counts[at])) for b, at in C.bucket_slices(keys, buckets)]
-        if rows:
-            yield C.sent(rows)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # keys as they come, of training documents and of others
-        held: dict[int, tuple[list, list]] = defaultdict(lambda: ([], []))
         for batch in batches:
-            chunk = batch.column("chunk").to_numpy()
-            training = batch.column("training").to_numpy(zero_copy_only=False)
-            for words in W.word_groups(W.as_binary(batch.column("text")), lower=True):
-                hashes, suffix, starts = _tokens(words)
-                at, keys = _word_features(hashes, vocabulary.classes(hashes, suffix), starts, unused)
-                size = words.counts() + 1
-                owner, trains = np.repeat(chunk[words.rows], size)[at], np.repeat(training[words.rows], size)[at]
-                for c in np.unique(owner):
-                    for kept, which in zip(held[int(c)], (trains, ~trains)):
-                        kept.append(keys[:, (owner == c) & which].ravel())
-            # chunks come one after the other, so those before the last one are whole
-            for c in [c for c in held if c != chunk[-1]]:
-                yield from packed(c, *held.pop(c))
-        for c in list(held):
-            yield from packed(c, *held.pop(c))
+            for c in _chunks(batch):
+                classes = vocabulary.classes(c.found, c.suffix)[c.ids]
+                at, asked = _word_features(c.found[c.ids], classes, c.starts, unused)
+                trains = c.trains[at]
+                seen, times = np.unique(asked[:, trains], return_counts=True)
+                keys = np.union1d(seen, asked[:, ~trains])
+                del asked
+                counts = np.zeros(len(keys), dtype=np.int64)
+                counts[np.searchsorted(keys, seen)] = times
+                rows = [(c.number, b, _slots(keys[at], unused) + _packed(counts[at])) for b, at in C.bucket_slices(keys, buckets)]
+                if rows:
+                    yield _sent(rows)
 
     return run
 
@@ -353,12 +404,10 @@ def _trigrams(vocabulary: Vocabulary):
 
         for batch in batches:
             part = batch.column("part")[0].as_py() if batch.num_rows else part
-            kept = batch.filter(batch.column("training"))
-            for words in W.word_groups(W.as_binary(kept.column("text")), lower=True):
-                hashes, suffix, starts = _tokens(words)
-                classes = vocabulary.classes(hashes, suffix)
-                one, two = _contexts(classes, starts)
-                waiting.append(one * cells + two * CLASSES + classes)
+            for c in _chunks(batch):
+                classes = vocabulary.classes(c.found, c.suffix)[c.ids]
+                one, two = _contexts(classes, c.starts)
+                waiting.append((one * cells + two * CLASSES + classes)[c.trains])
                 if sum(map(len, waiting)) > 4_000_000:
                     add()
         add()
@@ -398,12 +447,12 @@ def _folded(table: pa.Table) -> pa.Table:
     )
 
 
-def _class_counts(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+def _class_counts(tokens: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """One row per class before, with the counts of all trigrams over it, added up ``FOLD`` rows at a time."""
-    counted = docs.withColumn("part", F.spark_partition_id()).mapInArrow(
+    counted = tokens.withColumn("part", F.spark_partition_id()).mapInArrow(
         _trigrams(vocabulary), "before int, part int, payload binary"
     )
-    parts = docs.rdd.getNumPartitions()
+    parts = tokens.rdd.getNumPartitions()
     while True:
         parts = -(-parts // FOLD)
         counted = counted.withColumn("part", F.col("part") % parts)
@@ -480,46 +529,28 @@ def train(counts: DataFrame, rounds: int = ROUNDS, tasks: int = 4) -> Weights:
 def _score(vocabulary: Vocabulary, logs: np.ndarray):
     unused = vocabulary.unused
 
-    def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
+    def run(tokens: pa.Table, answers: pa.Table) -> pa.Table:
+        (c,) = _chunks(tokens)
         order = np.argsort(answers.column("bucket").to_numpy(), kind="stable")
         payload, featured = answers.column("payload").combine_chunks(), answers.column("featured").to_pylist()
-        corpus = [np.frombuffer(payload[int(i)].as_py(), "<u8") for i in order if not featured[i]]
-        seen = [_unpack(payload[int(i)].as_py())[0] for i in order if featured[i]]
-        groups, asked = [], []
-        for words in W.word_groups(C.texts_of(docs), lower=True):
-            hashes, suffix, starts = _tokens(words)
-            groups.append((hashes, suffix, starts))
-            asked.append(_word_features(hashes, vocabulary.classes(hashes, suffix), starts, unused)[1].ravel())
-        empty = np.zeros(0)
-        cuts = np.cumsum([0, *map(len, asked)])
-        back = np.unique(np.concatenate(asked), return_inverse=True)[1] if seen else np.zeros(0, int)
-        asked.clear()
-        feature_counts = np.concatenate(seen) if seen else empty
-        seen.clear()
-        counts = np.concatenate(corpus).astype(np.float64) if corpus else empty
-        known = np.unique(np.concatenate([g[0] for g in groups])) if groups else empty
-        n_tokens, n_known, base, score = [], [], [], []
-        for (hashes, suffix, starts), lo, hi in zip(groups, cuts[:-1], cuts[1:]):
-            count = counts[np.searchsorted(known, hashes)]
-            classes = vocabulary.classes(hashes, suffix)
-            one, two = _contexts(classes, starts)
-            each = logs[one, two, classes]
-            at = np.flatnonzero(classes >= TOP)
-            if len(at):
-                p = 10 ** vocabulary.within_class(classes[at], count[at])
-                each[at] += np.log10(with_words(p, feature_counts[back[lo:hi]].reshape(4, -1)))
-            plain = np.log10((count + 1) / (vocabulary.tokens + vocabulary.types + 1))
-            n_tokens.append(np.diff(np.concatenate([starts, [len(hashes)]])))
-            n_known.append(np.add.reduceat((count > 0).astype(np.int64), starts))
-            base.append(np.add.reduceat(plain, starts))
-            score.append(np.add.reduceat(each, starts))
-        n = docs.num_rows
-        joined = [np.concatenate(x) if x else empty for x in (n_tokens, n_known, base, score)]
+        counts = np.concatenate([np.frombuffer(payload[int(i)].as_py(), "<u8") for i in order if not featured[i]]).astype(np.float64)
+        classes = vocabulary.classes(c.found, c.suffix)
+        within = 10 ** vocabulary.within_class(classes, counts)
+        plain = np.log10((counts + 1) / (vocabulary.tokens + vocabulary.types + 1))
+        classes = classes[c.ids]
+        each = logs[(*_contexts(classes, c.starts), classes)]
+        at, asked = _word_features(c.found[c.ids], classes, c.starts, unused)
+        if len(at):
+            back = np.unique(asked, return_inverse=True)[1].reshape(asked.shape)
+            del asked
+            seen = np.concatenate([_unpack(payload[int(i)].as_py())[0] for i in order if featured[i]])
+            each[at] += np.log10(with_words(within[c.ids[at]], seen[back]))
+        total = lambda values: pa.array(np.add.reduceat(values, c.starts))
+        held_out = ~tokens.column("training").combine_chunks()[0].values.to_numpy(zero_copy_only=False)
         return pa.table(
-            [docs.column("doc_id").combine_chunks(), docs.column("held_out").combine_chunks(),
-             pa.array(joined[0].astype(np.int64)), pa.array(joined[1].astype(np.int64)),
-             pa.array(np.full(n, vocabulary.tokens, dtype=np.int64)), pa.array(joined[2], pa.float64()),
-             pa.array(joined[3], pa.float64())],
+            [tokens.column("doc_id").combine_chunks()[0].values, pa.array(held_out), pa.array(c.size),
+             total((counts > 0).astype(np.int64)[c.ids]), pa.array(np.full(len(c.size), vocabulary.tokens, dtype=np.int64)),
+             total(plain[c.ids]), total(each)],
             names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
         )
 
@@ -528,27 +559,26 @@ def _score(vocabulary: Vocabulary, logs: np.ndarray):
 
 def score_documents(docs: DataFrame, training: Column, rounds: int = ROUNDS) -> DataFrame:
     """Learn from the rows where ``training`` holds, score all: log10 probabilities of whole texts."""
-    n = max(FINER * docs.rdd.getNumPartitions(), C.chunk_count(docs))
-    marked = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", training.alias("training"))
-    chunked = C.dealt(C.hash_chunks(marked, n), n)
+    marked = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", F.coalesce(training, F.lit(False)).alias("training"))
+    tokens = stored(marked.withColumn("part", F.spark_partition_id().cast("bigint")).mapInArrow(_tokenized(CHUNK_TOKENS), TOKENS), "tokens")
+    size = tokens.agg(F.sum("n")).first()[0] or 0
+    n = max(-(-size // BUCKET_TOKENS), int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     counted = stored(
-        chunked.mapInArrow(_count(n), C.SENT).repartition(n, "bucket").groupBy("bucket").applyInArrow(_totals, COUNTED),
-        "token-counts",
+        tokens.mapInArrow(_count(n), SENT).repartition(n, "bucket").groupBy("bucket").applyInArrow(_totals, COUNTED), "token-counts"
     )
     vocabulary = _vocabulary(counted)
-    model = train(stored(_class_counts(marked.select("text", "training"), vocabulary), "class-counts"), rounds)
+    model = train(stored(_class_counts(tokens, vocabulary), "class-counts"), rounds)
     features = stored(
-        chunked.sortWithinPartitions(C.CHUNK).mapInArrow(_count_features(vocabulary, n), C.SENT).repartition(n, "bucket").groupBy("bucket")
-        .applyInArrow(_feature_totals(vocabulary.unused), ANSWERED),
+        tokens.mapInArrow(_count_features(vocabulary, n), SENT).repartition(n, "bucket").groupBy("bucket")
+        .applyInArrow(_feature_totals(vocabulary.unused), SENT),
         "feature-counts",
     )
     logs = np.stack([model.log_probabilities(c) for c in range(CONTEXTS)]) / np.log(10)
     answers = counted.where("chunk is not null").select("chunk", "bucket", "payload", F.lit(False).alias("featured"))
     answers = answers.union(features.withColumn("featured", F.lit(True)))
-    texts = chunked.withColumn("held_out", ~F.col("training"))
     return (
-        texts.groupBy(C.CHUNK)
-        .cogroup(answers.groupBy(C.CHUNK))
+        tokens.groupBy("chunk")
+        .cogroup(answers.groupBy("chunk"))
         .applyInArrow(
             _score(vocabulary, logs),
             "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double",

@@ -203,3 +203,21 @@ def test_scores_equal_plain_ones(request, monkeypatch, table):
     # gradients travel as 32-bit numbers
     for (_, a), (_, b) in zip(sorted(got, key=lambda r: (str(r[0]), r[1])), sorted(want, key=lambda r: (str(r[0]), r[1]))):
         assert a == pytest.approx(b, rel=1e-4, abs=1e-3)
+
+
+def test_scores_do_not_depend_on_chunks_and_buckets(spark, monkeypatch, smoke):
+    """Many tasks, several chunks a task and several buckets give the scores of one chunk."""
+
+    def scores(df) -> list:
+        rows = lm.score_documents(df, lm.training_rows(F.col("doc_id")), rounds=2).collect()
+        return sorted((r["doc_id"], r["n_known"], round(r["base_score"], 6), round(r["score"], 3)) for r in rows)
+
+    monkeypatch.setattr(lm, "SLOTS", 1 << 40)
+    whole = scores(smoke.coalesce(1))
+    monkeypatch.setattr(lm, "CHUNK_TOKENS", 1)
+    monkeypatch.setattr(lm, "BUCKET_TOKENS", 500)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        assert scores(smoke.repartition(3)) == whole
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
