@@ -16,6 +16,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 import clickpath as cp  # noqa: E402
 from checks.oracle import ORACLE  # noqa: E402
+from clickpath.functions import params_json  # noqa: E402
 from clickpath.operators import partials  # noqa: E402
 from clickpath.sources import sample_events  # noqa: E402
 from clickpath.storage import copy_folder, stored, work_dir  # noqa: E402
@@ -128,6 +129,17 @@ def pre_events_fingerprint_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def pre_events_farm_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flat events whose id ends in the public FarmHash fingerprint of the parameters."""
+    return _unnested(cp.pre_events(_raw(spark, sf_dir), event_id="farm"))
+
+
+def event_params_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The text that the fingerprint is taken of."""
+    raw = _raw(spark, sf_dir)
+    return raw.select("event_timestamp", "event_name", "user_pseudo_id", params_json().alias("params_json"))
+
+
 def pre_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cp.pre_sessions(_events(spark, sf_dir))
 
@@ -428,6 +440,8 @@ _QUERIES = [
     pre_events_incremental_by_id,
     pre_events_single_day,
     pre_events_fingerprint_id,
+    pre_events_farm_id,
+    event_params_json,
     pre_sessions_event_grain,
     pre_sessions,
     pre_sessions_incremental,

@@ -6,6 +6,8 @@ over rows and windows; nothing here is generated from the Spark code.
 
 from __future__ import annotations
 
+from checks import farm
+
 # The raw log, as clickpath.sources.sample defines it.
 RAW = """
 src as (
@@ -228,6 +230,12 @@ REMOVED = FLAT.replace("from looked_up", "from looked_up where bundle % 5 <> 0 o
 TWICE = FLAT.replace("from looked_up", "from (from looked_up union all from looked_up where bundle % 5 = 0)")
 
 
+_PARAMS_JSON = """
+coalesce('[' || array_to_string(list_transform(params, lambda p:
+    '{"key":' || to_json(p.key)::varchar || ',"value":{"string_value":' || coalesce(to_json(p.s)::varchar, 'null')
+    || ',"int_value":' || coalesce(p.i::varchar, 'null') || ',"float_value":null,"double_value":null}}'), ',') || ']', '[]')"""
+
+
 def key_counts(table: str, rows: str, *key: str) -> str:
     """Rows, missing and repeated keys of a table; where one row stands for all missing keys, they count as one key."""
     missing = " and ".join(f"{column} is null" for column in key)
@@ -273,6 +281,16 @@ ORACLE: dict[str, str] = {
             count(*) filter (where user_pseudo_id is null) as without_id
         from flat group by event_date, event_name"""
     ),
+    "pre_events_farm_id": chain(
+        f"""select {_FLAT_COLUMNS} from (
+            select flat.* exclude (event_id), user_pseudo_id || event_timestamp || event_name || print as event_id
+            from flat left join prints on prints.text = {_PARAMS_JSON})""",
+        f"texts as (select {_PARAMS_JSON} as text from flat)",
+        farm.prints("texts"),
+    ).replace("with", "with recursive", 1),
+    "event_params_json": chain(
+        f"select event_timestamp, event_name, user_pseudo_id, {_PARAMS_JSON} as params_json from raw"
+    ),
     "pre_sessions": chain("select * from rolled", ROLLED),
     "pre_sessions_event_grain": chain("select * from rolled", ROLLED_BY_EVENT),
     "pre_sessions_incremental": chain("select * from rolled", ROLLED),

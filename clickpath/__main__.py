@@ -31,7 +31,7 @@ def _arguments(given: list[str] | None) -> argparse.Namespace:
     parser.add_argument("--root", required=True, help="folder the tables are kept under")
     parser.add_argument("--database", default="clickpath")
     parser.add_argument("--register", action="store_true", help="list the tables in the catalog")
-    parser.add_argument("--event-id", choices=["bundle", "fingerprint"], default="bundle")
+    parser.add_argument("--event-id", choices=["bundle", "fingerprint", "farm"], default="bundle")
     parser.add_argument("--on-duplicate", choices=["first", "error"], default="first")
     parser.add_argument("--dates", choices=["strict", "lenient"], default="strict")
     parser.add_argument("--grain", choices=["session", "event"], default="session", help="full load only")

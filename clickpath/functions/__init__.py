@@ -1,6 +1,7 @@
-"""Column expressions. All of them are built-in functions that stay inside code generation."""
+"""Column expressions on built-in functions; ``farm_fingerprint`` alone works on Arrow batches."""
 
-from clickpath.functions.keys import event_id, fingerprint_event_id, session_key
+from clickpath.functions.farm import farm_fingerprint
+from clickpath.functions.keys import event_id, farm_event_id, fingerprint_event_id, params_json, session_key
 from clickpath.functions.ordering import earliest, latest, nulls_last_key
 from clickpath.functions.params import event_param
 from clickpath.functions.traffic import traffic, url_tag
@@ -9,9 +10,12 @@ __all__ = [
     "earliest",
     "event_id",
     "event_param",
+    "farm_event_id",
+    "farm_fingerprint",
     "fingerprint_event_id",
     "latest",
     "nulls_last_key",
+    "params_json",
     "session_key",
     "traffic",
     "url_tag",

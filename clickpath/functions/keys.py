@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from clickpath.functions.farm import farm_fingerprint, json_text
+from clickpath.schema import RAW_EVENTS
+
 
 def event_id() -> Column:
     return F.concat(
@@ -31,5 +34,20 @@ def fingerprint_event_id(params: str = "event_params") -> Column:
     )
 
 
+def params_json(params: str = "event_params") -> Column:
+    """JSON text of the parameter array. A repeated column is never null, so a missing array is an empty one."""
+    return json_text(F.coalesce(F.col(params), F.array().cast(RAW_EVENTS[params].dataType)), RAW_EVENTS[params].dataType)
+
+
+def farm_event_id(params: str = "event_params") -> Column:
+    """Identifier ending in the public 64-bit FarmHash fingerprint of the parameters' JSON text."""
+    return F.concat(
+        F.col("user_pseudo_id"),
+        F.col("event_timestamp").cast("string"),
+        F.col("event_name"),
+        farm_fingerprint(params_json(params)).cast("string"),
+    )
+
+
 def session_key(session_id: Column) -> Column:
     return F.concat(F.col("user_pseudo_id"), session_id.cast("string"))

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickpath.functions import event_id, event_param, fingerprint_event_id, session_key, traffic
+from clickpath.functions import event_id, event_param, farm_event_id, fingerprint_event_id, session_key, traffic
 from clickpath.schema import columns
 from clickpath.sources.exports import RAW_DATE
 
@@ -20,7 +20,7 @@ TRAFFIC_PARAMS = {
     "medium": ("medium", "string_value"),
 }
 
-_EVENT_IDS = {"bundle": event_id, "fingerprint": fingerprint_event_id}
+_EVENT_IDS = {"bundle": event_id, "fingerprint": fingerprint_event_id, "farm": farm_event_id}
 _DATES = {"strict": F.to_date, "lenient": F.try_to_date}
 
 
@@ -58,7 +58,8 @@ def pre_events(
     """Flat events of a whole raw log.
 
     ``event_id``: ``"bundle"`` ends in bundle sequence and server offset,
-    ``"fingerprint"`` in a hash of the parameters. ``dates="lenient"`` turns an
+    ``"fingerprint"`` in a hash of the parameters, ``"farm"`` in the public FarmHash
+    fingerprint of their JSON text. ``dates="lenient"`` turns an
     unreadable date into NULL instead of failing.
     """
     resolved = traffic_cascade(event_params_lookup(raw, on_duplicate))
