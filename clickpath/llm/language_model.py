@@ -74,7 +74,7 @@ FOLD = 64
 SUMS = 4
 # tokens after which a chunk is closed, and tokens of the corpus to a bucket: one task holds the word features of either
 CHUNK_TOKENS = 1 << 20
-BUCKET_TOKENS = 1 << 21
+BUCKET_TOKENS = 1 << 20
 TOKENS = "chunk bigint, n bigint, doc_id array<bigint>, training array<boolean>, size array<bigint>, hashes binary, suffix binary, ids binary"
 SENT = "chunk bigint, bucket int, payload binary"
 COUNTED = "chunk bigint, bucket int, payload binary, sums array<bigint>, top array<struct<hash: bigint, n: bigint, suffix: int>>"
@@ -343,9 +343,11 @@ def _count_features(vocabulary: Vocabulary, buckets: int):
                 classes = vocabulary.classes(c.found, c.suffix)[c.ids]
                 at, asked = _word_features(c.found[c.ids], classes, c.starts, unused)
                 trains = c.trains[at]
-                seen, times = np.unique(asked[:, trains], return_counts=True)
-                keys = np.union1d(seen, asked[:, ~trains])
+                others = np.unique(asked[:, ~trains])
+                asked = asked[:, trains]
+                seen, times = np.unique(asked, return_counts=True)
                 del asked
+                keys = np.union1d(seen, others)
                 counts = np.zeros(len(keys), dtype=np.int64)
                 counts[np.searchsorted(keys, seen)] = times
                 rows = [(c.number, b, _slots(keys[at], unused) + _packed(counts[at])) for b, at in C.bucket_slices(keys, buckets)]
