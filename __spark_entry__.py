@@ -129,11 +129,6 @@ def pre_events_fingerprint_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def pre_events_farm_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Flat events whose id ends in the public FarmHash fingerprint of the parameters."""
-    return _unnested(cp.pre_events(_raw(spark, sf_dir), event_id="farm"))
-
-
 def event_params_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The text that the fingerprint is taken of."""
     raw = _raw(spark, sf_dir)
@@ -440,7 +435,6 @@ _QUERIES = [
     pre_events_incremental_by_id,
     pre_events_single_day,
     pre_events_fingerprint_id,
-    pre_events_farm_id,
     event_params_json,
     pre_sessions_event_grain,
     pre_sessions,

@@ -250,6 +250,15 @@ from (select {missing} as missing, count(*) as n from {rows} group by {", ".join
 _ITEM_COLUMNS = "i.item_id, i.item_name, i.item_category, i.price, i.quantity, i.item_revenue"
 
 
+# flat events with the FarmHash event id, which no registered query has: it needs Arrow batches
+FARM_ID = chain(
+    f"""select {_FLAT_COLUMNS} from (
+        select flat.* exclude (event_id), user_pseudo_id || event_timestamp || event_name || print as event_id
+        from flat left join prints on prints.text = {_PARAMS_JSON})""",
+    f"texts as (select {_PARAMS_JSON} as text from flat)",
+    farm.prints("texts"),
+).replace("with", "with recursive", 1)
+
 _WHOLE_TRANSACTIONS = chain(
     _TRANSACTION.format(attribution="touched", on="a.session_key = p.session_key", weight="a.attribution_weight"),
     ROLLED, CARRIED, LAST, identity(), ORDERS,
@@ -281,13 +290,6 @@ ORACLE: dict[str, str] = {
             count(*) filter (where user_pseudo_id is null) as without_id
         from flat group by event_date, event_name"""
     ),
-    "pre_events_farm_id": chain(
-        f"""select {_FLAT_COLUMNS} from (
-            select flat.* exclude (event_id), user_pseudo_id || event_timestamp || event_name || print as event_id
-            from flat left join prints on prints.text = {_PARAMS_JSON})""",
-        f"texts as (select {_PARAMS_JSON} as text from flat)",
-        farm.prints("texts"),
-    ).replace("with", "with recursive", 1),
     "event_params_json": chain(
         f"select event_timestamp, event_name, user_pseudo_id, {_PARAMS_JSON} as params_json from raw"
     ),

@@ -10,6 +10,8 @@ from pyspark.sql import types as T
 
 import __spark_entry__ as entry
 import clickpath as cp
+from checks.compare import difference, duck, expected_of
+from checks.oracle import FARM_ID
 from clickpath.functions import farm
 from tests.rows import param, raw_event, raw_log
 
@@ -75,10 +77,18 @@ def test_event_ids(spark):
     assert lost["event_id"] is None
 
 
-def test_query_against_the_public_library(spark):
+@pytest.fixture
+def flat(spark):
+    return entry._unnested(cp.pre_events(entry._raw(spark, entry.SMOKE_DIR), event_id="farm"))
+
+
+def test_ids_equal_the_sql(flat):
+    assert difference(flat, expected_of(duck(entry.SMOKE_DIR), FARM_ID)) is None
+
+
+def test_ids_against_the_public_library(spark, flat):
     texts = entry.event_params_json(spark, entry.SMOKE_DIR).collect()
     prints = public(spark, [r["params_json"] for r in texts])
     start = [None if r["user_pseudo_id"] is None else f"{r['user_pseudo_id']}{r['event_timestamp']}{r['event_name']}" for r in texts]
     want = sorted((None if s is None else f"{s}{p}" for s, p in zip(start, prints)), key=str)
-    got = sorted((r[0] for r in entry.pre_events_farm_id(spark, entry.SMOKE_DIR).select("event_id").collect()), key=str)
-    assert got == want
+    assert sorted((r[0] for r in flat.select("event_id").collect()), key=str) == want
