@@ -17,7 +17,8 @@ their own, all others share the class of their last three bytes. The model gives
 Word features are hashed into slots, ``SLOTS`` for each training token or up to twice as many, so the table of their
 counts grows with the corpus and a feature shares its slot with a chance below 4 / ``SLOTS``. Counts are a Spark table over
 all training documents, by bucket of slots as those of tokens; each chunk gets back those of its own features. Slots are sent
-as differences of neighbours, counts in as many bytes as the largest needs.
+as differences of neighbours, counts in as many bytes as the largest needs, both compressed with entropy coding. Shuffles whose
+rows have been written are removed at once, so that what lies on disk does not hang on the driver's garbage collection.
 
 Words are found and hashed once: each scan task writes its documents as chunks of about ``CHUNK_TOKENS`` tokens, a table of
 token hashes and of each token's place among them, the frequent ones first. All later steps read that table; texts are
@@ -115,9 +116,27 @@ def _unpack(raw: bytes, at: int = 0) -> tuple[np.ndarray, int]:
     return out.view("<u8").ravel(), at + 9 + n * width
 
 
+def _differences(values: np.ndarray) -> np.ndarray:
+    """Each value less the one before, modulo 2**64; the first as it is. ``_summed`` undoes it."""
+    return np.diff(values, prepend=np.uint64(0))
+
+
+def _summed(steps: np.ndarray) -> np.ndarray:
+    return np.cumsum(steps, dtype=np.uint64)
+
+
+def _squeezed(raw: bytes) -> bytes:
+    """Bytes as their number and themselves in Zstandard's form, whose entropy coding the codecs of tables and shuffles may lack."""
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+
+
+def _opened(raw: bytes) -> bytes:
+    return pa.decompress(memoryview(raw)[8:], int.from_bytes(raw[:8], "little"), codec="zstd", asbytes=True)
+
+
 def _sent(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
     chunk, bucket, payload = zip(*rows)
-    return pa.record_batch([pa.array(chunk, pa.int64()), pa.array(bucket, pa.int32()), pa.array(payload, pa.binary())],
+    return pa.record_batch([pa.array(chunk, pa.int64()), pa.array(bucket, pa.int32()), pa.array(map(_squeezed, payload), pa.binary())],
                            names=["chunk", "bucket", "payload"])
 
 
@@ -143,7 +162,7 @@ def _tokenized(most: int):
             row = [
                 # tasks and their chunks; neither needs more than half of the bits
                 (part << 32) + made, len(hashes), pa.concat_arrays(doc_id), pa.concat_arrays(training), np.concatenate(size),
-                found[order].astype("<u8").tobytes(), np.concatenate(suffix)[at][order].tobytes(), _packed(place[ids]),
+                *map(_squeezed, (_packed(_differences(found[order])), np.concatenate(suffix)[at][order].tobytes(), _packed(place[ids]))),
             ]
             made, waiting = made + 1, 0
             held.clear()
@@ -186,14 +205,15 @@ class Chunk:
 def _chunks(batch: pa.RecordBatch | pa.Table) -> Iterator[Chunk]:
     for i in range(batch.num_rows):
         row = {name: batch.column(name)[i] for name in ("chunk", "training", "size", "hashes", "suffix", "ids")}
-        hashes = np.frombuffer(row["hashes"].as_py(), "<u8")
+        hashes, suffix, ids = (_opened(row[name].as_py()) for name in ("hashes", "suffix", "ids"))
+        hashes = _summed(_unpack(hashes)[0])
         order = np.argsort(hashes)
         place = np.empty(len(order), dtype=np.int64)
         place[order] = np.arange(len(order))
         size = row["size"].values.to_numpy()
         trains = np.repeat(row["training"].values.to_numpy(zero_copy_only=False), size)
-        suffix = np.frombuffer(row["suffix"].as_py(), np.uint8)
-        yield Chunk(row["chunk"].as_py(), hashes[order], suffix[order], place[_unpack(row["ids"].as_py())[0]], size, trains)
+        suffix = np.frombuffer(suffix, np.uint8)
+        yield Chunk(row["chunk"].as_py(), hashes[order], suffix[order], place[_unpack(ids)[0]], size, trains)
 
 
 def _count(buckets: int):
@@ -205,8 +225,7 @@ def _count(buckets: int):
                 counts = np.bincount(c.ids[c.trains], minlength=len(c.found))
                 rows = []
                 for b, at in C.bucket_slices(c.found, buckets):
-                    raw = c.found[at].astype("<u8").tobytes() + counts[at].astype("<u8").tobytes() + c.suffix[at].tobytes()
-                    rows.append((c.number, b, raw))
+                    rows.append((c.number, b, _packed(_differences(c.found[at])) + _packed(counts[at]) + c.suffix[at].tobytes()))
                 yield _sent(rows)
 
     return run
@@ -215,10 +234,15 @@ def _count(buckets: int):
 def _totals(table: pa.Table) -> pa.Table:
     """Of one bucket: the corpus count of every token each chunk has sent, in its order; and the bucket's sums."""
     chunk, payload = table.column("chunk").to_pylist(), table.column("payload").to_pylist()
-    n = [len(p) // 17 for p in payload]
-    keys = np.concatenate([np.frombuffer(p, "<u8", m) for p, m in zip(payload, n)])
-    counts = np.concatenate([np.frombuffer(p, "<u8", m, 8 * m) for p, m in zip(payload, n)])
-    suffix = np.concatenate([np.frombuffer(p, np.uint8, m, 16 * m) for p, m in zip(payload, n)])
+    keys, counts, suffix = [], [], []
+    for raw in map(_opened, payload):
+        steps, at = _unpack(raw)
+        times, at = _unpack(raw, at)
+        keys.append(_summed(steps))
+        counts.append(times)
+        suffix.append(np.frombuffer(raw, np.uint8, offset=at))
+    n = [len(k) for k in keys]
+    keys, counts, suffix = map(np.concatenate, (keys, counts, suffix))
     found, at, back = np.unique(keys, return_index=True, return_inverse=True)
     total = np.bincount(back, weights=counts).astype(np.int64)
     kind = suffix[at]
@@ -229,7 +253,7 @@ def _totals(table: pa.Table) -> pa.Table:
     bucket = table.column("bucket")[0].as_py()
     answer = total[back]
     cuts = np.concatenate([[0], np.cumsum(n)])
-    rows = [(c, bucket, answer[a:b].astype("<u8").tobytes()) for c, a, b in zip(chunk, cuts[:-1], cuts[1:])]
+    rows = [(c, bucket, _squeezed(_packed(answer[a:b]))) for c, a, b in zip(chunk, cuts[:-1], cuts[1:])]
     rows = [r + (None, None) for r in rows]
     best = [{"hash": int(found[i].astype(np.int64)), "n": int(total[i]), "suffix": int(kind[i])} for i in top if total[i]]
     rows.append((None, bucket, None, sums.tolist(), best))
@@ -255,8 +279,8 @@ class Vocabulary:
 
     @property
     def unused(self) -> np.uint64:
-        """Low bits of a hash that do not count: the others are its slot."""
-        return np.uint64(64 - min(64, (max(self.tokens, 1) * SLOTS).bit_length()))
+        """Low bits of a hash that do not count, one at the least: the others are its slot."""
+        return np.uint64(64 - min(63, (max(self.tokens, 1) * SLOTS).bit_length()))
 
     def classes(self, hashes: np.ndarray, suffix: np.ndarray) -> np.ndarray:
         out = suffix.astype(np.int64) + TOP
@@ -342,14 +366,13 @@ def _count_features(vocabulary: Vocabulary, buckets: int):
             for c in _chunks(batch):
                 classes = vocabulary.classes(c.found, c.suffix)[c.ids]
                 at, asked = _word_features(c.found[c.ids], classes, c.starts, unused)
-                trains = c.trains[at]
-                others = np.unique(asked[:, ~trains])
-                asked = asked[:, trains]
-                seen, times = np.unique(asked, return_counts=True)
+                # the lowest bit of a key does not count: it tells the training documents' own
+                asked |= c.trains[at].astype(np.uint64)
+                asked = np.sort(asked, axis=None)
+                head = np.flatnonzero(np.concatenate([[True], np.diff(asked >> unused) > 0])[: len(asked)])
+                keys = asked[head] >> unused << unused
+                counts = np.add.reduceat(asked & np.uint64(1), head) if len(head) else head
                 del asked
-                keys = np.union1d(seen, others)
-                counts = np.zeros(len(keys), dtype=np.int64)
-                counts[np.searchsorted(keys, seen)] = times
                 rows = [(c.number, b, _slots(keys[at], unused) + _packed(counts[at])) for b, at in C.bucket_slices(keys, buckets)]
                 if rows:
                     yield _sent(rows)
@@ -364,7 +387,7 @@ def _feature_totals(unused: np.uint64):
         keys, counts = [], []
         # a payload at a time is unpacked, as together they are large
         for p in table.column("payload"):
-            raw = p.as_py()
+            raw = _opened(p.as_py())
             own, at = _keys(raw, unused)
             keys.append(own)
             counts.append(_unpack(raw, at)[0].astype(np.uint32))
@@ -377,7 +400,7 @@ def _feature_totals(unused: np.uint64):
         total = np.add.reduceat(counts[order].astype(np.int64), np.flatnonzero(head))
         answer = np.empty(len(order), dtype=np.int64)
         answer[order] = total[np.cumsum(head) - 1]
-        rows = [_packed(answer[a:b]) for a, b in zip(cuts[:-1], cuts[1:])]
+        rows = [_squeezed(_packed(answer[a:b])) for a, b in zip(cuts[:-1], cuts[1:])]
         return pa.table([table.column("chunk"), table.column("bucket"), pa.array(rows, pa.binary())], names=["chunk", "bucket", "payload"])
 
     return run
@@ -535,7 +558,8 @@ def _score(vocabulary: Vocabulary, logs: np.ndarray):
         (c,) = _chunks(tokens)
         order = np.argsort(answers.column("bucket").to_numpy(), kind="stable")
         payload, featured = answers.column("payload").combine_chunks(), answers.column("featured").to_pylist()
-        counts = np.concatenate([np.frombuffer(payload[int(i)].as_py(), "<u8") for i in order if not featured[i]]).astype(np.float64)
+        replies = lambda kind: np.concatenate([_unpack(_opened(payload[int(i)].as_py()))[0] for i in order if featured[i] == kind])
+        counts = replies(False).astype(np.float64)
         classes = vocabulary.classes(c.found, c.suffix)
         within = 10 ** vocabulary.within_class(classes, counts)
         plain = np.log10((counts + 1) / (vocabulary.tokens + vocabulary.types + 1))
@@ -545,7 +569,7 @@ def _score(vocabulary: Vocabulary, logs: np.ndarray):
         if len(at):
             back = np.unique(asked, return_inverse=True)[1].reshape(asked.shape)
             del asked
-            seen = np.concatenate([_unpack(payload[int(i)].as_py())[0] for i in order if featured[i]])
+            seen = replies(True)
             each[at] += np.log10(with_words(within[c.ids[at]], seen[back]))
         total = lambda values: pa.array(np.add.reduceat(values, c.starts))
         held_out = ~tokens.column("training").combine_chunks()[0].values.to_numpy(zero_copy_only=False)
@@ -566,14 +590,14 @@ def score_documents(docs: DataFrame, training: Column, rounds: int = ROUNDS) ->
     size = tokens.agg(F.sum("n")).first()[0] or 0
     n = max(-(-size // BUCKET_TOKENS), int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     counted = stored(
-        tokens.mapInArrow(_count(n), SENT).repartition(n, "bucket").groupBy("bucket").applyInArrow(_totals, COUNTED), "token-counts"
+        tokens.mapInArrow(_count(n), SENT).repartition(n, "bucket").groupBy("bucket").applyInArrow(_totals, COUNTED), "token-counts", release=True
     )
     vocabulary = _vocabulary(counted)
-    model = train(stored(_class_counts(tokens, vocabulary), "class-counts"), rounds)
+    model = train(stored(_class_counts(tokens, vocabulary), "class-counts", release=True), rounds)
     features = stored(
         tokens.mapInArrow(_count_features(vocabulary, n), SENT).repartition(n, "bucket").groupBy("bucket")
         .applyInArrow(_feature_totals(vocabulary.unused), SENT),
-        "feature-counts",
+        "feature-counts", release=True,
     )
     logs = np.stack([model.log_probabilities(c) for c in range(CONTEXTS)]) / np.log(10)
     answers = counted.where("chunk is not null").select("chunk", "bucket", "payload", F.lit(False).alias("featured"))

@@ -9,7 +9,7 @@ import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
-from contextlib import contextmanager
+from contextlib import contextmanager, nullcontext
 from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +18,8 @@ T = TypeVar("T")
 
 # Session setting that names the folder of the load that is going on.
 _RUN = "clickpath.run.dir"
+# Spark's setting by which a query's shuffle files go at its end.
+_RELEASE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 _local_dir: str | None = None
 
@@ -115,13 +117,26 @@ def working_under(spark: SparkSession, default: str) -> Iterator[str]:
         remove_folder(spark, run)
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
+@contextmanager
+def _shuffles_released(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of queries that end meanwhile go at once, not when the driver next collects its garbage."""
+    outer = spark.conf.get(_RELEASE, None)
+    spark.conf.set(_RELEASE, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(_RELEASE, outer) if outer else spark.conf.unset(_RELEASE)
+
+
+def stored(df: DataFrame, label: str, release: bool = False) -> DataFrame:
     """Write ``df`` to a fresh folder and return the written table.
 
-    Every later use reads the same rows, whatever executors are lost in between.
+    Every later use reads the same rows, whatever executors are lost in between. With ``release`` the shuffles
+    behind them are removed as soon as the rows are written; ``df`` must not rest on a cached table then.
     """
     spark = df.sparkSession
     folder = spark.conf.get(_RUN, None) or f"{work_dir(spark)}/clickpath"
     path = f"{folder}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    with _shuffles_released(spark) if release else nullcontext():
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

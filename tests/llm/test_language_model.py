@@ -2,6 +2,8 @@ from __future__ import annotations
 
 import collections
 import math
+import re
+import time
 import zlib
 
 import numpy as np
@@ -9,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from clickpath.llm import language_model as lm
+from clickpath.storage import stored
 from . import brute
 from .conftest import SMOKE, pairs
 
@@ -114,6 +117,46 @@ def test_packed_slots_come_back():
             assert got.tolist() == some.tolist() and lm._unpack(raw, at)[0].tolist() == (np.arange(len(some)) * 999).tolist()
 
 
+def test_word_features_take_few_bytes():
+    """Slots at a mean distance of 5,700, as in half a GB, need 14 bits by entropy."""
+    draw = np.random.default_rng(3)
+    unused = np.uint64(31)
+    keys = np.cumsum(1 + draw.geometric(1 / 5700, 50_000).astype(np.uint64), dtype=np.uint64) << unused
+    counts = np.where(draw.random(len(keys)) < 0.95, 1, 2)
+    (raw,) = lm._sent([(0, 0, lm._slots(keys, unused) + lm._packed(counts))]).column("payload").to_pylist()
+    assert len(raw) < 2 * len(keys)
+    got, at = lm._keys(lm._opened(raw), unused)
+    assert got.tolist() == keys.tolist() and lm._unpack(lm._opened(raw), at)[0].tolist() == counts.tolist()
+
+
+def test_differences_come_back():
+    """Also of hashes in no order, whose differences are below zero."""
+    values = np.array([5, 2**64 - 1, 0, 7, 7, 1 << 63], dtype=np.uint64)
+    for some in (values, values[:1], values[:0]):
+        assert lm._summed(lm._differences(some)).tolist() == some.tolist()
+        assert lm._opened(lm._squeezed(some.tobytes())) == some.tobytes()
+
+
+def test_shuffles_of_stored_rows_are_removed(spark):
+    """At once, and only where it is asked for; the session's setting stays as it was."""
+    blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+    def shuffles() -> set[str]:
+        return set(re.findall(r"shuffle_\d+", blocks.getAllFiles().mkString(" ")))
+
+    rows, setting = spark.range(1000).repartition(3, "id"), spark.conf.get(name, None)
+    before = shuffles()
+    assert stored(rows, "kept").count() == 1000 and shuffles() - before
+    before = shuffles()
+    table = stored(rows, "released", release=True)
+    by = time.monotonic() + 10
+    while shuffles() - before and time.monotonic() < by:
+        time.sleep(0.1)
+    assert not shuffles() - before and table.count() == 1000
+    assert spark.conf.get(name, None) == setting
+
+
 def plain_scores(docs: list[tuple], rounds: int) -> list[tuple]:
     """(doc_id, score) from counts in dictionaries and dense steps, one token after the other."""
     texts = [(d, is_training(d), [None if t is None else t.encode() for t in tokens(text)]) for d, text in docs]
