@@ -48,11 +48,8 @@ def _places(docs: DataFrame, run: int, long_words: int, by_words: bool) -> DataF
 
     A row holds the lines beside its own and no others, so a text of any number of lines takes room in proportion.
     """
-    lines = (
-        docs.where(F.col("text").isNotNull())
-        .select("doc_id", F.xxhash64("text").alias("text_hash"), _lines("text").alias("lines"))
-        .dropDuplicates(["doc_id", "text_hash"])
-    )
+    lines = docs.where(F.col("text").isNotNull()).select("doc_id", F.xxhash64("text").alias("text_hash"), _lines("text").alias("lines"))
+    # texts stay where they are read: only the numbers of their lines are shuffled
     hashed = lines.select(
         "doc_id",
         "text_hash",
@@ -60,7 +57,7 @@ def _places(docs: DataFrame, run: int, long_words: int, by_words: bool) -> DataF
         # a second hash of another kind, which tells windows apart along with the first
         F.transform("lines", lambda x: F.hash(x)).alias("others"),
         F.transform("lines", lambda x: F.regexp_count(x, F.lit(WORD))).alias("words"),
-    )
+    ).dropDuplicates(["doc_id", "text_hash"])
     # lines i - back to i + ahead of a document; a place outside has no line
     back, ahead = run - 1, run - 1
 
@@ -183,9 +180,11 @@ def drop_repeated_lines(
 
 def op8_line_dedup(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return drop_repeated_lines(docs).select(
+    digests = drop_repeated_lines(docs).select(
         "doc_id", "n_lines", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256")
     )
+    # as many files as the digests fill, not one per partition of texts
+    return digests.hint("rebalance", "doc_id")
 
 
 def op8_sql(table: str = "documents", run: int = RUN, long_words: int = LONG_WORDS) -> str:

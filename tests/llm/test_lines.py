@@ -5,6 +5,7 @@ import pytest
 
 from checks.compare import difference, duck, expected_of
 from clickpath.llm import lines
+from clickpath.storage import stored
 from . import brute
 from .conftest import SMOKE, pairs, prose
 
@@ -78,3 +79,51 @@ def test_a_text_of_very_many_lines(spark):
     rows = [(1, "\n".join(lines_of)), (2, "\n".join(["new", *lines_of[20_000:80_000], "end"])), (3, "\n".join(x for i, x in enumerate(lines_of) if i % 5))]
     df = spark.createDataFrame(rows, "doc_id long, text string")
     assert found(df) == brute.without_repeated_lines(rows)
+
+
+def shuffled_types(df) -> list[set]:
+    """The types of the columns that each exchange of the plan passes on."""
+    found, todo = [], [df._jdf.queryExecution().executedPlan().initialPlan()]
+    while todo:
+        node = todo.pop()
+        if node.nodeName() == "Exchange":
+            found.append({node.output().apply(i).dataType().simpleString() for i in range(node.output().size())})
+        todo += [node.children().apply(i) for i in range(node.children().size())]
+    return found
+
+
+@pytest.mark.parametrize("by_words", [False, True])
+def test_no_text_is_shuffled_for_fingerprints(smoke, monkeypatch, by_words):
+    plans = {}
+
+    def recorded(df, label):
+        plans[label] = shuffled_types(df)
+        return stored(df, label)
+
+    monkeypatch.setattr(lines, "stored", recorded)
+    lines.repeated_line_windows(smoke, by_words=by_words)
+    assert plans["line-fingerprints"]
+    for types in plans["line-fingerprints"]:
+        assert not any("string" in name for name in types)
+
+
+def test_digests_fill_few_files(spark, tmp_path):
+    """The texts' join has many partitions; what is returned is a small part of them."""
+    rows = [(i, prose(i, 2000)) for i in range(200)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    advised = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
+    try:
+        lines.op8_line_dedup(spark, str(tmp_path)).write.parquet(str(tmp_path / "out"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", advised)
+    assert spark.read.parquet(str(tmp_path / "out")).count() == len(rows)
+    assert len(list((tmp_path / "out").glob("part-*"))) == 1
+
+
+def test_documents_that_come_twice_are_one(spark):
+    """Equal rows do not repeat each other, and every one of them loses the same lines."""
+    shared = "l1\nl2\nl3"
+    rows = [(1, f"a\n{shared}"), (1, f"a\n{shared}"), (2, f"{shared}\nb"), (2, f"{shared}\nb"), (None, "c\nd\ne"), (None, "c\nd\ne")]
+    out = lines.drop_repeated_lines(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    assert sorted((r["doc_id"] or 0, r["kept_text"]) for r in out) == [(0, "c\nd\ne")] * 2 + [(1, f"a\n{shared}")] * 2 + [(2, "b")] * 2
