@@ -87,3 +87,64 @@ def test_bounds_leave_candidates_out():
 
 def test_equals_the_sql(spark):
     assert difference(topk.op3_topk(spark, SMOKE), expected_of(duck(SMOKE), topk.OP3_SQL)) is None
+
+
+def test_pairs_of_blocks_are_not_shuffled(spark):
+    vectors = topk.scaled_vectors(spark.createDataFrame(rows_of(50), SCHEMA))
+    plan = topk.top_k(vectors, F.col("vec_id") % 10 == 0)._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" in plan
+    assert "SortMergeJoin" not in plan and "Broadcast" not in plan
+    # vectors are in the files only; what is sent are ids and scores
+    assert not [line for line in plan.split("\n") if "Exchange" in line and "vectors" in line]
+
+
+def test_memory_of_a_search_does_not_follow_its_pairs():
+    import tracemalloc
+
+    import numpy as np
+
+    draw = np.random.default_rng(1)
+    x = draw.integers(-100, 100, (8192, 8))
+    far, ids = topk._distances(x, x[:8]), np.arange(8192)
+    tracemalloc.start()
+    topk._search((ids[:4096], x[:4096], far[:, :4096]), (ids, x, far), 5)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    # a byte for each of the 32 million pairs would be more
+    assert peak < 4096 * 8192
+
+
+@pytest.mark.parametrize("scale", [1, 100, 1 << 14, 1 << 24])
+@pytest.mark.parametrize("spread", [2, 40])
+@pytest.mark.parametrize("k", [1, 5])
+def test_blocks_in_any_order(monkeypatch, scale, spread, k):
+    """Ties, ids with several vectors, and scores beyond what floats hold."""
+    import numpy as np
+
+    monkeypatch.setattr(topk, "TILE_ROWS", 16)
+    monkeypatch.setattr(topk, "QUERIES_AT_ONCE", 7)
+    draw = np.random.default_rng(spread)
+    x = draw.integers(-spread, spread + 1, (600, 6)) * scale + draw.integers(0, 2, (600, 6))
+    ids = draw.permutation(np.append(np.arange(500), np.arange(100)))
+    pivots = x[:8]
+    is_query = ids % 20 == 0
+    q_ids, q = ids[is_query], x[is_query]
+    best = topk._Best(q_ids, q, topk._distances(q, pivots), k)
+    for at in (slice(400, 600), slice(0, 3), slice(3, 400)):
+        best.meet(topk._Candidates.of(ids[at], x[at], topk._distances(x[at], pivots)))
+    row = np.repeat(np.arange(len(q_ids)), best.count)
+    got = list(zip(row.tolist(), *(c.tolist() for c in best.rows()[1:3])))
+    expected = []
+    for i, v in enumerate(q.tolist()):
+        scores: dict[int, int] = {}
+        for x_id, y in zip(ids.tolist(), x.tolist()):
+            if x_id != q_ids[i]:
+                scores[x_id] = max(scores.get(x_id, -(1 << 62)), sum(a * b for a, b in zip(v, y)))
+        expected += [(i, *found) for found in sorted(scores.items(), key=lambda s: (-s[1], s[0]))[:k]]
+    assert got == expected
+
+
+def test_without_pivots(spark):
+    rows = rows_of(30)
+    got = topk.top_k(topk.scaled_vectors(spark.createDataFrame(rows, SCHEMA)), F.col("vec_id") % 10 == 0, pivots=0).collect()
+    assert {(r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in got} == best(rows, 10, 5)
