@@ -40,6 +40,9 @@ TASKS_PER_CORE = 4
 QUERIES_AT_ONCE = 1024
 TILE_ROWS = 256
 
+# Rows of megabytes: Parquet's writer and reader hold a row group, which by itself has 100 rows at least.
+ROW_GROUPS = {"parquet.block.size": str(8 << 20), "parquet.block.size.row.check.min": "1", "parquet.page.size.row.check.min": "1"}
+
 LEAST, GREATEST = np.iinfo(np.int64).min, np.iinfo(np.int64).max
 
 BLOCK = "rows int, width int, size int, ids binary, vectors binary, starts binary, low binary, high binary"
@@ -273,7 +276,7 @@ def _blocks(vectors: DataFrame, pivots: np.ndarray, rows: int, record: Callable,
         if waiting is not None and waiting.num_rows:
             yield packed(waiting)
 
-    return stored(vectors.mapInArrow(run, schema).withColumn("block", F.monotonically_increasing_id()), label)
+    return stored(vectors.mapInArrow(run, schema).withColumn("block", F.monotonically_increasing_id()), label, options=ROW_GROUPS)
 
 
 def _meet(k: int):

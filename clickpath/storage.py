@@ -128,15 +128,16 @@ def _shuffles_released(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(_RELEASE, outer) if outer else spark.conf.unset(_RELEASE)
 
 
-def stored(df: DataFrame, label: str, release: bool = False) -> DataFrame:
+def stored(df: DataFrame, label: str, release: bool = False, options: dict[str, str] | None = None) -> DataFrame:
     """Write ``df`` to a fresh folder and return the written table.
 
     Every later use reads the same rows, whatever executors are lost in between. With ``release`` the shuffles
-    behind them are removed as soon as the rows are written; ``df`` must not rest on a cached table then.
+    behind them are removed as soon as the rows are written; ``df`` must not rest on a cached table then. ``options``
+    are those of the Parquet writer.
     """
     spark = df.sparkSession
     folder = spark.conf.get(_RUN, None) or f"{work_dir(spark)}/clickpath"
     path = f"{folder}/{label}-{uuid.uuid4().hex}"
     with _shuffles_released(spark) if release else nullcontext():
-        df.write.parquet(path)
+        df.write.options(**(options or {})).parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -148,3 +148,16 @@ def test_without_pivots(spark):
     rows = rows_of(30)
     got = topk.top_k(topk.scaled_vectors(spark.createDataFrame(rows, SCHEMA)), F.col("vec_id") % 10 == 0, pivots=0).collect()
     assert {(r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in got} == best(rows, 10, 5)
+
+
+def test_row_groups_of_blocks_are_bounded(spark, monkeypatch):
+    import numpy as np
+    import pyarrow.parquet as pq
+
+    monkeypatch.setitem(topk.ROW_GROUPS, "parquet.block.size", "4096")
+    vectors = topk.scaled_vectors(spark.createDataFrame(rows_of(300), SCHEMA)).coalesce(1)
+    blocks = topk._blocks(vectors, np.eye(8, dtype=np.int64), 1, topk._candidate_block, topk.BLOCK, "topk-blocks")
+    files = [pq.ParquetFile(f.removeprefix("file:")).metadata for f in blocks.inputFiles()]
+    # without the settings a group has at least 100 rows, however large these are
+    assert sum(f.num_rows for f in files) == 300
+    assert max(f.row_group(i).num_rows for f in files for i in range(f.num_row_groups)) < 100
